@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from typing import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import Files, work_dir
+from ..session import Files, observed, work_dir
 from ..spec import TableSpec
 from ..store.registry import Registry
 from ..store.table import evolve_manifest
@@ -50,10 +50,11 @@ def sync_batch(
     known_op = F.coalesce(F.col("op").isin(*OPS), F.lit(False))
     invalid = ~known_op & (F.col("op").isNotNull() | F.col("ddl").isNull())
     obs = Observation(f"sync_{uuid.uuid4().hex[:8]}")
-    events = events.observe(obs, F.count(F.lit(1)).alias("total"), F.count_if(invalid).alias("invalid"))
+    metrics = [F.count(F.lit(1)).alias("total_events"), F.count_if(invalid).alias("invalid_events")]
+    seen = events.observe(obs, *metrics)
     pairs = [x for (db, t), (tdb, tt) in targets.items() for x in (F.lit(f"{db}.{t}"), F.lit(f"{tdb}.{tt}"))]
     routed = (
-        events.where(~invalid)
+        seen.where(~invalid)
         .withColumn("_target", F.try_element_at(F.create_map(*pairs), F.concat_ws(".", "src_db", "src_table")))
         .where(F.col("_target").isNotNull())
     )
@@ -72,7 +73,7 @@ def sync_batch(
         reports = in_parallel(jobs, width)
     finally:
         Files(spark, path).delete(path)
-    reports[""] = {"total_events": obs.get["total"], "invalid_events": obs.get["invalid"]}
+    reports[""] = observed(obs, events.agg(*metrics))
     return reports
 
 

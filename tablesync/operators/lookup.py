@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..session import broadcast_if_small
 
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 16 << 20  # estimated size on disk; in memory a table may be many times larger
 
 
 def lookup_join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def work_dir(spark: SparkSession, name: str = "work") -> str:
@@ -19,14 +19,23 @@ def work_dir(spark: SparkSession, name: str = "work") -> str:
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a DataFrame in bytes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
     """Broadcast hint only when the estimated size is below ``max_bytes``; otherwise Catalyst and AQE choose the join."""
     return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
 
 
+def observed(observation: Observation, recount: DataFrame) -> dict:
+    """Metrics of an observation. Adaptive execution drops the observing node when no row passes; then count again."""
+    try:
+        found = observation.get
+        return {c: found[c] for c in recount.columns}
+    except Exception:
+        return recount.first().asDict()
+
+
 class Files:
     """Few file operations through Hadoop's FileContext, so any file system Spark knows works."""
 

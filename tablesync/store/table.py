@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from ..operators import changes as ch
 from ..operators.quality import REASONS, check_rows, gate
-from ..session import Files
+from ..session import Files, observed
 from ..spec import OP, ColumnSpec, TableSpec, validate
 
 SMALL_ROWS = 200_000  # folds up to this many rows skip the rebalancing shuffle before the write
@@ -176,8 +176,8 @@ class KeyedTable:
             report(report_row)
         return report_row
 
-    def _checked(self, df: DataFrame, spec: TableSpec, strict: bool, obs: Observation, columns: set[str] | None) -> DataFrame:
-        """Typed good rows; counts of all rows go to ``obs`` while the job runs."""
+    def _checked(self, df: DataFrame, spec: TableSpec, strict: bool, obs: Observation, columns: set[str] | None):
+        """Typed good rows, whose counts go to ``obs`` while the job runs, and the same counts as a query of their own."""
         if columns is not None:
             # a partial load is checked on its own columns only
             lower = {c.lower() for c in columns} | {k.lower() for k in spec.keys}
@@ -191,8 +191,8 @@ class KeyedTable:
             checked = checked.withColumn(
                 REASONS, F.when((F.col(OP) == 1) & key_ok & ~unread, F.array().cast("array<string>")).otherwise(F.col(REASONS))
             )
-        seen = checked.observe(obs, F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("filtered"))
-        return seen.where(~bad).drop(REASONS)
+        metrics = [F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("filtered")]
+        return checked.observe(obs, *metrics).where(~bad).drop(REASONS), checked.agg(*metrics)
 
     def _apply(
         self, m, spec, df, seq, mode, columns, merge_condition, ignore_update_before, kind, strict, max_filter_ratio, obs,
@@ -204,13 +204,13 @@ class KeyedTable:
             rows = rows.withColumn("_sub", F.lit(0))
         only = set(columns) if mode == "partial" else None
         given = [c for c in (columns or spec.names) if c not in keys]
-        good = self._checked(rows, spec, strict, obs, only)
+        good, recount = self._checked(rows, spec, strict, obs, only)
         order = [*seq, "_sub"]
         folded = ch.fold(good, keys, order, given if mode == "partial" else spec.values, mode, merge_condition)
         folded = folded.withColumn(BUCKET, F.pmod(F.hash(*keys), F.lit(spec.buckets))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             touched = {r[BUCKET]: r["count"] for r in folded.groupBy(BUCKET).count().collect()}
-            counts = obs.get
+            counts = observed(obs, recount)
             gate(counts["total"], counts["filtered"], max_filter_ratio)
             current = self._read(m, set(touched)) if m["live"] else None
             merged = ch.merge(
@@ -235,9 +235,9 @@ class KeyedTable:
         if ch.KIND in rows.columns:
             rows = ch.filter_kinds(rows, has_pk=False)
         rows = rows.where(F.col(OP) == 0) if OP in rows.columns else rows
-        good = self._checked(rows, spec, strict, obs, None).select(*spec.names)
-        commit, _ = self._write(m, spec, good, None, False, query_id, batch_id)
-        counts = obs.get
+        good, recount = self._checked(rows, spec, strict, obs, None)
+        commit, _ = self._write(m, spec, good.select(*spec.names), None, False, query_id, batch_id)
+        counts = observed(obs, recount)
         try:
             gate(counts["total"], counts["filtered"], max_filter_ratio)
         except Exception:

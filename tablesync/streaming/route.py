@@ -6,11 +6,10 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Mapping
 
-from pyspark import InheritableThread
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import Files, work_dir
+from ..session import Files, observed, work_dir
 from ..sources.records import decode_text, split_mapping
 from ..store.registry import Registry
 from .apply import start_query
@@ -18,12 +17,15 @@ from .apply import start_query
 ANY = "*"  # stands for every table in per-table options
 
 
+def _incomplete() -> Column:
+    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    return blank("database") | blank("table") | F.col("row").isNull()
+
+
 def addressed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with a full address, and rows to skip (no database, no table or no payload). An array payload is one row per
     element."""
-    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    skip = blank("database") | blank("table") | F.col("row").isNull()
-    good, skipped = df.where(~skip), df.where(skip)
+    good, skipped = df.where(~_incomplete()), df.where(_incomplete())
     if isinstance(df.schema["row"].dataType, T.ArrayType):
         good = good.withColumn("row", F.explode("row"))
     return good, skipped
@@ -67,14 +69,9 @@ def route_batch(
     options = dict(options or {})
     path = work_dir(spark, f"route-{uuid.uuid4().hex[:6]}")
     ordered = batch if "seq" in batch.columns else batch.withColumn("seq", F.monotonically_increasing_id())
-    good, _ = addressed(ordered)
-    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    skip = F.when(blank("database") | blank("table") | F.col("row").isNull(), 1)
-    from pyspark.sql import Observation
-
     obs = Observation(f"route_{uuid.uuid4().hex[:8]}")
-    seen = ordered.observe(obs, F.count(skip).alias("skipped"), F.count(F.lit(1)).alias("total"))
-    good, _ = addressed(seen)
+    metrics = [F.count_if(_incomplete()).alias("skipped_rows"), F.count(F.lit(1)).alias("total_rows")]
+    good, _ = addressed(ordered.observe(obs, *metrics))
     stage(good.select(F.concat_ws(".", "database", "table").alias("_target"), "row", "seq"), "_target", path)
     try:
         jobs = {}
@@ -85,7 +82,7 @@ def route_batch(
         reports = in_parallel(jobs, width)
     finally:
         Files(spark, path).delete(path)
-    reports[""] = {"skipped_rows": obs.get["skipped"], "total_rows": obs.get["total"]}
+    reports[""] = observed(obs, ordered.agg(*metrics))
     return reports
 
 
