@@ -7,10 +7,14 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.changes import expand_updates
-from ..operators.quality import REASONS
+from ..operators.quality import NO_IMAGE, REASONS
 from ..sources.records import text_struct
 from ..spec import OP, TableSpec
 
+ENVELOPE = (
+    "struct<op: string, before: variant, after: variant, historyRecord: string, ts_ms: bigint, source: struct<db: string, "
+    "schema: string, table: string, ts_ms: bigint, file: string, pos: bigint, row: bigint>>"
+)
 OPS = ("r", "c", "u", "d")  # fixed values: snapshot read, create, update, delete
 ORDER = ["_src_ts", "_src_file", "_src_pos", "_src_row", "_ts"]
 
@@ -24,21 +28,22 @@ def parse_debezium(df: DataFrame, col: str = "value") -> DataFrame:
     doubles would not.
     """
     keep = [F.col(f"`{c}`") for c in df.columns if c != col]
-    parsed = df.select(*keep, F.try_parse_json(F.col(col)).alias("_e"))
-    get = lambda path, dtype: F.try_variant_get("_e", path, dtype)
+    # one conversion per event, inside an explode so that later filters are not pushed below it
+    e = F.col("_e")
+    parsed = df.select(*keep, F.explode(F.array(F.try_variant_get(F.try_parse_json(F.col(col)), "$", ENVELOPE))).alias("_e"))
     return parsed.select(
         *keep,
-        get("$.op", "string").alias("op"),
-        get("$.before", "variant").alias("before"),
-        get("$.after", "variant").alias("after"),
-        F.get_json_object(get("$.historyRecord", "string"), "$.ddl").alias("ddl"),
-        F.coalesce(get("$.source.schema", "string"), get("$.source.db", "string")).alias("src_db"),
-        get("$.source.table", "string").alias("src_table"),
-        get("$.source.ts_ms", "bigint").alias("_src_ts"),
-        get("$.source.file", "string").alias("_src_file"),
-        get("$.source.pos", "bigint").alias("_src_pos"),
-        get("$.source.row", "bigint").alias("_src_row"),
-        get("$.ts_ms", "bigint").alias("_ts"),
+        e.op.alias("op"),
+        e.before.alias("before"),
+        e.after.alias("after"),
+        F.get_json_object(e.historyRecord, "$.ddl").alias("ddl"),
+        F.coalesce(e.source.schema, e.source.db).alias("src_db"),
+        e.source.table.alias("src_table"),
+        e.source.ts_ms.alias("_src_ts"),
+        e.source.file.alias("_src_file"),
+        e.source.pos.alias("_src_pos"),
+        e.source.row.alias("_src_row"),
+        e.ts_ms.alias("_ts"),
     )
 
 
@@ -55,17 +60,16 @@ def debezium_to_changes(
     ``since`` gives per column a condition under which an event's value counts (a column re-created inside a batch).
     """
     names = spec.names
+    # images are read inside the explode: once per row, and no later filter is pushed below it
     image = text_struct(names)
-    rows = expand_updates(
-        events.where(F.col("op").isin(*OPS)), "before", "after", F.col("op"), ignore_update_before
-    ).withColumn("_v", F.try_variant_get("_row", "$", image))
+    read = lambda col: F.try_variant_get(col, "$", image)
+    rows = expand_updates(events, "before", "after", F.col("op"), ignore_update_before, read)
     since = since or {}
     values = []
     for n in names:
-        v = F.col("_v").getField(n)
+        v = F.col("_row").getField(n)
         values.append((F.when(since[n], v) if n in since else v).alias(n))
-    unreadable = F.array(F.lit("change event without a row image"))
-    reasons = F.when(F.col("_v").isNull(), unreadable).otherwise(F.array().cast("array<string>"))
+    reasons = F.when(F.col("_row").isNull(), NO_IMAGE).otherwise("")
     return rows.select(*keep, *values, OP, "_sub", reasons.alias(REASONS))
 
 

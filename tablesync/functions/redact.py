@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 EMPTY_TEXT = "Data validation errors detected. Row data has been redacted for security."  # fixed value
 
-# fixed values: quoted values after the word Value, in the order they are tried
-VALUE_PATTERNS = (r"Value\s+''[^']*''", r"Value\s+'[^']*'", r'Value\s+"[^"]*"')
+# fixed values: quoted values after the word Value, in the order they are tried; none of them reaches over a line end
+VALUE_PATTERNS = (r"Value[^\S\n]+''[^'\n]*''", r"Value[^\S\n]+'[^'\n]*'", r'Value[^\S\n]+"[^"\n]*"')
 VALUE_TEXT = "column value"
 
 
@@ -16,15 +16,14 @@ def redact_column(col: Column) -> Column:
 
     Null and blank messages stay as they are; a message with nothing left becomes a fixed text.
     """
-    def clean(line: Column) -> Column:
-        for pattern in VALUE_PATTERNS:
-            line = F.regexp_replace(line, pattern, VALUE_TEXT)
-        return F.regexp_replace(line, r"Row:.*$", "")
-
-    blank = lambda s: F.regexp_replace(s, r"\s", "") == ""
-    lines = F.filter(F.transform(F.split(col, r"\r\n|\r|\n"), clean), lambda s: ~blank(s))
-    text = F.regexp_replace(F.array_join(lines, "\n"), r"^\s+|\s+$", "")
-    return F.when(col.isNull() | blank(col), col).otherwise(F.when(text == "", EMPTY_TEXT).otherwise(text))
+    text = F.regexp_replace(col, r"\r\n?", "\n")
+    for pattern in VALUE_PATTERNS:
+        text = F.regexp_replace(text, pattern, VALUE_TEXT)
+    text = F.regexp_replace(text, r"Row:[^\n]*", "")
+    text = F.regexp_replace(text, r"\n(?:[^\S\n]*\n)+", "\n")
+    text = F.btrim(text, F.lit(" \t\n\r\x0b\x0c"))
+    filled = F.coalesce(F.nullif(text, F.lit("")), F.lit(EMPTY_TEXT))
+    return F.when(col.rlike(r"\S"), filled).otherwise(col)
 
 
 def redact(df: DataFrame, col: str) -> DataFrame:

@@ -9,7 +9,7 @@ before anything is shuffled. The reduced changes then meet the target once per k
 from __future__ import annotations
 
 from functools import reduce
-from typing import Iterable, Mapping
+from typing import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -38,15 +38,16 @@ def filter_kinds(df: DataFrame, has_pk: bool, ignore_update_before: bool = True,
 
 
 def expand_updates(
-    df: DataFrame, before: str, after: str, op: Column, ignore_update_before: bool = True
+    df: DataFrame, before: str, after: str, op: Column, ignore_update_before: bool = True,
+    read: Callable[[Column], Column] = lambda image: image,
 ) -> DataFrame:
     """Turn change events with before/after images into load rows.
 
     ``op`` is the event letter: r, c, u carry ``after``, d carries ``before``. With ``ignore_update_before=False`` an
     update gives two rows, the delete of the before image first, so an update that moves a row to another key removes
-    the old key. Adds ``_row`` (the image), ``__op`` and ``_sub`` (order inside one event).
+    the old key. Adds ``_row`` (the image, passed through ``read``), ``__op`` and ``_sub`` (order inside one event).
     """
-    row = lambda image, code, sub: F.struct(F.col(image).alias("_row"), F.lit(code).alias(OP), F.lit(sub).alias("_sub"))
+    row = lambda image, code, sub: F.struct(read(F.col(image)).alias("_row"), F.lit(code).alias(OP), F.lit(sub).alias("_sub"))
     upsert, delete = F.array(row(after, 0, 1)), F.array(row(before, 1, 0))
     if ignore_update_before:
         rows = F.when(op == "d", delete).when(op.isin("r", "c", "u"), upsert)

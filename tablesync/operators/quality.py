@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..spec import OP, ColumnSpec, TableSpec
+from ..spec import ColumnSpec, TableSpec
 from ..types import split_type
 
 REASONS = "_reasons"
+NO_IMAGE = "change event without a row image"
 
 
 class LoadRejected(RuntimeError):
@@ -41,7 +42,7 @@ def typed(source: Column, column: ColumnSpec, given: T.DataType) -> Column:
 
 
 def check_rows(df: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame:
-    """One pass over the input: the table's columns typed, plus ``_reasons`` (empty for a good row) and the raw row.
+    """One pass over the input: the table's columns typed, plus ``_reasons``, a text that is empty for a good row.
 
     Input columns are matched by name without case. Columns the table lacks are passed through untouched. In strict mode
     a value that does not fit rejects the row; otherwise it becomes null, which a NOT NULL column still rejects.
@@ -69,10 +70,9 @@ def check_rows(df: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame
     # a record that could not be decoded carries its reason already
     if REASONS in df.columns:
         given.pop(REASONS)
-        reasons.append(F.array_join(REASONS, "; "))
+        reasons.append(F.nullif(F.col(REASONS), F.lit("")))
     passed = [F.col(f"`{f.name}`") for f in given.values()]
-    found = F.array(*reasons) if reasons else F.array().cast("array<string>")
-    all_reasons = F.filter(found, lambda r: r.isNotNull() & (r != ""))
+    all_reasons = F.concat_ws("; ", *reasons) if reasons else F.lit("")
     return df.select(*typed_cols, *passed, all_reasons.alias(REASONS))
 
 
@@ -82,12 +82,12 @@ def split_valid(df: DataFrame, spec: TableSpec, strict: bool = True) -> tuple[Da
     Both read the same checked rows; persist the input if both are used in one job.
     """
     checked = check_rows(df, spec, strict)
-    return checked.where(F.size(REASONS) == 0).drop(REASONS), checked.where(F.size(REASONS) > 0)
+    return checked.where(F.col(REASONS) == "").drop(REASONS), checked.where(F.col(REASONS) != "")
 
 
 def counts(checked: DataFrame) -> DataFrame:
     """Total, good and filtered rows of checked rows, as one row."""
-    bad = F.size(REASONS) > 0
+    bad = F.col(REASONS) != ""
     return checked.agg(
         F.count("*").alias("total_rows"),
         F.count_if(~bad).alias("loaded_rows"),
@@ -108,7 +108,7 @@ def load_report(df: DataFrame, spec: TableSpec, where: Column | str | None = Non
     size = sum(texts[1:], texts[0]) if texts else F.lit(0)
     marked = df.select("*", F.coalesce(selected, F.lit(False)).alias("_selected"), size.cast("bigint").alias("_bytes"))
     checked = check_rows(marked, spec, strict)
-    bad = F.size(REASONS) > 0
+    bad = F.col(REASONS) != ""
     return checked.agg(
         F.count("*").alias("total_rows"),
         F.count_if(F.col("_selected") & ~bad).alias("loaded_rows"),
@@ -145,7 +145,7 @@ def conform(df: DataFrame, schema: T.StructType | TableSpec, mode: str = "fail")
         if mode == "fail":
             misfit = F.raise_error(F.concat(F.lit(f"column {f.name} cannot take "), source.cast("string")))
             if have.dataType != f.dataType:
-                value = F.when(source.isNotNull() & value.isNull(), misfit.cast(f.dataType)).otherwise(value)
+                value = F.coalesce(value, F.when(source.isNotNull(), misfit.cast(f.dataType)))
             if not f.nullable:
                 empty = F.raise_error(F.lit(f"null in the non-nullable column {f.name}"))
                 value = F.when(source.isNull(), empty.cast(f.dataType)).otherwise(value)

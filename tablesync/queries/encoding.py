@@ -140,7 +140,7 @@ def quality_good(spark, d):
 
 def quality_bad(spark, d):
     bad = op.split_valid(raw_events(spark, d), EVENT_SPEC)[1]
-    return bad.select("event_id", F.array_join("_reasons", "; ").alias("reasons"))
+    return bad.select("event_id", C("_reasons").alias("reasons"))
 
 
 def quality_lenient(spark, d):

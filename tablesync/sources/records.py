@@ -34,7 +34,7 @@ def decode_text(
     """
     options = dict(options or {})
     keep = [F.col(f"`{c}`") for c in df.columns if c != col]
-    good = F.array().cast("array<string>")
+    good = F.lit("")
     if fmt == "csv":
         sep = parse_delimiter(options.get("column_separator"), "\t")
         parts = F.split(F.col(col), "\\Q" + sep + "\\E", -1)
@@ -43,8 +43,7 @@ def decode_text(
         return fields.select(
             *keep,
             *[F.nullif(F.try_element_at("_p", F.lit(i + 1)), F.lit(NULL_TEXT)).alias(n) for i, n in enumerate(names)],
-            F.when(wrong, F.array(F.format_string("expected %d fields, found %d", F.lit(len(names)), F.size("_p"))))
-            .otherwise(good).alias(REASONS),
+            F.when(wrong, F.format_string("expected %d fields, found %d", F.lit(len(names)), F.size("_p"))).otherwise(good).alias(REASONS),
         )
     if fmt != "json":
         raise ValueError(f"unknown format {fmt}")
@@ -60,7 +59,7 @@ def decode_text(
     return rows.select(
         *keep,
         *[F.col("_r").getField(n).alias(n) for n in names],
-        F.when(F.col("_r").isNull(), F.array(F.lit("record is not readable JSON"))).otherwise(good).alias(REASONS),
+        F.when(F.col("_r").isNull(), "record is not readable JSON").otherwise(good).alias(REASONS),
     )
 
 
@@ -89,9 +88,9 @@ def decode(
     if mode == "keep":
         return rows
     if mode == "fail":
-        unreadable = F.raise_error(F.element_at(REASONS, 1)).cast("string")
+        unreadable = F.raise_error(F.col(REASONS)).cast("string")
         first = F.col(f"`{rows.columns[0]}`")
-        rows = rows.withColumn(rows.columns[0], F.when(F.size(REASONS) > 0, unreadable).otherwise(first))
+        rows = rows.withColumn(rows.columns[0], F.when(F.col(REASONS) != "", unreadable).otherwise(first))
     return conform(rows.drop(REASONS), struct, mode)
 
 

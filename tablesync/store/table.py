@@ -13,13 +13,14 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from functools import reduce
 from typing import Callable, Iterable
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators import changes as ch
-from ..operators.quality import REASONS, check_rows, gate
+from ..operators.quality import NO_IMAGE, REASONS, check_rows, gate
 from ..session import Files, observed
 from ..spec import OP, ColumnSpec, TableSpec, validate
 
@@ -182,15 +183,12 @@ class KeyedTable:
             # a partial load is checked on its own columns only
             lower = {c.lower() for c in columns} | {k.lower() for k in spec.keys}
             spec = spec.with_columns([c for c in spec.columns if c.name.lower() in lower])
-        bad = F.size(REASONS) > 0
+        bad = F.col(REASONS) != ""
         checked = check_rows(df, spec, strict)
         if OP in df.columns:
             # a delete needs its key only
-            key_ok = F.forall(F.array(*[F.col(k).isNotNull() for k in spec.keys] or [F.lit(True)]), lambda x: x)
-            unread = F.array_contains(REASONS, "change event without a row image")
-            checked = checked.withColumn(
-                REASONS, F.when((F.col(OP) == 1) & key_ok & ~unread, F.array().cast("array<string>")).otherwise(F.col(REASONS))
-            )
+            lost = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in spec.keys], F.col(REASONS).contains(NO_IMAGE))
+            checked = checked.withColumn(REASONS, F.when((F.col(OP) == 1) & ~lost, "").otherwise(F.col(REASONS)))
         metrics = [F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("filtered")]
         return checked.observe(obs, *metrics).where(~bad).drop(REASONS), checked.agg(*metrics)
 

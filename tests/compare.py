@@ -57,7 +57,7 @@ if __name__ == "__main__":
 
     sf = sys.argv[1]
     wanted = sys.argv[2:]
-    spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g").config("spark.sql.shuffle.partitions", "8").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = connect(sf), e.oracle_sql(), 0
     for name, fn in e.queries().items():
