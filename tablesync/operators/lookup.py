@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..session import broadcast_if_small
 
-BROADCAST_BYTES = 16 << 20  # estimated size on disk; in memory a table may be many times larger
+BROADCAST_BYTES = 32 << 20  # measured size of the rows
 
 
 def lookup_join(
@@ -17,8 +17,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join rows with every matching dimension row.
 
-    The dimension is broadcast only while its estimated size is below the bound. Above it the join is a shuffle join and
-    AQE splits the partitions of hot probe keys.
+    The dimension is broadcast only if its measured size is below the bound. Above it the join is a shuffle join and AQE
+    splits the partitions of hot probe keys.
     """
     if how not in ("inner", "left"):
         raise ValueError("a lookup join is inner or left")

@@ -5,15 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+
+
+_local: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession, name: str = "work") -> str:
     """New folder name under the cluster's shared checkpoint folder; a local temporary one where none is set (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local.get("root")
     if not root:
-        root = tempfile.mkdtemp(prefix="tablesync-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local["root"] = tempfile.mkdtemp(prefix="tablesync-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -22,9 +24,30 @@ def plan_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
-    """Broadcast hint only when the estimated size is below ``max_bytes``; otherwise Catalyst and AQE choose the join."""
-    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows themselves, counted by one aggregate: text and nested values by length, other values 8 bytes."""
+    fixed, lengths = 16, []
+    for f in df.schema.fields:
+        col = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            lengths.append(F.octet_length(col))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            lengths.append(F.octet_length(F.to_json(F.struct(col))))
+        fixed += 8
+    size = sum((F.coalesce(x, F.lit(0)) for x in lengths), F.lit(fixed))
+    return int(df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0])
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
+    """Broadcast hint for a table that is proven to be small.
+
+    A plan estimate above the bound leaves the join to Catalyst and AQE. An estimate below it is no proof (files are
+    compressed, aggregates and explodes are guessed), so the rows are measured; a table that turns out bigger gets a
+    sort-merge join, where AQE splits hot keys.
+    """
+    if plan_bytes(df) > max_bytes:
+        return df
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df.hint("merge")
 
 
 def observed(observation: Observation, recount: DataFrame) -> dict:

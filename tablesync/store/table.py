@@ -24,7 +24,7 @@ from ..operators.quality import NO_IMAGE, REASONS, check_rows, gate
 from ..session import Files, observed
 from ..spec import OP, ColumnSpec, TableSpec, validate
 
-SMALL_ROWS = 200_000  # folds up to this many rows skip the rebalancing shuffle before the write
+SMALL_ROWS = 200_000  # folds up to this many rows never need the rebalancing shuffle before the write
 BUCKET, COMMIT = "_bucket", "_commit"
 
 
@@ -276,7 +276,7 @@ class KeyedTable:
         m = self.manifest()
         spec = TableSpec.from_dict(m["spec"])
         keys = list(spec.keys) if spec.model != "duplicate" else None
-        commit, written = self._write(m, spec, self._read(m), keys, True, None, None)
+        commit, written = self._write(m, spec, self._read(m), keys, "always", None, None)
         live = {commit: {"buckets": written if keys else None, "written": len(written) if keys else None}}
         self._finish(m, live, commit, {"total": 0, "filtered": 0}, None, None)
 
@@ -285,10 +285,15 @@ class KeyedTable:
         commit = f"{m['version'] + 1:010d}-{who}-{uuid.uuid4().hex[:8]}"
         named = [F.col(f"`{c}`").cast(spec.column(c).spark).alias(m["physical"][c]) for c in spec.names]
         if keys is None:
-            df.select(*named).write.parquet(self._commit_dir(commit))
+            flat = df.select(*named)
+            (flat.hint("rebalance") if rebalance else flat).write.parquet(self._commit_dir(commit))
             return commit, []
         out = df.select(*named, F.pmod(F.hash(*keys), F.lit(spec.buckets)).alias(BUCKET))
-        if rebalance:
+        # Buckets use the hash of Spark's shuffles. When one of the two numbers divides the other, a shuffle partition
+        # holds whole buckets or a part of one, and the files are few already.
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        aligned = partitions % spec.buckets == 0 or spec.buckets % partitions == 0
+        if rebalance == "always" or (rebalance and not aligned):
             out = out.hint("rebalance", BUCKET)
         out.write.partitionBy(BUCKET).parquet(self._commit_dir(commit))
         prefix = f"{BUCKET}="

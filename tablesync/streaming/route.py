@@ -32,8 +32,12 @@ def addressed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stage(df: DataFrame, by: str, path: str) -> None:
-    """Write a batch once, split by target, so every target reads its own part only. A hot target has many files."""
-    df.write.partitionBy(by).parquet(path)
+    """Write a batch once, split by target, so every target reads its own part only.
+
+    The rebalance gathers each target's rows, so tasks times targets does not become the number of files, and AQE splits
+    a target that holds a large share of the batch.
+    """
+    df.hint("rebalance", by).write.partitionBy(by).parquet(path)
 
 
 def staged_targets(spark: SparkSession, path: str, by: str) -> list[str]:

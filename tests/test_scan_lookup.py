@@ -79,6 +79,9 @@ def test_lookup_broadcast_is_bounded(spark):
         assert "hashpartitioning" in shuffles(ts.lookup_join(probe, dim, ["c_custkey"], max_broadcast_bytes=10))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the estimate is below the bound, the rows are not: no broadcast
+    wide = dim.selectExpr("c_custkey", "repeat(c_name, 5000) t")
+    assert set(shuffles(ts.lookup_join(probe, wide, ["c_custkey"], max_broadcast_bytes=1 << 20))) == {"hashpartitioning"}
 
 
 def test_cached_dimension(spark):
