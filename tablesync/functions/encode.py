@@ -8,7 +8,6 @@ from ..spec import OP, TableSpec
 from ..types import split_type
 
 DATE_FORMAT = "yyyy-MM-dd"
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 NULL_TEXT = "\\N"  # fixed value: null in CSV
 
 
@@ -35,6 +34,14 @@ def binary_to_bigint(col: Column) -> Column:
     return F.when(F.length(col) == 0, F.lit(0).cast("bigint")).when(F.length(col) <= 8, number)
 
 
+def _iso_text(col: Column) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss.SSSSSS``, taken from the plain text form so that no session zone moves a zoneless time."""
+    text = col.cast("string")
+    seconds = F.regexp_replace(F.substring_index(text, ".", 1), " ", "T")
+    fraction = F.when(text.contains("."), F.substring_index(text, ".", -1)).otherwise("")
+    return F.concat(seconds, F.lit("."), F.rpad(fraction, 6, "0"))
+
+
 def _nested(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.ArrayType, T.MapType, T.StructType))
 
@@ -46,7 +53,7 @@ def load_value(col: Column, dtype: T.DataType, as_text: bool = False) -> Column:
     if isinstance(dtype, T.DateType):
         return F.date_format(col, DATE_FORMAT)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(col, TIMESTAMP_FORMAT)
+        return _iso_text(col)
     if isinstance(dtype, T.BinaryType):
         return binary_to_bigint(col)
     if isinstance(dtype, T.StructType):

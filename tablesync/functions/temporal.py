@@ -21,34 +21,45 @@ def date_text(col: Column, fmt: str = FORMATS["date"]) -> Column:
     return F.date_format(col, fmt)
 
 
+def wall_clock_text(col: Column, fmt: str) -> Column:
+    """A time without zone as text. ``date_format`` would go through the session zone and move times inside a clock
+    change; the CSV writer formats them as they are."""
+    text = F.to_csv(F.struct(col.alias("t")), {"timestampNTZFormat": fmt, "sep": "\x01", "quote": ""})
+    return F.when(col.isNotNull(), text)
+
+
+def utc_clock(micros: Column) -> Column:
+    """Microseconds since the epoch as UTC time without zone, independent of the session zone."""
+    day = F.floor(micros / F.lit(86400000000)).cast("int")
+    rest = (F.pmod(micros, F.lit(86400000000)).cast("decimal(18,0)") / F.lit(1000000)).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(day, zero, zero, rest)
+
+
 def temporal_text(col: Column, kind: str, dtype: str, fmt: str | None = None, zone: str = ZONE) -> Column:
     """One temporal column as text. ``kind`` is the source type: date, time, datetime, timestamp.
 
     Integers are days for ``date``, microseconds of the day for ``time`` and microseconds since the epoch otherwise.
-    ``timestamp`` values are UTC and are moved to ``zone``; ``datetime`` values have no zone.
+    ``timestamp`` values are instants and are shown in ``zone``; ``datetime`` values have no zone.
     """
     fmt = fmt or FORMATS[kind]
     number = dtype in ("int", "bigint", "smallint", "tinyint")
     if kind == "date":
         return F.date_format(F.date_from_unix_date(col.cast("int")) if number else col, fmt)
     if kind == "time":
-        micros = col if number else F.expr("NULL")
-        return F.date_format(_micros(micros), fmt)
-    wall = _micros(col) if number else (F.to_timestamp_ntz(col) if dtype == "string" else col.cast("timestamp_ntz"))
-    if kind == "timestamp":
-        if dtype == "timestamp":
-            wall = F.convert_timezone(F.current_timezone(), F.lit("UTC"), col.cast("timestamp_ntz"))
-        elif dtype == "string":
-            # offset text such as 2024-01-01T00:00:00Z
-            wall = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.to_timestamp(col).cast("timestamp_ntz"))
-        wall = F.convert_timezone(F.lit("UTC"), F.lit(_zone(zone)), wall)
-    return F.date_format(wall, fmt)
-
-
-def _micros(col: Column) -> Column:
-    """Microseconds since the epoch as a wall-clock time in UTC, independent of the session zone."""
-    instant = F.timestamp_micros(col.cast("bigint")).cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant)
+        if not number:
+            raise ValueError("a time column holds microseconds of the day")
+        return wall_clock_text(utc_clock(col.cast("bigint")), fmt)
+    if kind == "datetime":
+        return wall_clock_text(utc_clock(col.cast("bigint")) if number else col.cast("timestamp_ntz"), fmt)
+    if number:
+        wall = utc_clock(col.cast("bigint"))
+    elif dtype == "timestamp_ntz":
+        wall = col
+    else:
+        # an instant, or text with an offset such as 2024-01-01T00:00:00Z
+        wall = utc_clock(F.unix_micros(col if dtype == "timestamp" else F.to_timestamp(col)))
+    return wall_clock_text(F.convert_timezone(F.lit("UTC"), F.lit(_zone(zone)), wall), fmt)
 
 
 def _zone(zone: str) -> str:

@@ -278,6 +278,14 @@ def test_temporals(spark):
             assert tuple(ts.format_temporals(df, kinds).first()) == want
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+    edge = spark.sql("select timestamp_ntz'2024-03-10 02:30:00' n, 1730611800000000L a, 1730615400000000L b, cast(null as bigint) z")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # clocks change at these times
+    try:
+        got = ts.format_temporals(edge, {"n": "datetime", "a": "timestamp", "b": "timestamp", "z": "timestamp"}, zone="UTC").first()
+        assert tuple(got) == ("2024-03-10 02:30:00", "2024-11-03 05:30:00.000000", "2024-11-03 06:30:00.000000", None)
+        assert '"n":"2024-03-10T02:30:00.000000"' in ts.encode_json(edge).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     other = ts.format_temporals(df, kinds, {"date": "dd/MM/yyyy"}, zone="Europe/Paris").first()
     assert (other["d"], other["u"]) == ("02/01/1970", "2024-01-01 01:00:00.000000")
 
