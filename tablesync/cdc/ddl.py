@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from ..spec import ColumnSpec
 from ..types import STRING_SIZE, source_type, spark_type, split_type
 
-# fixed values: the statement form that is understood (first clause only), and words after ADD/DROP that name no column
-STATEMENT = r"(?is)^\s*ALTER\s+TABLE\s+(\S+)\s+(ADD|DROP)\s+(?:COLUMN\s+)?`?([^\s`(,;]+)`?(?:\s+([A-Za-z]+(?:\s*\([^)]*\))?))?"
+# fixed values: the statement form that is understood (first clause only; groups: action, column, type), and words after
+# ADD/DROP that name no column
+STATEMENT = r"(?is)ALTER\s+TABLE\s+\S+\s+(ADD|DROP)\s+(?:COLUMN\s+)?`?([^\s`(,;]+)`?(?:\s+([A-Za-z]+(?:\s*\([^)]*\))?))?"
 NOT_COLUMNS = ("INDEX", "KEY", "CONSTRAINT", "PRIMARY", "UNIQUE", "FOREIGN", "PARTITION", "FULLTEXT", "SPATIAL", "CHECK")
 
 
@@ -25,19 +26,22 @@ def parse_ddl(events: DataFrame, enabled: bool = True, table: str | None = None)
     return ddl if enabled else ddl.where(F.lit(False))
 
 
-def ddl_to_actions(ddl: DataFrame, col: str = "ddl") -> DataFrame:
-    """Statements to column actions ``action`` (add/drop), ``column``, ``type`` (null for a drop); others are dropped."""
+def ddl_to_actions(ddl: DataFrame, col: str = "ddl", pattern: str = STATEMENT) -> DataFrame:
+    """Statements to column actions ``action`` (add/drop), ``column``, ``type`` (null for a drop); others are dropped.
+
+    A pattern of one's own needs the same three groups.
+    """
     text = F.col(col)
-    part = lambda i: F.regexp_extract(text, STATEMENT, i)
-    name = F.upper(part(3))
+    part = lambda i: F.regexp_extract(text, pattern, i)
+    name = F.upper(part(2))
     return (
-        ddl.where(text.rlike(STATEMENT))
+        ddl.where(text.rlike(pattern))
         .where(~name.isin(*NOT_COLUMNS))
         .withColumns(
             {
-                "action": F.lower(part(2)),
-                "column": part(3),
-                "type": F.when(F.lower(part(2)) == "add", added_type(part(4))),
+                "action": F.lower(part(1)),
+                "column": part(2),
+                "type": F.when(F.lower(part(1)) == "add", added_type(part(3))),
             }
         )
     )

@@ -14,7 +14,7 @@ from ..store.registry import Registry
 from ..store.table import evolve_manifest
 from ..streaming.apply import start_query
 from ..streaming.route import in_parallel, stage, staged_targets
-from .ddl import column_of, ddl_to_actions, last_actions, parse_ddl
+from .ddl import STATEMENT, column_of, ddl_to_actions, last_actions, parse_ddl
 from .debezium import OPS, ORDER, debezium_to_changes, parse_debezium
 
 _AT = [*ORDER, "_in"]
@@ -33,6 +33,7 @@ def sync_batch(
     strict: bool = True,
     max_filter_ratio: float = 0.0,
     col: str = "value",
+    ddl_pattern: str = STATEMENT,
 ) -> dict[str, dict]:
     """Apply one batch of change events to all tables.
 
@@ -63,7 +64,7 @@ def sync_batch(
     at = order or _AT
     try:
         staged = spark.read.parquet(path)
-        actions = _actions(staged, at) if schema_evolution else {}
+        actions = _actions(staged, at, ddl_pattern) if schema_evolution else {}
         jobs = {}
         for target in staged_targets(spark, path, "_target"):
             rows = staged.where(F.col("_target") == target).drop("_target")
@@ -77,10 +78,10 @@ def sync_batch(
     return reports
 
 
-def _actions(staged: DataFrame, at: list[str]) -> dict[str, list]:
+def _actions(staged: DataFrame, at: list[str], pattern: str) -> dict[str, list]:
     """Last column action per target and column. Reduced by Spark first: the driver gets one row per column, in the order
     the columns were added, however many statements there were."""
-    found = last_actions(ddl_to_actions(parse_ddl(staged)), ["_target"], at)
+    found = last_actions(ddl_to_actions(parse_ddl(staged), pattern=pattern), ["_target"], at)
     out: dict[str, list] = {}
     for r in found.orderBy("_target", "_at").toLocalIterator():
         out.setdefault(r["_target"], []).append(r)

@@ -145,27 +145,25 @@ def _fold_conditional(
     if condition not in columns:
         raise ValueError("merge_condition must name one of the value columns")
     rows = changes.withColumn("_ord", _order(keys, seq))
-    deletes = (
-        rows.where(F.col(OP) == 1)
-        .groupBy(*keys)
-        .agg(F.max("_ord").alias("_del"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    )
+    deletes = rows.where(F.col(OP) == 1).groupBy(*keys).agg(F.max("_ord").alias("_del"))
+    spread = deletes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     upserts = rows.where(F.col(OP) == 0).withColumn("_salt", F.pmod(F.xxhash64(*seq), F.lit(salt)).cast("int"))
-    live = upserts.join(deletes, [*keys, "_salt"], "left").where(
+    live = upserts.join(spread, [*keys, "_salt"], "left").where(
         F.col("_del").isNull() | (F.col("_ord") > F.col("_del"))
     )
-    best = live.groupBy(*keys).agg(
-        F.max_by(F.struct(*columns), F.struct(F.col(condition).alias("c"), F.col("_ord").alias("o"))).alias("_w"),
-        F.max(F.col("_del").isNotNull()).alias("_d"),
+    candidates = live.select(
+        *keys,
+        F.struct(*columns).alias("_row"),
+        F.struct(F.col(condition).alias("c"), F.col("_ord").alias("o")).alias("_rank"),
+        "_del",
     )
-    # keys whose last event is a delete have no live upsert: they come from the deletes alone
-    gone = deletes.where(F.col("_salt") == 0).select(*keys, F.lit(True).alias("_x"))
-    both = best.join(gone, keys, "full_outer")
-    return both.select(
+    # the deletes take part themselves, so a key whose last event is a delete is known as well
+    both = candidates.unionByName(deletes, allowMissingColumns=True)
+    best = both.groupBy(*keys).agg(F.max_by("_row", "_rank").alias("_w"), F.max("_del").alias("_del"))
+    return best.select(
         *keys,
-        F.coalesce(F.col("_x"), F.lit(False)).alias(_GONE),
-        F.col("_d").isNotNull().alias(_ALIVE),
+        F.col("_del").isNotNull().alias(_GONE),
+        F.col("_w").isNotNull().alias(_ALIVE),
         *[F.col(f"_w.{c}").alias(_value(c)) for c in columns],
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..session import broadcast_if_small
 
-BROADCAST_BYTES = 32 << 20  # measured size of the rows
+BROADCAST_BYTES = 16 << 20  # measured size of the rows
 
 
 def lookup_join(

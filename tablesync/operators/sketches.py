@@ -35,11 +35,11 @@ def bitmap_merge(a: DataFrame, b: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 
 def bitmap_ndv(rollup: DataFrame, by: Iterable[str], keys: Iterable[str] | None = None) -> DataFrame:
-    """Exact distinct count per ``by`` over a bitmap rollup; coarser groups than the rollup's keys are merged first."""
+    """Exact distinct count per ``by`` over a bitmap rollup. Groups coarser than the rollup's ``keys`` are merged first."""
     by = list(by)
-    merged = rollup.groupBy(*by, BUCKET).agg(F.bitmap_or_agg(BITMAP).alias(BITMAP))
-    if keys is not None and set(keys) == set(by):
-        merged = rollup
+    merged = rollup
+    if keys is None or set(keys) != set(by):
+        merged = rollup.groupBy(*by, BUCKET).agg(F.bitmap_or_agg(BITMAP).alias(BITMAP))
     return merged.groupBy(*by).agg(F.sum(F.bitmap_count(BITMAP)).alias("ndv"))
 
 

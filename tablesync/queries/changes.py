@@ -109,7 +109,7 @@ def unique_model(spark, d):
 
 def bitmap_uv(spark, d):
     roll = op.bitmap_rollup(table(spark, d, "events"), ["event_type"], "user_id")
-    return op.bitmap_ndv(roll, ["event_type"])
+    return op.bitmap_ndv(roll, ["event_type"], keys=["event_type"])
 
 
 def bitmap_merged_rollup(spark, d):

@@ -198,7 +198,7 @@ QUERIES = {
     "decode_mapped_csv": (decode_mapped_csv, "SELECT *, upper(n_name || '/' || n_regionkey) AS label FROM nation"),
     "text_files": (text_files, _ORDERS_SQL),
     "framed_payloads": (framed_payloads, "SELECT count(*) AS n_rows, CAST(sum(length(l_orderkey || ',' || l_linenumber || ';')) AS BIGINT) AS chars FROM lineitem"),
-    "custom_records": (custom_records, None),
+    "custom_records": (custom_records, r"SELECT conv_id, turn, len(string_split_regex(trim(text, E' \n\t\r'), '\s+')) AS words FROM conversations"),
     "quality_good": (quality_good, _RAW + "SELECT event_id, kind, CAST(level AS TINYINT) AS level, owner FROM q WHERE NOT long_kind AND NOT high AND NOT no_owner"),
     "quality_bad": (quality_bad, _RAW + """
         SELECT event_id, concat_ws('; ', CASE WHEN long_kind THEN 'Value ''' || kind || ''' does not fit VARCHAR(6) of ''kind''' END,

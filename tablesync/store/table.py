@@ -143,11 +143,13 @@ class KeyedTable:
         batch_id: int | None = None,
         evolve: Callable[[dict], dict] | None = None,
         report: Callable[[dict], None] | None = None,
+        parallelism: int | None = None,
     ) -> dict:
         """Check, fold and apply one load, then publish it.
 
         Columns are matched by name. With ``query_id`` and ``batch_id`` a load that is already recorded is skipped.
-        ``evolve`` changes the manifest's columns in the same step. Returns the load report.
+        ``evolve`` changes the manifest's columns in the same step. ``parallelism`` fixes the number of writing tasks,
+        which is otherwise Spark's choice. Returns the load report.
         """
         m = self.manifest()
         if query_id is not None and m["ledger"].get(query_id, -1) >= batch_id:
@@ -163,7 +165,7 @@ class KeyedTable:
                 spec.column(c)  # raises: no such column
         obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
         if spec.model == "duplicate":
-            report_row = self._append(m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id)
+            report_row = self._append(m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id, parallelism)
         else:
             if mode == "partial" and columns is None:
                 columns = [c for c in spec.names if c.lower() in {d.lower() for d in df.columns}]
@@ -171,7 +173,7 @@ class KeyedTable:
                 mode = "conditional"
             report_row = self._apply(
                 m, spec, df, seq, mode, columns, merge_condition, ignore_update_before, kind, strict,
-                max_filter_ratio, obs, query_id, batch_id,
+                max_filter_ratio, obs, query_id, batch_id, parallelism,
             )
         if report:
             report(report_row)
@@ -194,7 +196,7 @@ class KeyedTable:
 
     def _apply(
         self, m, spec, df, seq, mode, columns, merge_condition, ignore_update_before, kind, strict, max_filter_ratio, obs,
-        query_id, batch_id,
+        query_id, batch_id, parallelism,
     ) -> dict:
         keys = list(spec.keys)
         rows = ch.prepare(df, "unique" if spec.model == "unique" else "primary", ignore_update_before, kind)
@@ -216,7 +218,9 @@ class KeyedTable:
                 merge_condition, strategy="split",
             )
             changed = sum(touched.values())
-            commit, written = self._write(m, spec, merged, keys, changed > SMALL_ROWS, query_id, batch_id) if touched else (None, [])
+            commit, written = None, []
+            if touched:
+                commit, written = self._write(m, spec, merged, keys, changed > SMALL_ROWS, query_id, batch_id, parallelism)
         finally:
             folded.unpersist()
         live = {}
@@ -228,13 +232,13 @@ class KeyedTable:
             live[commit] = {"buckets": written, "written": len(written)}
         return self._finish(m, live, commit, counts, query_id, batch_id, keys_changed=changed, buckets=len(touched))
 
-    def _append(self, m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id) -> dict:
+    def _append(self, m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id, parallelism) -> dict:
         rows = df
         if ch.KIND in rows.columns:
             rows = ch.filter_kinds(rows, has_pk=False)
         rows = rows.where(F.col(OP) == 0) if OP in rows.columns else rows
         good, recount = self._checked(rows, spec, strict, obs, None)
-        commit, _ = self._write(m, spec, good.select(*spec.names), None, False, query_id, batch_id)
+        commit, _ = self._write(m, spec, good.select(*spec.names), None, False, query_id, batch_id, parallelism)
         counts = observed(obs, recount)
         try:
             gate(counts["total"], counts["filtered"], max_filter_ratio)
@@ -280,12 +284,13 @@ class KeyedTable:
         live = {commit: {"buckets": written if keys else None, "written": len(written) if keys else None}}
         self._finish(m, live, commit, {"total": 0, "filtered": 0}, None, None)
 
-    def _write(self, m, spec, df, keys, rebalance, query_id, batch_id) -> tuple[str, list[int]]:
+    def _write(self, m, spec, df, keys, rebalance, query_id, batch_id, parallelism=None) -> tuple[str, list[int]]:
         who = f"{_safe(query_id)}-{batch_id}" if query_id is not None else "once-0"
         commit = f"{m['version'] + 1:010d}-{who}-{uuid.uuid4().hex[:8]}"
         named = [F.col(f"`{c}`").cast(spec.column(c).spark).alias(m["physical"][c]) for c in spec.names]
         if keys is None:
             flat = df.select(*named)
+            flat = flat.repartition(parallelism) if parallelism else flat
             (flat.hint("rebalance") if rebalance else flat).write.parquet(self._commit_dir(commit))
             return commit, []
         out = df.select(*named, F.pmod(F.hash(*keys), F.lit(spec.buckets)).alias(BUCKET))
@@ -293,7 +298,9 @@ class KeyedTable:
         # holds whole buckets or a part of one, and the files are few already.
         partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         aligned = partitions % spec.buckets == 0 or spec.buckets % partitions == 0
-        if rebalance == "always" or (rebalance and not aligned):
+        if parallelism:
+            out = out.repartition(parallelism, BUCKET)
+        elif rebalance == "always" or (rebalance and not aligned):
             out = out.hint("rebalance", BUCKET)
         out.write.partitionBy(BUCKET).parquet(self._commit_dir(commit))
         prefix = f"{BUCKET}="

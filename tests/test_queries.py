@@ -26,7 +26,7 @@ def test_entry(spark):
 
 
 def test_only_inexact_queries_lack_sql():
-    assert set(QUERIES) - set(SQL) == {"hll_uv", "custom_records"}
+    assert set(QUERIES) - set(SQL) == {"hll_uv"}
 
 
 def test_hll_is_close(spark, con):
@@ -34,8 +34,3 @@ def test_hll_is_close(spark, con):
     want = dict(con.execute("SELECT event_type, count(DISTINCT event_id) FROM events GROUP BY event_type").fetchall())
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= max(2, 0.05 * want[k]) for k in want)
 
-
-def test_custom_records(spark, con):
-    got = sorted(map(tuple, QUERIES["custom_records"](spark, SF).collect()))
-    rows = con.execute("SELECT conv_id, turn, text FROM conversations").fetchall()
-    assert got == sorted((c, t, len(x.split())) for c, t, x in rows)

@@ -56,6 +56,13 @@ def test_untouched_buckets_stay(spark, reg):
     assert t.read().count() == 200
 
 
+def test_write_parallelism(spark, reg):
+    t = make(reg, buckets=2)
+    t.load(spark.range(1000).selectExpr("cast(id as int) k", "1 a", "'x' b", "id _seq"), "_seq", parallelism=3)
+    files = [f for b in t._files.names(t._commit_dir(list(t.manifest()["live"])[0])) if b.startswith("_bucket") for f in t._files.names(f"{t._commit_dir(list(t.manifest()['live'])[0])}/{b}") if f.endswith(".parquet")]
+    assert len(files) == 2 and t.read().count() == 1000  # a bucket is one task's work here
+
+
 def test_delete_everything(spark, reg):
     t = make(reg)
     rows = spark.createDataFrame([(1, 1, "x", "+I", 1), (2, 1, "x", "+I", 2)], "k int, a int, b string, _kind string, _seq int")

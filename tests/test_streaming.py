@@ -186,7 +186,7 @@ def test_feed_schema_changes_inside_a_batch(spark, reg):
     ts.sync_batch(text(spark, [event("c", None, ROW(9, 9.0, "old"), 1)]), reg, TARGETS, batch_id=0)
     lines = [
         event("c", None, ROW(1, 1.0, "before"), 2),
-        ddl("ALTER TABLE kv DROP COLUMN `c2`", 3), ddl("alter table kv add column c2 varchar(10) not null", 4),
+        ddl("/* tool */ ALTER TABLE kv DROP COLUMN `c2`", 3), ddl("alter table kv add column c2 varchar(10) not null", 4),
         ddl("ALTER TABLE kv ADD d1 DECIMAL(10, 2) default 1", 5), ddl("ALTER TABLE kv ADD INDEX idx (c1)", 5),
         ddl("ALTER TABLE kv ADD COLUMN gone INT, ADD COLUMN more INT", 5), ddl("ALTER TABLE kv DROP COLUMN gone", 6),
         ddl("CREATE TABLE kv2 (id int)", 6), ddl("ALTER TABLE kv ADD COLUMN shape GEOMETRY", 6), ddl("ALTER TABLE kv DROP COLUMN nothere", 6),
