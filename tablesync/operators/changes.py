@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..spec import OP
 
 KIND = "_kind"
-_HIT, _GONE, _ALIVE = "_hit", "_gone", "_alive"
+_HIT, GONE, ALIVE = "_hit", "_gone", "_alive"
 SALT = 8
 
 
@@ -97,7 +97,7 @@ def fold(
         last = rows.groupBy(*keys).agg(F.max_by(F.struct(OP, *columns), "_ord").alias("_w"))
         alive = F.col(f"_w.{OP}") == 0
         values = [F.col(f"_w.{c}").alias(_value(c)) for c in columns]
-        return last.select(*keys, F.lit(True).alias(_GONE), alive.alias(_ALIVE), *values)
+        return last.select(*keys, F.lit(True).alias(GONE), alive.alias(ALIVE), *values)
     if mode != "partial":
         raise ValueError(f"unknown mode {mode}")
     return _fold_partial(rows, keys, columns, dict(present or {}))
@@ -130,7 +130,7 @@ def _fold_partial(rows: DataFrame, keys: list[str], columns: list[str], present:
         given = since(F.col(source[c].split(".")[0] + ".at"))
         outs += [F.when(given, F.col(source[c])).alias(_value(c)), given.alias(_set(c))]
     return folded.select(
-        *keys, F.col("_del").isNotNull().alias(_GONE), since(F.col("_up")).alias(_ALIVE), *outs
+        *keys, F.col("_del").isNotNull().alias(GONE), since(F.col("_up")).alias(ALIVE), *outs
     )
 
 
@@ -162,8 +162,8 @@ def _fold_conditional(
     best = both.groupBy(*keys).agg(F.max_by("_row", "_rank").alias("_w"), F.max("_del").alias("_del"))
     return best.select(
         *keys,
-        F.col("_del").isNotNull().alias(_GONE),
-        F.col("_w").isNotNull().alias(_ALIVE),
+        F.col("_del").isNotNull().alias(GONE),
+        F.col("_w").isNotNull().alias(ALIVE),
         *[F.col(f"_w.{c}").alias(_value(c)) for c in columns],
     )
 
@@ -173,10 +173,10 @@ def _resolve(
 ) -> DataFrame:
     """Rows where target columns and folded columns sit side by side -> resulting table rows."""
     hit = F.col(_HIT).isNotNull()
-    gone = hit & F.col(_GONE)
+    gone = hit & F.col(GONE)
     if mode == "conditional":
         current, new = F.struct(F.col(condition)), F.struct(F.col(_value(condition)).alias(condition))
-        keep_target = ~hit | (F.col("_in").isNotNull() & ~gone & F.col(_ALIVE) & (new < current))
+        keep_target = ~hit | (F.col("_in").isNotNull() & ~gone & F.col(ALIVE) & (new < current))
     else:
         keep_target = ~hit
     result = []
@@ -191,7 +191,7 @@ def _resolve(
             result.append(F.when(keep_target, F.col(c)).otherwise(new).alias(c))
         else:
             result.append(F.when(keep_target, F.col(c)).otherwise(F.col(_value(c))).alias(c))
-    return df.where(~hit | F.col(_ALIVE)).select(*result)
+    return df.where(~hit | F.col(ALIVE)).select(*result)
 
 
 def merge(
@@ -225,7 +225,7 @@ def merge(
     changed = folded.select(*keys)
     untouched = target.select(*out).join(changed, keys, "left_anti")
     if mode == "full" and set(rest) <= set(columns):
-        rebuilt = folded.where(_ALIVE).select(*[F.col(c) if c in keys else F.col(_value(c)).alias(c) for c in out])
+        rebuilt = folded.where(ALIVE).select(*[F.col(c) if c in keys else F.col(_value(c)).alias(c) for c in out])
     else:
         touched = there.join(changed, keys, "left_semi")
         rebuilt = _resolve(marked.join(touched, keys, "left"), keys, out, columns, mode, merge_condition)

@@ -46,7 +46,7 @@ def stream_replay(spark, d):
     return t.read().select("user_id", "event_type", F.lit(t.manifest()["version"]).alias("version"))
 
 
-def keyed_table_batches(spark, d):
+def keyed_table_batches(spark, d, on_read=False):
     """Customers loaded, then orders applied as three consecutive batches by date."""
     spec = TableSpec(
         "db", "customer", (ColumnSpec("c_custkey", "BIGINT", False), ColumnSpec("c_name", "STRING"), ColumnSpec("c_acctbal", "DECIMAL(12,2)"), ColumnSpec("c_mktsegment", "STRING")),
@@ -57,10 +57,15 @@ def keyed_table_batches(spark, d):
     log, at = order_log(spark, d), C("o_orderdate")
     cuts = [at < F.lit("1997-01-01").cast("timestamp_ntz"), at < F.lit("1999-01-01").cast("timestamp_ntz")]
     for i, part in enumerate([cuts[0], ~cuts[0] & cuts[1], ~cuts[1]]):
-        t.load(log.where(part), ORDER_SEQ, query_id="orders", batch_id=i)
+        t.load(log.where(part), ORDER_SEQ, query_id="orders", batch_id=i, merge_on_read=on_read)
     return t.read()
 
 
+def keyed_table_deltas(spark, d):
+    """The same loads, kept as deltas and merged when the table is read."""
+    return keyed_table_batches(spark, d, True)
+
+
 def stream_lookup(spark, d):
     orders = _stream(spark, d, "orders").select("o_orderkey", C("o_custkey").alias("c_custkey"))
     out = work_dir(spark, "joined")
@@ -130,14 +135,17 @@ def aggregate_table(spark, d):
 
 _LAST = "SELECT user_id, event_type, value, props FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error'"
 
-QUERIES = {
-    "stream_apply": (stream_apply, _LAST),
-    "stream_replay": (stream_replay, f"SELECT user_id, event_type, 1 AS version FROM ({_LAST})"),
-    "keyed_table_batches": (keyed_table_batches, """
+_CUSTOMERS = """
         WITH ch AS (SELECT o_custkey AS k, 'order ' || o_orderkey AS name, CAST(o_totalprice AS DECIMAL(12,2)) AS bal, o_orderpriority AS seg, o_orderstatus,
                            row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
         SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT k FROM ch)
-        UNION ALL SELECT k, name, bal, seg FROM ch WHERE rn = 1 AND o_orderstatus <> 'P'"""),
+        UNION ALL SELECT k, name, bal, seg FROM ch WHERE rn = 1 AND o_orderstatus <> 'P'"""
+
+QUERIES = {
+    "stream_apply": (stream_apply, _LAST),
+    "stream_replay": (stream_replay, f"SELECT user_id, event_type, 1 AS version FROM ({_LAST})"),
+    "keyed_table_batches": (keyed_table_batches, _CUSTOMERS),
+    "keyed_table_deltas": (keyed_table_deltas, _CUSTOMERS),
     "stream_lookup": (stream_lookup, "SELECT o_custkey AS c_custkey, o_orderkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey"),
     "stream_route": (stream_route, "SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS INTEGER) AS size FROM supplier UNION ALL SELECT p_partkey, p_name, p_size FROM part WHERE p_size <> 13"),
     "registry_evolve": (registry_evolve, "SELECT p_partkey, p_name, CASE WHEN p_size > 25 THEN p_size + 100 ELSE 7 END AS grade FROM part"),

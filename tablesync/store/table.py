@@ -1,7 +1,7 @@
 """A keyed table kept as Parquet files plus one manifest per version.
 
 Layout: ``data/_commit=<id>/_bucket=<n>/*.parquet`` and ``_manifest/<version>.json``. A load rewrites only the buckets
-its keys fall into, writes them beside the old ones and then publishes the next manifest: data and the record of the
+its keys fall into (or, merging on read, writes the folded load as a delta for them) and then publishes the next manifest: data and the record of the
 load (``query_id`` -> last ``batch_id``) become visible in one rename. Readers open one manifest, so they see one
 version. All row work is Spark's; the driver handles bucket numbers (bounded by the bucket count) and the manifest.
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections import Counter
 from functools import reduce
 from typing import Callable, Iterable
 
@@ -25,6 +26,7 @@ from ..session import Files, observed
 from ..spec import OP, ColumnSpec, TableSpec, validate
 
 SMALL_ROWS = 200_000  # folds up to this many rows never need the rebalancing shuffle before the write
+KEEP_VERSIONS = 100  # older manifests are removed as new ones are published; their files go with vacuum
 BUCKET, COMMIT = "_bucket", "_commit"
 
 
@@ -71,6 +73,8 @@ class KeyedTable:
     def _publish(self, manifest: dict) -> None:
         if not self._files.publish_text(self._manifest_path(manifest["version"]), json.dumps(manifest)):
             raise ConcurrentCommit(f"version {manifest['version']} of {self.path} was published by another writer")
+        if manifest["version"] >= KEEP_VERSIONS:
+            self._files.delete(self._manifest_path(manifest["version"] - KEEP_VERSIONS))
 
     @property
     def spec(self) -> TableSpec:
@@ -85,28 +89,75 @@ class KeyedTable:
         return f"{self.path}/data/{COMMIT}={commit}"
 
     def _read(self, m: dict, buckets: set[int] | None = None) -> DataFrame:
+        """Rows of all or some buckets: the base, with pending deltas merged in."""
         spec = TableSpec.from_dict(m["spec"])
+        fields = [T.StructField(m["physical"][c.name], c.spark) for c in spec.columns]
+        files = self._scan(m["live"], buckets, fields)
+        base = None if files is None else files.select(*[self._column(m, c) for c in spec.columns])
+        pending = self._scan(m.get("deltas", {}), buckets, self._delta_fields(m, spec))
+        if pending is None:
+            return self.spark.createDataFrame([], spec.schema) if base is None else base
+        rows = sum(e["rows"] for e in m["deltas"].values())
+        whole = all(e["mode"] == "full" for e in m["deltas"].values())
+        return ch.merge(
+            base, self._fold_deltas(m, spec, pending, whole), spec.keys, spec.names, spec.values,
+            "full" if whole else "partial", strategy="split" if rows <= SMALL_ROWS else "outer",
+        )
+
+    def _scan(self, entries: dict, buckets: set[int] | None, fields: list[T.StructField]) -> DataFrame | None:
         paths = []
-        for commit, live in m["live"].items():
-            here = live["buckets"]
-            if here is None:
+        for commit, e in entries.items():
+            if e["buckets"] is None:
                 paths.append(self._commit_dir(commit))
                 continue
-            wanted = [b for b in here if buckets is None or b in buckets]
-            if len(wanted) == live["written"]:
+            wanted = [b for b in e["buckets"] if buckets is None or b in buckets]
+            if len(wanted) == e["written"]:
                 paths.append(self._commit_dir(commit))
             else:
                 paths += [f"{self._commit_dir(commit)}/{BUCKET}={b}" for b in wanted]
         if not paths:
-            return self.spark.createDataFrame([], spec.schema)
-        fields = [T.StructField(m["physical"][c.name], c.spark) for c in spec.columns]
+            return None
         parts = [T.StructField(COMMIT, T.StringType())]
-        if any(live["buckets"] is not None for live in m["live"].values()):
+        if any(e["buckets"] is not None for e in entries.values()):
             parts.append(T.StructField(BUCKET, T.IntegerType()))
-        files = (
-            self.spark.read.schema(T.StructType(fields + parts)).option("basePath", f"{self.path}/data").parquet(*paths)
-        )
-        return files.select(*[self._column(m, c) for c in spec.columns])
+        reader = self.spark.read.schema(T.StructType(fields + parts)).option("basePath", f"{self.path}/data")
+        return reader.parquet(*paths)
+
+    # -- deltas: folded loads kept beside the base and merged when the table is read ------------------------------
+
+    def _delta_fields(self, m: dict, spec: TableSpec) -> list[T.StructField]:
+        name = m["physical"]
+        out = [T.StructField(name[k], spec.column(k).spark) for k in spec.keys]
+        out += [T.StructField(flag, T.BooleanType()) for flag in (ch.GONE, ch.ALIVE)]
+        for c in spec.values:
+            out += [T.StructField(f"_n_{name[c]}", spec.column(c).spark), T.StructField(f"_s_{name[c]}", T.BooleanType())]
+        return out
+
+    def _fold_deltas(self, m: dict, spec: TableSpec, pending: DataFrame, whole: bool) -> DataFrame:
+        """One folded row per key over all deltas, in the order of their commits."""
+        name, keys = m["physical"], list(spec.keys)
+        named = [F.col(f"`{name[k]}`").alias(k) for k in keys]
+        values = [F.col(f"`_n_{name[c]}`").alias(c) for c in spec.values]
+        if whole:
+            rows = pending.select(*named, *values, COMMIT, F.when(F.col(ch.ALIVE), 0).otherwise(1).alias(OP))
+            return ch.fold(rows, keys, [COMMIT], spec.values)
+        # a delta row stands for a delete, an upsert, or a delete followed by an upsert
+        step = lambda op, sub: F.struct(F.lit(op).alias(OP), F.lit(sub).alias("_sub"))
+        steps = F.array_compact(F.array(F.when(F.col(ch.GONE), step(1, 0)), F.when(F.col(ch.ALIVE), step(0, 1))))
+        given = [F.col(f"`_s_{name[c]}`").alias(f"_given_{c}") for c in spec.values]
+        rows = pending.select(*named, *values, *given, COMMIT, F.explode(steps).alias("_step")).select("*", "_step.*")
+        present = {c: F.col(f"_given_{c}") for c in spec.values}
+        return ch.fold(rows, keys, [COMMIT, "_sub"], spec.values, "partial", present=present)
+
+    def _delta_rows(self, m: dict, spec: TableSpec, folded: DataFrame, mode: str, given: list[str]) -> DataFrame:
+        name, out = m["physical"], [ch.GONE, ch.ALIVE]
+        for k in spec.keys:
+            out.append(F.col(k).cast(spec.column(k).spark).alias(name[k]))
+        for c in spec.values:
+            value = F.col(f"_n_{c}") if c in given else F.lit(None)
+            flag = F.lit(c in given) if mode == "full" or c not in given else F.col(f"_s_{c}")
+            out += [value.cast(spec.column(c).spark).alias(f"_n_{name[c]}"), flag.alias(f"_s_{name[c]}")]
+        return folded.select(*out, BUCKET)
 
     def _column(self, m: dict, c: ColumnSpec) -> Column:
         col = F.col(f"`{m['physical'][c.name]}`")
@@ -119,9 +170,14 @@ class KeyedTable:
     # -- schema --------------------------------------------------------------------------------------------------
 
     def evolve(self, add: Iterable[ColumnSpec] = (), drop: Iterable[str] = ()) -> None:
-        """Add columns at the end and drop columns, in one manifest; no data file is touched."""
+        """Add columns at the end and drop columns, in one manifest; no data file is touched.
+
+        A default value counts for the rows of older files, so pending deltas are merged first if there is one."""
+        add = list(add)
+        if any(c.default is not None for c in add) and self.manifest().get("deltas"):
+            self.compact()
         m = self.manifest()
-        self._publish({**evolve_manifest(m, list(add), list(drop)), "version": m["version"] + 1})
+        self._publish({**evolve_manifest(m, add, list(drop)), "version": m["version"] + 1})
 
     # -- loads ---------------------------------------------------------------------------------------------------
 
@@ -144,12 +200,14 @@ class KeyedTable:
         evolve: Callable[[dict], dict] | None = None,
         report: Callable[[dict], None] | None = None,
         parallelism: int | None = None,
+        merge_on_read: bool | None = None,
     ) -> dict:
         """Check, fold and apply one load, then publish it.
 
         Columns are matched by name. With ``query_id`` and ``batch_id`` a load that is already recorded is skipped.
         ``evolve`` changes the manifest's columns in the same step. ``parallelism`` fixes the number of writing tasks,
-        which is otherwise Spark's choice. Returns the load report.
+        which is otherwise Spark's choice. ``merge_on_read`` (default: the table's property) writes only the folded load
+        beside the table instead of rewriting buckets; conditional loads always rewrite. Returns the load report.
         """
         m = self.manifest()
         if query_id is not None and m["ledger"].get(query_id, -1) >= batch_id:
@@ -174,6 +232,7 @@ class KeyedTable:
             report_row = self._apply(
                 m, spec, df, seq, mode, columns, merge_condition, ignore_update_before, kind, strict,
                 max_filter_ratio, obs, query_id, batch_id, parallelism,
+                spec.props.get("merge_on_read") == "true" if merge_on_read is None else merge_on_read,
             )
         if report:
             report(report_row)
@@ -196,7 +255,7 @@ class KeyedTable:
 
     def _apply(
         self, m, spec, df, seq, mode, columns, merge_condition, ignore_update_before, kind, strict, max_filter_ratio, obs,
-        query_id, batch_id, parallelism,
+        query_id, batch_id, parallelism, merge_on_read,
     ) -> dict:
         keys = list(spec.keys)
         rows = ch.prepare(df, "unique" if spec.model == "unique" else "primary", ignore_update_before, kind)
@@ -212,24 +271,30 @@ class KeyedTable:
             touched = {r[BUCKET]: r["count"] for r in folded.groupBy(BUCKET).count().collect()}
             counts = observed(obs, recount)
             gate(counts["total"], counts["filtered"], max_filter_ratio)
-            current = self._read(m, set(touched)) if m["live"] else None
-            merged = ch.merge(
-                current, folded.drop(BUCKET), keys, spec.names, given if mode == "partial" else spec.values, mode,
-                merge_condition, strategy="split",
-            )
             changed = sum(touched.values())
+            loaded = given if mode == "partial" else spec.values
+            filled = bool(m["live"] or m.get("deltas"))
+            as_delta = merge_on_read and filled and mode != "conditional" and bool(touched)
             commit, written = None, []
-            if touched:
+            if as_delta:
+                rows = self._delta_rows(m, spec, folded, mode, loaded)
+                commit, written = self._write_buckets(m, rows, spec, changed > SMALL_ROWS, query_id, batch_id, parallelism)
+            elif touched:
+                current = self._read(m, set(touched)) if filled else None
+                merged = ch.merge(
+                    current, folded.drop(BUCKET), keys, spec.names, loaded, mode, merge_condition, strategy="split"
+                )
                 commit, written = self._write(m, spec, merged, keys, changed > SMALL_ROWS, query_id, batch_id, parallelism)
         finally:
             folded.unpersist()
-        live = {}
-        for c, entry in m["live"].items():
-            rest = [b for b in entry["buckets"] if b not in touched]
-            if rest:
-                live[c] = {**entry, "buckets": rest}
-        if written:
-            live[commit] = {"buckets": written, "written": len(written)}
+        live, deltas = m["live"], m.get("deltas", {})
+        if as_delta:
+            deltas = {**deltas, commit: {"buckets": written, "written": len(written), "rows": changed, "mode": mode}}
+        else:
+            live, deltas = _without(live, touched), _without(deltas, touched)
+            if written:
+                live[commit] = {"buckets": written, "written": len(written)}
+        m = {**m, "deltas": deltas}
         return self._finish(m, live, commit, counts, query_id, batch_id, keys_changed=changed, buckets=len(touched))
 
     def _append(self, m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id, parallelism) -> dict:
@@ -268,32 +333,46 @@ class KeyedTable:
             commit, written = self._write(m, spec, merged.select(*spec.names), keys, True, query_id, batch_id)
         finally:
             folded.unpersist()
-        live = {
-            c: {**e, "buckets": rest} for c, e in m["live"].items() if (rest := [b for b in e["buckets"] if b not in touched])
-        }
+        live = _without(m["live"], touched)
         if written:
             live[commit] = {"buckets": written, "written": len(written)}
         return self._finish(m, live, commit, {"total": sum(touched.values()), "filtered": 0}, query_id, batch_id)
 
-    def compact(self) -> None:
-        """Rewrite all buckets with well-sized files."""
+    def compact(self, min_deltas: int = 0) -> None:
+        """Merge deltas into the base and rewrite buckets with well-sized files: all buckets, or only those with at least
+        ``min_deltas`` deltas."""
         m = self.manifest()
         spec = TableSpec.from_dict(m["spec"])
         keys = list(spec.keys) if spec.model != "duplicate" else None
-        commit, written = self._write(m, spec, self._read(m), keys, "always", None, None)
-        live = {commit: {"buckets": written if keys else None, "written": len(written) if keys else None}}
-        self._finish(m, live, commit, {"total": 0, "filtered": 0}, None, None)
+        live, deltas, chosen = {}, {}, None
+        if min_deltas:
+            counts = Counter(b for e in m.get("deltas", {}).values() for b in e["buckets"])
+            chosen = {b for b, n in counts.items() if n >= min_deltas}
+            if not chosen:
+                return
+            live, deltas = _without(m["live"], chosen), _without(m["deltas"], chosen)
+        commit, written = self._write(m, spec, self._read(m, chosen), keys, "always", None, None)
+        if keys is None or written:
+            live[commit] = {"buckets": written if keys else None, "written": len(written) if keys else None}
+        self._finish({**m, "deltas": deltas}, live, commit, {"total": 0, "filtered": 0}, None, None)
 
     def _write(self, m, spec, df, keys, rebalance, query_id, batch_id, parallelism=None) -> tuple[str, list[int]]:
-        who = f"{_safe(query_id)}-{batch_id}" if query_id is not None else "once-0"
-        commit = f"{m['version'] + 1:010d}-{who}-{uuid.uuid4().hex[:8]}"
         named = [F.col(f"`{c}`").cast(spec.column(c).spark).alias(m["physical"][c]) for c in spec.names]
         if keys is None:
-            flat = df.select(*named)
+            commit, flat = self._new_commit(m, query_id, batch_id), df.select(*named)
             flat = flat.repartition(parallelism) if parallelism else flat
             (flat.hint("rebalance") if rebalance else flat).write.parquet(self._commit_dir(commit))
             return commit, []
         out = df.select(*named, F.pmod(F.hash(*keys), F.lit(spec.buckets)).alias(BUCKET))
+        return self._write_buckets(m, out, spec, rebalance, query_id, batch_id, parallelism)
+
+    def _new_commit(self, m, query_id, batch_id) -> str:
+        who = f"{_safe(query_id)}-{batch_id}" if query_id is not None else "once-0"
+        return f"{m['version'] + 1:010d}-{who}-{uuid.uuid4().hex[:8]}"
+
+    def _write_buckets(self, m, out, spec, rebalance, query_id, batch_id, parallelism) -> tuple[str, list[int]]:
+        """Write rows by bucket; returns the commit and the buckets that have rows."""
+        commit = self._new_commit(m, query_id, batch_id)
         # Buckets use the hash of Spark's shuffles. When one of the two numbers divides the other, a shuffle partition
         # holds whole buckets or a part of one, and the files are few already.
         partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -328,7 +407,8 @@ class KeyedTable:
     def _kept(self) -> tuple[set[str], dict[str, set[int] | None]]:
         commits, buckets = set(), {}
         for v in self.versions():
-            for c, e in self.manifest(v)["live"].items():
+            m = self.manifest(v)
+            for c, e in {**m["live"], **m.get("deltas", {})}.items():
                 commits.add(c)
                 if e["buckets"] is None:
                     buckets[c] = None
@@ -368,6 +448,16 @@ class KeyedTable:
         return removed
 
 
+def _without(entries: dict, buckets: Iterable[int]) -> dict:
+    """Commit entries without some buckets; commits that have none left go."""
+    gone, out = set(buckets), {}
+    for c, e in entries.items():
+        rest = [b for b in e["buckets"] if b not in gone]
+        if rest:
+            out[c] = {**e, "buckets": rest}
+    return out
+
+
 def _safe(query_id: str) -> str:
     return re.sub(r"[^A-Za-z0-9_]", "_", query_id)
 

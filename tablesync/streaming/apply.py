@@ -59,13 +59,17 @@ def stream_apply(
     exactly_once: bool = True,
     trigger: str = "availableNow",
     sink: str = "table",
+    compact_every: int | None = None,
+    compact_min_deltas: int = 8,
+    vacuum_every: int | None = None,
     **load_options,
 ) -> StreamingQuery:
     """Apply each micro-batch of a stream as one load: one commit whatever the number of tasks.
 
     Exactly-once: the commit records the batch number, a replayed batch is skipped, leftovers of a crashed run are
     removed first. At-least-once leaves the record out. ``sink="noop"`` runs the stream and discards the rows.
-    Order of changes comes from ``seq``, never from task timing.
+    Order of changes comes from ``seq``, never from task timing. With ``merge_on_read`` every ``compact_every``-th batch
+    merges the buckets that have ``compact_min_deltas`` deltas; every ``vacuum_every``-th one removes files of old versions.
     """
     if sink == "noop":
         when = {"availableNow": True} if trigger == "availableNow" else {"processingTime": trigger}
@@ -74,6 +78,11 @@ def stream_apply(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         own = {"query_id": query_id, "batch_id": batch_id} if exactly_once else {}
-        KeyedTable(batch.sparkSession, table.path).load(batch, seq, **own, **load_options)
+        target = KeyedTable(batch.sparkSession, table.path)
+        target.load(batch, seq, **own, **load_options)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            target.compact(compact_min_deltas)
+        if vacuum_every and (batch_id + 1) % vacuum_every == 0:
+            target.vacuum()
 
     return start_query(stream, on_batch, checkpoint, trigger)

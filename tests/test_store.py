@@ -23,8 +23,9 @@ def make(reg, name="t", columns=KV, keys=("k",), **kw):
     return reg.create(ts.TableSpec("db", name, tuple(columns), keys=keys, **{"buckets": 4, **kw}))
 
 
+@pytest.mark.parametrize("on_read", [False, True])
 @pytest.mark.parametrize("mode,opts", [("full", {}), ("partial", {"columns": ["k", "b"]}), ("full", {"merge_condition": "a"})])
-def test_loads_equal_replay_for_any_split(spark, reg, mode, opts):
+def test_loads_equal_replay_for_any_split(spark, reg, mode, opts, on_read):
     rng = random.Random(5)
     log = random_log(rng, 50)
     cols = ["b"] if "columns" in opts else list(COLS)
@@ -37,8 +38,9 @@ def test_loads_equal_replay_for_any_split(spark, reg, mode, opts):
         if "columns" in opts:
             df = df.drop("a")
         for _ in range(2):  # every batch is delivered twice
-            t.load(df, "_seq", mode=mode, query_id="q", batch_id=i, **opts)
+            t.load(df, "_seq", mode=mode, query_id="q", batch_id=i, merge_on_read=on_read, **opts)
     assert state_of(t.read()) == want
+    assert bool(t.manifest()["deltas"]) == (on_read and "merge_condition" not in opts)
     t.compact()
     assert state_of(t.read()) == want
 
@@ -56,6 +58,57 @@ def test_untouched_buckets_stay(spark, reg):
     assert t.read().count() == 200
 
 
+def test_merge_on_read_mixed_loads(spark, reg):
+    """Full and partial deltas, a conditional rewrite over them, schema changes and compaction, against the replay."""
+    rng = random.Random(11)
+    t = make(reg, props={"merge_on_read": "true"})
+    state, at = {}, 0
+    for i, kind in enumerate(["full", "full", "partial", "full", "partial", "conditional", "partial"]):
+        log = random_log(rng, 25)
+        cols = ["b"] if kind == "partial" else list(COLS)
+        for r in log:
+            r["has"] = set(cols)
+        state = replay(state, log, kind, cols, "a" if kind == "conditional" else None)
+        df = changes_df(spark, log, rng, at).drop("has_a", "has_b")
+        at += len(log)
+        if kind == "partial":
+            df = df.drop("a")
+        t.load(df, "_seq", mode="partial" if kind == "partial" else "full", merge_condition="a" if kind == "conditional" else None, query_id="q", batch_id=i)
+        assert state_of(t.read()) == state
+        if i == 3:
+            assert len(t.manifest()["deltas"]) == 3
+            t.compact(min_deltas=3)
+            assert state_of(t.read()) == state
+            assert all(len(e["buckets"]) < 4 for e in t.manifest()["deltas"].values())
+        if i == 4:
+            t.evolve(add=[ts.ColumnSpec("c", "INT", True, "3"), ts.ColumnSpec("d", "INT")])
+            assert not t.manifest()["deltas"]  # the default made it merge
+            assert {tuple(r) for r in t.read().select("c", "d").collect()} == {(3, None)}
+    t.compact()
+    t.vacuum(1)
+    assert state_of(t.read()) == state
+
+
+def test_merge_on_read_does_not_rewrite(spark, reg):
+    t = make(reg, buckets=8)
+    t.load(spark.range(1000).selectExpr("cast(id as int) k", "1 a", "'x' b", "id _seq"), "_seq")
+    live = t.manifest()["live"]
+    for i in range(2):
+        t.load(spark.range(0, 1000, 10).selectExpr("cast(id as int) k", f"{i} a", "'y' b", "id _seq"), "_seq", merge_on_read=True)
+    assert t.manifest()["live"] == live and len(t.manifest()["deltas"]) == 2
+    assert t.read().where("b = 'y' and a = 1").count() == 100 and t.read().count() == 1000
+    t.evolve(drop=["a"], add=[ts.ColumnSpec("a", "STRING")])
+    assert t.read().where("a is not null").count() == 0 and len(t.manifest()["deltas"]) == 2
+
+
+def test_old_manifests_go(spark, reg, monkeypatch):
+    monkeypatch.setattr("tablesync.store.table.KEEP_VERSIONS", 3)
+    t = make(reg)
+    for i in range(5):
+        t.evolve(add=[ts.ColumnSpec(f"x{i}", "INT")])
+    assert t.versions() == [3, 4, 5]
+
+
 def test_write_parallelism(spark, reg):
     t = make(reg, buckets=2)
     t.load(spark.range(1000).selectExpr("cast(id as int) k", "1 a", "'x' b", "id _seq"), "_seq", parallelism=3)

@@ -47,6 +47,18 @@ def test_stream_apply_exactly_once(spark, reg, tmp_path):
     assert t.manifest()["version"] == 4 and sorted(r["k"] for r in t.read().collect()) == [1, 5]
 
 
+def test_stream_merge_on_read(spark, reg, tmp_path):
+    src = str(tmp_path / "src")
+    for i in range(4):
+        feed(spark, src, i, [(k, f"v{i}", "+U", i * 10 + k) for k in range(6)], SCHEMA)
+    t = reg.table("db", "t")
+    stream = read_stream(spark, src, SCHEMA, **ts.admission(max_files=1))
+    ts.stream_apply(stream, t, str(tmp_path / "ck"), "_seq", merge_on_read=True, compact_every=3, compact_min_deltas=2, vacuum_every=4).awaitTermination(120)
+    m = t.manifest()
+    assert len(m["deltas"]) == 1 and len(t.versions()) == 2
+    assert sorted(map(tuple, t.read().collect())) == [(k, "v3") for k in range(6)]
+
+
 def test_noop_sink_and_listener(spark, reg, tmp_path):
     src = str(tmp_path / "src")
     feed(spark, src, 0, [(1, "a", "+I", 1), (2, None, "+I", 2)], SCHEMA)
