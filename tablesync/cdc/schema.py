@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..spec import ColumnSpec, TableSpec

@@ -5,9 +5,9 @@ from __future__ import annotations
 import time
 from typing import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from ..session import broadcast_if_small
+from ..session import is_small
 
 BROADCAST_BYTES = 16 << 20  # measured size of the rows
 
@@ -17,12 +17,19 @@ def lookup_join(
 ) -> DataFrame:
     """Join rows with every matching dimension row.
 
-    The dimension is broadcast only if its measured size is below the bound. Above it the join is a shuffle join and AQE
-    splits the partitions of hot probe keys.
+    A dimension whose measured size is below the bound is broadcast. A bigger one meets a small probe (a micro-batch) by
+    its keys: they are broadcast instead, so the dimension is filtered where it is read and never shuffled as a whole.
+    Otherwise it is a sort-merge join, where AQE splits the partitions of hot keys.
     """
+    on = list(on)
     if how not in ("inner", "left"):
         raise ValueError("a lookup join is inner or left")
-    return df.join(broadcast_if_small(dim, max_broadcast_bytes), list(on), how)
+    small = is_small(dim, max_broadcast_bytes)
+    if small:
+        return df.join(F.broadcast(dim), on, how)
+    if is_small(df.select(*on), max_broadcast_bytes):
+        return df.join(lookup_by_keys(df, dim, on, max_broadcast_bytes), on, how)
+    return df.join(dim if small is None else dim.hint("merge"), on, how)
 
 
 def lookup_by_keys(
@@ -31,7 +38,7 @@ def lookup_by_keys(
     """Only the dimension rows some probe key asks for. Each distinct key is looked up once."""
     on = list(on)
     wanted = keys.select(*on).dropna(subset=on).distinct()
-    return dim.join(broadcast_if_small(wanted, max_broadcast_bytes), on, "left_semi")
+    return dim.join(F.broadcast(wanted) if is_small(wanted, max_broadcast_bytes) else wanted, on, "left_semi")
 
 
 class CachedDimension:

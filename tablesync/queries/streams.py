@@ -8,7 +8,9 @@ from .. import operators as op, streaming
 from ..session import work_dir
 from ..spec import ColumnSpec, TableSpec
 from ..store import KeyedTable, Registry
-from .changes import ORDER_SEQ, SEQ, event_log, order_log
+from . import encoding
+from .changes import ORDER_SEQ, SEQ, order_log
+from .encoding import raw_events
 from .reads import C, table
 
 EVENT_SPEC = TableSpec(
@@ -66,6 +68,17 @@ def keyed_table_deltas(spark, d):
     return keyed_table_batches(spark, d, True)
 
 
+def gated_load(spark, d):
+    """Unchecked text into a keyed table: misfits are rejected, counted and held against the allowed ratio."""
+    spec = TableSpec(
+        "db", "checked", (ColumnSpec("event_id", "BIGINT", False), ColumnSpec("kind", "VARCHAR(6)"), ColumnSpec("level", "TINYINT"), ColumnSpec("owner", "BIGINT", False)),
+        keys=("event_id",), buckets=8,
+    )
+    t = _table(spark, spec)
+    t.load(raw_events(spark, d).withColumn("_seq", F.lit(0)), "_seq", max_filter_ratio=0.9)
+    return t.read()
+
+
 def stream_lookup(spark, d):
     orders = _stream(spark, d, "orders").select("o_orderkey", C("o_custkey").alias("c_custkey"))
     out = work_dir(spark, "joined")
@@ -146,6 +159,7 @@ QUERIES = {
     "stream_replay": (stream_replay, f"SELECT user_id, event_type, 1 AS version FROM ({_LAST})"),
     "keyed_table_batches": (keyed_table_batches, _CUSTOMERS),
     "keyed_table_deltas": (keyed_table_deltas, _CUSTOMERS),
+    "gated_load": (gated_load, encoding.QUERIES["quality_good"][1]),
     "stream_lookup": (stream_lookup, "SELECT o_custkey AS c_custkey, o_orderkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey"),
     "stream_route": (stream_route, "SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS INTEGER) AS size FROM supplier UNION ALL SELECT p_partkey, p_name, p_size FROM part WHERE p_size <> 13"),
     "registry_evolve": (registry_evolve, "SELECT p_partkey, p_name, CASE WHEN p_size > 25 THEN p_size + 100 ELSE 7 END AS grade FROM part"),

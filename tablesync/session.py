@@ -38,16 +38,12 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0])
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
-    """Broadcast hint for a table that is proven to be small.
+def is_small(df: DataFrame, max_bytes: int) -> bool | None:
+    """Whether a table is proven to be small. None: its plan estimate is above the bound, so it was not measured.
 
-    A plan estimate above the bound leaves the join to Catalyst and AQE. An estimate below it is no proof (files are
-    compressed, aggregates and explodes are guessed), so the rows are measured; a table that turns out bigger gets a
-    sort-merge join, where AQE splits hot keys.
+    An estimate below the bound is no proof (files are compressed, aggregates and explodes are guessed).
     """
-    if plan_bytes(df) > max_bytes:
-        return df
-    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df.hint("merge")
+    return None if plan_bytes(df) > max_bytes else measured_bytes(df) <= max_bytes
 
 
 def observed(observation: Observation, recount: DataFrame) -> dict:

@@ -7,9 +7,9 @@ from typing import Callable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.encode import NULL_TEXT, parse_delimiter
-from ..operators.columns import map_columns, split_mapping
+from ..operators.columns import split_mapping
 from ..operators.quality import REASONS, conform
-from ..spec import OP, TableSpec
+from ..spec import TableSpec
 
 # fixed values: defaults of a JSON load
 JSON_DEFAULTS = {"strip_outer_array": "true", "ignore_json_size": "true"}

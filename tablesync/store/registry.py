@@ -5,11 +5,11 @@ from __future__ import annotations
 from dataclasses import replace
 from typing import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..session import Files
 from ..sources.scan import _conditions, _known
-from ..spec import ColumnSpec, TableSpec
+from ..spec import ColumnSpec, TableSpec, validate
 from ..types import split_type
 from .table import KeyedTable
 
@@ -103,7 +103,13 @@ class Registry:
         df = df.select(*_known(df, columns)) if columns else df
         return df if limit is None else df.limit(limit)
 
-    def apply(self, database: str, table: str, df: DataFrame, **options) -> dict:
-        """Insert-select or change-log load into a table."""
+    def apply(self, database: str, table: str, df: DataFrame, declared_keys: Iterable[str] | None = None, **options) -> dict:
+        """Insert-select or change-log load into a table.
+
+        With ``declared_keys`` the input's schema (columns of the table only) is checked against the table first.
+        """
         t = self.table(database, table)
+        if declared_keys is not None:
+            known = {n.lower() for n in t.spec.names}
+            validate(T.StructType([f for f in df.schema.fields if f.name.lower() in known]), t.spec, declared_keys)
         return t.load(df, **{**self._load, **t.spec.options.get("load", {}), **options})

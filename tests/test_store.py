@@ -247,6 +247,10 @@ def test_registry_select_and_insert(spark, reg):
     reg.apply("db", "s", spark.createDataFrame([(1, 1, "x", 1), (2, 2, "y", 2)], "k int, a int, b string, _seq int"))
     assert [tuple(r) for r in reg.read("db", "s").collect()] == [(2, 2, "y")]
     assert [tuple(r) for r in reg.read("db", "s", columns=["b"], where="k = 1").collect()] == [("x",)]
+    with pytest.raises(ValueError, match="does not fit"):
+        reg.apply("db", "s", spark.createDataFrame([("1", 1)], "k string, _seq int"), declared_keys=["k"])
+    with pytest.raises(ValueError, match="primary keys"):
+        reg.apply("db", "s", spark.createDataFrame([(1, 1)], "k int, _seq int"), declared_keys=["a"])
     reg.apply("db", "s", reg.read("db", "s", where="true").withColumn("a", F.col("a") + 10).withColumn("_seq", F.col("k")))
     assert sorted(r["a"] for r in reg.read("db", "s", where="true").collect()) == [11, 12]
 

@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 import tablesync as ts
 from tablesync.streaming.route import addressed
