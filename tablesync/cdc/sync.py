@@ -63,10 +63,11 @@ def sync_batch(
     stage(routed, "_target", path)
     at = order or _AT
     try:
-        staged = spark.read.parquet(path)
-        actions = _actions(staged, at, ddl_pattern) if schema_evolution else {}
+        found = staged_targets(spark, path, "_target")
+        staged = spark.read.schema(routed.schema).parquet(path)
+        actions = _actions(staged, at, ddl_pattern) if schema_evolution and found else {}
         jobs = {}
-        for target in staged_targets(spark, path, "_target"):
+        for target in found:
             rows = staged.where(F.col("_target") == target).drop("_target")
             jobs[target] = lambda t=target, r=rows: _sync_table(
                 registry, t, r, actions.get(t, []), at, query_id, batch_id, ignore_update_before, strict, max_filter_ratio

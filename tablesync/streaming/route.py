@@ -76,11 +76,13 @@ def route_batch(
     obs = Observation(f"route_{uuid.uuid4().hex[:8]}")
     metrics = [F.count_if(_incomplete()).alias("skipped_rows"), F.count(F.lit(1)).alias("total_rows")]
     good, _ = addressed(ordered.observe(obs, *metrics))
-    stage(good.select(F.concat_ws(".", "database", "table").alias("_target"), "row", "seq"), "_target", path)
+    targeted = good.select("row", "seq", F.concat_ws(".", "database", "table").alias("_target"))
+    stage(targeted, "_target", path)
     try:
         jobs = {}
         for target in staged_targets(spark, path, "_target"):
-            rows = spark.read.parquet(path).where(F.col("_target") == target).drop("_target")
+            staged = spark.read.schema(targeted.schema).parquet(path)
+            rows = staged.where(F.col("_target") == target).drop("_target")
             own = {**options.get(ANY, {}), **options.get(target, {})}
             jobs[target] = lambda t=target, r=rows, o=own: _load_target(registry, t, r, o, query_id, batch_id)
         reports = in_parallel(jobs, width)

@@ -184,6 +184,16 @@ def test_feed_upsert_and_delete(spark, reg):
     assert r[""] == {"total_events": 7, "invalid_events": 2}
 
 
+def test_feed_without_usable_events(spark, reg):
+    reg.ensure_tables([SPEC])
+    for lines in (["junk"], [event("c", None, ROW(1, 1.0, "x"), table="other")]):
+        r = ts.sync_batch(text(spark, lines), reg, TARGETS, schema_evolution=True)
+        assert list(r) == [""] and r[""]["total_events"] == 1
+    assert ts.sync_batch(spark.createDataFrame([], "value string"), reg, TARGETS)[""]["total_events"] == 0
+    empty = spark.createDataFrame([(None, "t", "{}")], "database string, table string, row string")
+    assert ts.route_batch(empty, reg) == {"": {"skipped_rows": 1, "total_rows": 1}}
+
+
 @pytest.mark.parametrize("ignore,want", [(False, [(2, 2.0, "row2")]), (True, [(1, 1.0, "row1"), (2, 2.0, "row2")])])
 def test_feed_key_change(spark, reg, ignore, want):
     reg.ensure_tables([SPEC])
