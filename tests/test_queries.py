@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from tablesync import queries as library
 from .compare import connect, difference
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = library.queries(), library.oracle_sql()
 
 
 @pytest.fixture(scope="module")
