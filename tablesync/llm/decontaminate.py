@@ -8,8 +8,9 @@ from ..session import measured_bytes
 from .common import MAX_BROADCAST, lower_ascii, once, repeat_rows, same, text_key
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-SEPARATED_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-AFTER_LAST_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*\z"
+#: The same words before lower-casing, each with the separators before it, and the separators after the last one.
+SEPARATED_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+AFTER_LAST_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\z"
 WINDOW = 10
 KEYS = ["doc_id", "_key"]
 
@@ -117,9 +118,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     on = F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (text_key(F.col("text")) == F.col("_hit_key"))
     if remove == "documents":
         return docs.join(h, on, "left_anti")
-    pieces = F.regexp_extract_all("text", F.lit(SEPARATED_WORD.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")), F.lit(0))
-    tail = F.regexp_extract("text", AFTER_LAST_WORD.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60"), 0)
+    # words with their case, each with what stands before it
+    pieces = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(SEPARATED_WORD), F.lit(0))
+    d = docs.join(h, on, "left").select(*[f"`{c}`" for c in docs.columns], "_hit_spans", once(pieces).alias("_pieces"))
     gone = F.flatten(F.transform("_hit_spans", lambda s: F.sequence(s.start, s.end - 1)))
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), gone), lambda i: F.get(pieces, i))
-    text = F.when(F.col("_hit_spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), tail))
-    return docs.join(h, on, "left").select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_pieces") - 1), gone), lambda i: F.get("_pieces", i))
+    text = F.when(F.col("_hit_spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), F.regexp_extract("text", AFTER_LAST_WORD, 0)))
+    return d.select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])
