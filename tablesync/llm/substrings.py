@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -41,9 +42,12 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Piece:
-    """Hashes of up to ``_CHUNK`` words and the runs of windows that share an anchor."""
+    """Hashes of up to ``_CHUNK`` words of one or more texts and the runs of windows that share an anchor.
 
-    def __init__(self, h: np.ndarray, window: int, anchor: int):
+    ``text`` numbers the text of each word; windows lie in one text. Runs are (start, count, anchor).
+    """
+
+    def __init__(self, h: np.ndarray, text: np.ndarray, window: int, anchor: int):
         n, self.window = len(h), window
         self._sums = [np.concatenate(([np.uint64(0)], np.cumsum(h * p[:n]))) for p, _ in _POWERS]
         grams = self.hashes(0, np.arange(n - anchor + 1), anchor)
@@ -51,17 +55,17 @@ class Piece:
         grams ^= grams >> np.uint64(32)
         # equal anchors of a window: the first; 48 bits decide, the place in the piece is in the others
         least = (grams & ~np.uint64(_CHUNK - 1)) | np.arange(len(grams), dtype=np.uint64)
-        span, left = 1, window - anchor + 1
-        total = left
+        span, total = 1, window - anchor + 1
         while span * 2 <= total:
             least = np.minimum(least[:-span], least[span:])
             span *= 2
         if span < total:
             least = np.minimum(least[: len(least) - (total - span)], least[total - span:])
-        at = (least & np.uint64(_CHUNK - 1)).astype(np.int64)
-        self.start = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
-        self.count = np.diff(np.append(self.start, len(at)))
-        self.anchor = grams[at[self.start]].view(np.int64)
+        whole = np.flatnonzero(text[: len(least)] == text[window - 1: window - 1 + len(least)])
+        at = (least[whole] & np.uint64(_CHUNK - 1)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate(([True], (np.diff(at) != 0) | (np.diff(whole) != 1)))) if len(at) else whole
+        self.start, self.count = whole[first], np.diff(np.append(first, len(at)))
+        self.anchor = grams[at[first]].view(np.int64)
 
     def hashes(self, which: int, start: np.ndarray, length: int | np.ndarray) -> np.ndarray:
         s = self._sums[which]
@@ -71,14 +75,32 @@ class Piece:
         return tuple(self.hashes(i, start, length).view(np.int64) for i in range(2))
 
 
-def _pieces(text: str | None, window: int, anchor: int) -> Iterator[tuple[int, Piece]]:
-    w = words(text)
-    if len(w) < window:
-        return
-    h = np.fromiter(map(xxhash.xxh64_intdigest, w), dtype=np.uint64, count=len(w))
-    step = _CHUNK - window + 1
-    for at in range(0, len(h) - window + 1, step):
-        yield at, Piece(h[at:at + _CHUNK], window, anchor)
+def _pieces(texts: list[str | None], window: int, anchor: int) -> Iterator[tuple[np.ndarray, np.ndarray, Piece]]:
+    """Pieces over many texts, with the text of each word and its place there; long texts overlap by a window less one word."""
+    held: list[np.ndarray] = []
+    names: list[tuple[int, int]] = []
+    size = 0
+
+    def piece():
+        text = np.repeat([t for t, _ in names], [len(x) for x in held])
+        place = np.concatenate([np.arange(at, at + len(x)) for (_, at), x in zip(names, held)])
+        return text, place, Piece(np.concatenate(held), text, window, anchor)
+
+    for k, t in enumerate(texts):
+        w = words(t)
+        if len(w) < window:
+            continue
+        h = np.fromiter(map(xxhash.xxh64_intdigest, w), dtype=np.uint64, count=len(w))
+        for at in range(0, len(h) - window + 1, _CHUNK - window + 1):
+            part = h[at:at + _CHUNK]
+            if size + len(part) > _CHUNK:
+                yield piece()
+                held, names, size = [], [], 0
+            held.append(part)
+            names.append((k, at))
+            size += len(part)
+    if held:
+        yield piece()
 
 
 def _contains(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -110,79 +132,71 @@ class _Scan:
     """Passes over the texts; each reads whole texts and gives flat rows."""
 
     def __init__(self, docs: DataFrame, window: int, anchor: int):
+        self.docs = docs.select("doc_id", text_key(F.col("text")).alias("_key"), "text").where("text IS NOT NULL")
         self.id_type = docs.schema["doc_id"].dataType.simpleString()
-        self.docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_key(F.col("text")).alias("_key"), "text").where("text IS NOT NULL")
         self.window, self.anchor = window, anchor
 
     def anchors(self) -> DataFrame:
         window, anchor = self.window, self.anchor
 
-        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                found = [p.anchor for text in b["text"] for _, p in _pieces(text, window, anchor)]
-                if found:
-                    yield pd.DataFrame({"a": np.concatenate(found)})
+                for _, _, p in _pieces(b.column(0).to_pylist(), window, anchor):
+                    yield pa.record_batch({"a": p.anchor})
 
-        return self.docs.select("text").mapInPandas(each, "a bigint")
+        return self.docs.select("text").mapInArrow(each, "a bigint")
 
     def places(self, known: np.ndarray, single: bool) -> DataFrame:
-        """``doc_id, _key, a, h1, h2, start, n`` of the runs whose anchor may be in the filter: one row, or one per window."""
+        """``doc_id, _key, a, h1, h2, place, start, n`` of runs, if the filter may hold their anchor; with ``single`` the windows of
+        runs of which it may hold the place, a number that stands for this run in this text."""
         window, anchor = self.window, self.anchor
 
-        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for doc_id, key, text in zip(b["doc_id"], b["_key"], b["text"]):
-                    for at, p in _pieces(text, window, anchor):
-                        hit = _contains(known, p.anchor)
-                        if not hit.any():
-                            continue
-                        a, start, count = p.anchor[hit], p.start[hit], p.count[hit]
-                        if single:
-                            a, begin = np.repeat(a, count), np.repeat(start - np.concatenate(([0], np.cumsum(count)[:-1])), count)
-                            start, count = begin + np.arange(len(a)), np.ones(len(a), np.int64)
-                        h1, h2 = p.both(start, count + (window - 1))
-                        yield pd.DataFrame({"doc_id": doc_id, "_key": key, "a": a, "h1": h1, "h2": h2, "start": start + at, "n": count})
-
-        small_frames = self.docs.mapInPandas(_gathered(each), "doc_id string, _key bigint, a bigint, h1 bigint, h2 bigint, start bigint, n bigint")
-        return small_frames
-
-
-def _gathered(each, rows: int = 50_000):
-    """Joins small frames into larger ones."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, n = [], 0
-        for f in each(batches):
-            held.append(f)
-            n += len(f)
-            if n >= rows:
-                yield pd.concat(held, ignore_index=True)
-                held, n = [], 0
-        if held:
-            yield pd.concat(held, ignore_index=True)
-
-    return run
+                ids, keys = b.column(0), b.column(1).to_numpy()
+                for text, at, p in _pieces(b.column(2).to_pylist(), window, anchor):
+                    a, start, count = p.anchor, p.start, p.count
+                    if not single:
+                        hit = _contains(known, a)
+                        a, start, count = a[hit], start[hit], count[hit]
+                    h1, h2 = p.both(start, count + (window - 1))
+                    place = h1 ^ keys[text[start]] ^ (at[start] << 32)
+                    if single:
+                        hit = _contains(known, place)
+                        a, start, count, place = (np.repeat(x[hit], count[hit]) for x in (a, start, count, place))
+                        if len(start):
+                            new = np.flatnonzero(np.concatenate(([True], np.diff(start) != 0)))
+                            start = start + np.arange(len(start)) - np.repeat(new, np.diff(np.append(new, len(start))))
+                        count = np.ones(len(start), np.int64)
+                        h1, h2 = p.both(start, window)
+                    yield pa.record_batch({"doc_id": ids.take(pa.array(text[start])), "_key": keys[text[start]], "a": a, "h1": h1, "h2": h2, "place": place,
+                                           "start": at[start].astype(np.int32), "n": count.astype(np.int32)})
+
+        return self.docs.mapInArrow(each, f"doc_id {self.id_type}, _key bigint, a bigint, h1 bigint, h2 bigint, place bigint, start int, n int")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """``doc_id`` (as text)``, _key, ranges``: runs (start, n) of window starts whose words also start elsewhere in the corpus.
+    """``doc_id, _key, ranges``: runs (start, n) of window starts whose words also start elsewhere in the corpus.
 
     Seeds are winnowed anchors that occur more than once. A seed is extended both ways to the run of all windows that hold it;
-    runs that occur more than once as a whole are repeats. Where an anchor has runs that differ, its windows are compared one by
-    one. Equality is that of 128-bit hashes. Groups are counted, never paired, so a passage in a third of all documents costs
-    as many rows as it has places. Filters of bounded size keep other rows from being shuffled.
+    runs that occur more than once as a whole are repeats. Where an anchor has runs that differ, one place of each of them is
+    compared window by window; the other places of a run that occurs more than once are repeats already. Equality is that of
+    128-bit hashes. Groups are counted, never paired, so a passage in a third of all documents costs as many rows as it has
+    places. Filters of bounded size keep other rows from being shuffled; what they let pass too much is only counted in vain.
     """
     scan, stage = _Scan(docs, window, anchor), Stage(docs.sparkSession, "substrings")
     shared = stage.write(scan.anchors().groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a"))
     runs = stage.write(scan.places(_filter_of(shared, "a"), single=False))
-    kinds = stage.write(runs.groupBy("a", "h1", "h2").agg(F.count("*").alias("c")))
-    mixed = stage.write(kinds.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a"))
-    same = lambda t: t.select(F.col("h1").alias("_1"), F.col("h2").alias("_2"))
+    stage.drop(shared)
+    kinds = stage.write(runs.groupBy("a", "h1", "h2").agg(F.count("*").alias("c"), F.min("place").alias("place")))
+    mixed = kinds.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select(F.col("a").alias("_a"))
+    chosen = stage.write(kinds.join(mixed, F.col("a") == F.col("_a"), "left_semi").select("place"))
+    same = lambda t: t.where("c > 1").select(F.col("h1").alias("_1"), F.col("h2").alias("_2"))
     on = (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2"))
-    whole = runs.join(same(kinds.where("c > 1").select("h1", "h2").distinct()), on, "left_semi").select(*KEYS, "start", "n")
-    single = stage.write(scan.places(_filter_of(mixed, "a"), single=True).drop("a", "n"))
-    twice = single.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1")
-    parts = single.join(same(twice), on, "left_semi").select(*KEYS, "start", F.lit(1).cast("bigint").alias("n"))
+    whole = runs.join(same(kinds), on, "left_semi").select(*KEYS, "start", "n")
+    single = stage.write(scan.places(_filter_of(chosen, "place"), single=True).select(*KEYS, "h1", "h2", "start", "n"))
+    stage.drop(chosen)
+    parts = single.join(same(single.groupBy("h1", "h2").agg(F.count("*").alias("c"))), on, "left_semi").select(*KEYS, "start", "n")
     return whole.unionAll(parts).groupBy(*KEYS).agg(F.collect_set(F.struct("start", "n")).alias("ranges"))
 
 
@@ -200,22 +214,41 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
 
     Every word of a window of ``window`` words whose sequence also starts at another place goes, all places alike. Null and empty texts
     have no words; texts of fewer words than ``window`` stay. Repeated rows are places of their own, so they remove each other.
-    Kept words are joined by one space. Other columns are ignored.
+    Kept words are joined by one space. Other columns are ignored. Texts without a repeat are not shuffled, but for the few
+    that the filter lets pass.
     """
-    found = repeats(docs, window, anchor).withColumnsRenamed({"doc_id": "_id", "_key": "_k"})
-    d = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_key(F.col("text")).alias("_key"), "text")
-    joined = d.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left").select(*KEYS, "text", "ranges")
+    stage = Stage(docs.sparkSession, "repeats")
+    found = stage.write(repeats(docs, window, anchor).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "ranges"))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, _key bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept string"
+    known = _filter_of(found.select(F.xxhash64("_k").alias("k")), "k")
+    d = docs.select("doc_id", text_key(F.col("text")).alias("_key"), "text").withColumn("k", F.xxhash64("_key"))
+
+    def cut(b: pa.RecordBatch, ranges: list) -> pa.RecordBatch:
+        rows: list[tuple] = []
+        for text, r in zip(b.column(2).to_pylist(), ranges):
+            w = words(text)
+            gone = _covered(r or (), len(w), window)
+            edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))).reshape(-1, 2).tolist()
+            kept = [x for x, g in zip(w, gone.tolist()) if not g] if edges else w
+            rows.append((len(w), int(gone.sum()), [{"start": s, "end": e} for s, e in edges], b" ".join(kept).decode("utf-8", "surrogatepass")))
+        n, m, spans, kept = zip(*rows) if rows else ((),) * 4
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        return pa.record_batch([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.string())], names=["doc_id", "_key", "n_words", "n_removed", "spans", "kept"])
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(pa.array(~_contains(known, b.column(3).to_numpy())))
+            yield cut(b, [None] * len(b))
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for doc_id, key, text, ranges in zip(b["doc_id"], b["_key"], b["text"], b["ranges"]):
-                w = words(text)
-                gone = _covered(ranges if ranges is not None else (), len(w), window)
-                edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
-                kept = b" ".join(x for x, g in zip(w, gone.tolist()) if not g) if len(edges) else b" ".join(w)
-                rows.append((doc_id, key, len(w), int(gone.sum()), [{"start": int(s), "end": int(e)} for s, e in edges.reshape(-1, 2)], kept.decode("utf-8", "surrogatepass")))
-            yield pd.DataFrame(rows, columns=["doc_id", "_key", "n_words", "n_removed", "spans", "kept"])
-
-    out = joined.mapInPandas(each, "doc_id string, _key bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept string")
-    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+            yield b.filter(pa.array(_contains(known, b.column(3).to_numpy())))
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield cut(b, b.column(3).to_pylist())
+
+    some = d.mapInArrow(maybe, f"doc_id {id_type}, _key bigint, text string, k bigint").select(*KEYS, "text")
+    joined = some.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left").select(*KEYS, "text", "ranges")
+    return d.mapInArrow(clean, schema).unionAll(joined.mapInArrow(repeated, schema))
