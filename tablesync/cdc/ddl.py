@@ -9,10 +9,15 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from ..spec import ColumnSpec
 from ..types import STRING_SIZE, source_type, spark_type, split_type
 
-# fixed values: the statement form that is understood (first clause only; groups: action, column, type), and words after
-# ADD/DROP that name no column
-STATEMENT = r"(?is)ALTER\s+TABLE\s+\S+\s+(ADD|DROP)\s+(?:COLUMN\s+)?`?([^\s`(,;]+)`?(?:\s+([A-Za-z]+(?:\s*\([^)]*\))?))?"
+_NAME = r"(?:`[^`]+`|\"[^\"]+\"|[^\s`\",.;()]+)"
+# fixed values: the statement (name, then its clauses), one clause (action, column, type), a list of columns in parentheses, and
+# words after ADD/DROP that name no column
+STATEMENT = rf"(?is)\A\s*ALTER\s+TABLE\s+(?:IF\s+EXISTS\s+)?{_NAME}(?:\s*\.\s*{_NAME})*\s+(.*?)\s*;?\s*\z"
+CLAUSE = rf"(?is)\A\s*(ADD|DROP)\s+(?:COLUMN\s+)?(?:IF\s+(?:NOT\s+)?EXISTS\s+)?({_NAME})(?:\s+([A-Za-z]+(?:\s*\([^)]*\))?(?:\s+UNSIGNED)?))?"
+LISTED = r"(?is)\AADD\s+(?:COLUMN\s+)?\((.*)\)\z"
 NOT_COLUMNS = ("INDEX", "KEY", "CONSTRAINT", "PRIMARY", "UNIQUE", "FOREIGN", "PARTITION", "FULLTEXT", "SPATIAL", "CHECK")
+_COMMENTS = r"(?s)/\*.*?\*/|--[^\n]*"
+_COMMA = r",(?![^(]*\))"  # not inside parentheses
 
 
 def parse_ddl(events: DataFrame, enabled: bool = True, table: str | None = None) -> DataFrame:
@@ -26,25 +31,22 @@ def parse_ddl(events: DataFrame, enabled: bool = True, table: str | None = None)
     return ddl if enabled else ddl.where(F.lit(False))
 
 
-def ddl_to_actions(ddl: DataFrame, col: str = "ddl", pattern: str = STATEMENT) -> DataFrame:
-    """Statements to column actions ``action`` (add/drop), ``column``, ``type`` (null for a drop); others are dropped.
+def ddl_to_actions(ddl: DataFrame, col: str = "ddl", pattern: str = STATEMENT, clause: str = CLAUSE) -> DataFrame:
+    """Statements to column actions ``action`` (add/drop), ``column``, ``type`` (null for a drop), one row per clause.
 
-    A pattern of one's own needs the same three groups.
+    ``clause_no`` numbers the clauses of a statement. Comments are left out; names may be quoted and hold blanks; ADD may list
+    columns in parentheses; FIRST and AFTER change nothing. Clauses of another kind give no row. Patterns of one's own need the
+    same groups.
     """
-    text = F.col(col)
-    part = lambda i: F.regexp_extract(text, pattern, i)
-    name = F.upper(part(2))
-    return (
-        ddl.where(text.rlike(pattern))
-        .where(~name.isin(*NOT_COLUMNS))
-        .withColumns(
-            {
-                "action": F.lower(part(1)),
-                "column": part(2),
-                "type": F.when(F.lower(part(1)) == "add", added_type(part(3))),
-            }
-        )
-    )
+    body = F.regexp_extract(F.regexp_replace(F.col(col), _COMMENTS, " "), pattern, 1)
+    listed = F.regexp_extract(body, LISTED, 1)
+    parts = F.when(listed != "", F.transform(F.split(listed, _COMMA), lambda x: F.concat(F.lit("ADD "), F.ltrim(x)))).otherwise(F.split(body, _COMMA))
+    rows = ddl.select("*", F.posexplode(parts).alias("clause_no", "_clause"))
+    part = lambda i: F.regexp_extract("_clause", clause, i)
+    action, name = F.lower(part(1)), F.regexp_replace(part(2), "[`\"]", "")
+    rows = rows.withColumns({"action": action, "column": name, "type": F.when(action == "add", added_type(part(3)))})
+    quoted = F.col("_clause").rlike(r"(?is)\A\s*\w+\s+(?:COLUMN\s+)?[`\"]")
+    return rows.where((F.col("action") != "") & (quoted | ~F.upper("column").isin(*NOT_COLUMNS))).drop("_clause")
 
 
 def added_type(text: Column) -> Column:
@@ -56,8 +58,14 @@ def added_type(text: Column) -> Column:
 
 def column_of(action: Row) -> ColumnSpec | None:
     """Column an ``add`` action creates; None if its type is unknown (the action is then skipped)."""
-    text = re.sub(r"\s+", "", action["type"] or "") or "STRING"
+    text = re.sub(r"\s+", " ", action["type"] or "").strip() or "STRING"
+    unsigned = text.upper().endswith(" UNSIGNED")
+    text = re.sub(r"\s+", "", text[: -len(" UNSIGNED")] if unsigned else text)
+    if text.upper().startswith(("ENUM(", "SET(")):
+        text = "STRING"
     name, size, scale = split_type(text)
+    if unsigned:
+        name = f"{name} UNSIGNED"
     try:
         mapped = text if name in ("VARCHAR", "CHAR") and size else source_type(name, size, scale)
     except ValueError:
@@ -75,7 +83,7 @@ def last_actions(actions: DataFrame, by: list[str], order: list[str]) -> DataFra
     ``n_add``/``n_drop`` tell whether a column was created or removed on the way; ``_at`` is the position of the last
     action, ``_first_add`` orders new columns.
     """
-    at = F.struct(*order)
+    at = F.struct(*order, *(["clause_no"] if "clause_no" in actions.columns else []))
     return actions.groupBy(*by, "column").agg(
         F.max_by(F.struct("action", "type"), at).alias("_last"),
         F.max(at).alias("_at"),

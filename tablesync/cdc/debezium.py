@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from typing import Iterable
+from typing import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.temporal import ZONE, encoded_text
 from ..operators.changes import expand_updates
 from ..operators.quality import NO_IMAGE, REASONS
 from ..sources.records import text_struct
@@ -53,11 +54,14 @@ def debezium_to_changes(
     ignore_update_before: bool = True,
     keep: Iterable[str] = (),
     since: dict[str, Column] | None = None,
+    temporals: Mapping[str, str] | None = None,
+    zone: str = ZONE,
 ) -> DataFrame:
     """Parsed events of one table to load rows: the table's columns as text, ``__op``, ``_sub``, ``_reasons``, ``keep``.
 
     ``r``, ``c`` and ``u`` give the after image as upsert, ``d`` the before image as delete; other events are dropped.
     ``since`` gives per column a condition under which an event's value counts (a column re-created inside a batch).
+    ``temporals`` gives the encoding of temporal columns, ``zone`` the zone in which instants are shown.
     """
     names = spec.names
     # images are read inside the explode: once per row, and no later filter is pushed below it
@@ -68,6 +72,7 @@ def debezium_to_changes(
     values = []
     for n in names:
         v = F.col("_row").getField(n)
+        v = encoded_text(v, temporals[n], zone) if temporals and n in temporals else v
         values.append((F.when(since[n], v) if n in since else v).alias(n))
     reasons = F.when(F.col("_row").isNull(), NO_IMAGE).otherwise("")
     return rows.select(*keep, *values, OP, "_sub", reasons.alias(REASONS))

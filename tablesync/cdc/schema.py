@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..spec import ColumnSpec, TableSpec
@@ -44,17 +46,19 @@ def infer_specs(
     prefix: str = "",
     suffix: str = "",
     props: dict | None = None,
-    buckets: int = 16,
+    buckets: int | Mapping[tuple[str, str], int] = 16,
 ) -> dict[tuple[str, str], TableSpec]:
     """Target tables for a source database, by (source database, source table).
 
     ``columns``: table_schema, table_name, column_name, ordinal_position, type_name, column_size, decimal_digits,
     nullable (0/1), remarks. ``keys``: table_schema, table_name, column_name, key_seq. The rows are catalog metadata, one
-    per column of the source database, grouped per table by Spark.
+    per column of the source database, grouped per table by Spark. ``buckets`` may be given per (source database, source table):
+    a bucket is the unit of rewriting, so choose as many as keep it at a few GB. Source types of dates and times are kept in the
+    option ``temporals`` as the encodings a change feed has for them.
     """
     chosen = select_tables(columns, include, exclude)
     by = ["table_schema", "table_name"]
-    fields = ["ordinal_position", "column_name", "type", "nullable", "remarks"]
+    fields = ["ordinal_position", "column_name", "type", "nullable", "remarks", "type_name", "decimal_digits"]
     cols = map_source_columns(chosen).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("cols"))
     pks = keys.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("key_seq", "column_name"))).alias("pk"))
     specs = {}
@@ -70,13 +74,22 @@ def infer_specs(
             ),
             keys=tuple(pk),
             props=dict(props or {}),
-            buckets=buckets,
+            buckets=buckets.get((r["table_schema"], r["table_name"]), 16) if isinstance(buckets, Mapping) else buckets,
+            options={"temporals": t} if (t := {c["column_name"]: e for c in ordered if (e := feed_encoding(c["type_name"], c["decimal_digits"]))}) else {},
         )
     if not specs:
         raise ValueError("no tables to be synchronised")
     return specs
 
 
+def feed_encoding(type_name: str, digits: int | None) -> str | None:
+    """Encoding of a source type in a change feed: date-times of up to three digits are milliseconds, of more microseconds."""
+    name = type_name.upper().split("(")[0].strip()
+    if name == "DATETIME":
+        return "datetime_ms" if (digits or 0) <= 3 else "datetime"
+    return {"DATE": "date", "TIME": "time", "TIMESTAMP": "timestamp"}.get(name)
+
+
 def read_metadata(spark: SparkSession, url: str, database: str, **options) -> tuple[DataFrame, DataFrame]:
     """Column and key metadata of a source database through ``information_schema`` over JDBC."""
     reader = spark.read.format("jdbc").options(url=url, **options)

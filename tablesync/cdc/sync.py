@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from typing import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import Files, observed, work_dir
+from ..session import Files, observed
 from ..spec import TableSpec
 from ..store.registry import Registry
-from ..store.table import evolve_manifest
-from ..streaming.apply import start_query
-from ..streaming.route import in_parallel, stage, staged_targets
+from ..functions.temporal import ZONE
+from ..store.table import evolve_manifest, owned
+from ..streaming.apply import ARRIVAL, start_query, upkeep, with_arrival
+from ..streaming.route import in_parallel, stage, staged_targets, staging
 from .ddl import STATEMENT, column_of, ddl_to_actions, last_actions, parse_ddl
 from .debezium import OPS, ORDER, debezium_to_changes, parse_debezium
 
@@ -34,34 +36,42 @@ def sync_batch(
     max_filter_ratio: float = 0.0,
     col: str = "value",
     ddl_pattern: str = STATEMENT,
+    stream_id: str | None = None,
+    temporals: Mapping[tuple[str, str], Mapping[str, str]] | None = None,
+    zone: str = ZONE,
+    compact_every: int | None = None,
+    vacuum_every: int | None = None,
 ) -> dict[str, dict]:
     """Apply one batch of change events to all tables.
 
     ``targets`` maps (source database, source table) to (database, table); events of other tables are left out. ``order``
     names columns of ``batch`` that order the events (such as a topic offset); without it the position in the envelope
-    decides, then the input order inside the batch.
+    decides, then the place in the file (``_arrival``) where the batch has it, then the input order inside the batch.
+
+    ``temporals`` gives per (database, table) of the targets the encoding of temporal columns (see
+    :func:`functions.temporal.encoded_text`); ``zone`` shows instants. A number in another encoding is a rejected row. The report
+    under ``""`` counts events, invalid ones and those of tables that are not listed.
 
     The batch is parsed once and staged by target table, so each table reads its own part only. A table's DDL
     statements and rows go into one commit.
     """
     spark = batch.sparkSession
     order = list(order) if order is not None else None
-    keep = order or []
+    arrived = ARRIVAL in batch.columns and not order
+    keep = order or ([ARRIVAL] if arrived else [])
     events = parse_debezium(batch.select(col, *keep), col).withColumn("_in", F.monotonically_increasing_id())
     known_op = F.coalesce(F.col("op").isin(*OPS), F.lit(False))
     invalid = ~known_op & (F.col("op").isNotNull() | F.col("ddl").isNull())
     obs = Observation(f"sync_{uuid.uuid4().hex[:8]}")
-    metrics = [F.count(F.lit(1)).alias("total_events"), F.count_if(invalid).alias("invalid_events")]
-    seen = events.observe(obs, *metrics)
-    pairs = [x for (db, t), (tdb, tt) in targets.items() for x in (F.lit(f"{db}.{t}"), F.lit(f"{tdb}.{tt}"))]
-    routed = (
-        seen.where(~invalid)
-        .withColumn("_target", F.try_element_at(F.create_map(*pairs), F.concat_ws(".", "src_db", "src_table")))
-        .where(F.col("_target").isNotNull())
-    )
-    path = work_dir(spark, f"sync-{uuid.uuid4().hex[:6]}")
+    unlisted = ~invalid & F.col("_target").isNull()
+    metrics = [F.count(F.lit(1)).alias("total_events"), F.count_if(invalid).alias("invalid_events"), F.count_if(unlisted).alias("unlisted_events")]
+    # one row per source table, which the caller holds in memory already
+    listed = spark.createDataFrame([(db, t, f"{tdb}.{tt}") for (db, t), (tdb, tt) in targets.items()], "_db string, _table string, _target string")
+    named = events.join(F.broadcast(listed), (F.col("src_db") == F.col("_db")) & (F.col("src_table") == F.col("_table")), "left").drop("_db", "_table")
+    routed = named.observe(obs, *metrics).where(~invalid & F.col("_target").isNotNull())
+    path = staging(registry, "sync", query_id, batch_id)
     stage(routed, "_target", path)
-    at = order or _AT
+    at = order or ([*ORDER, ARRIVAL, "_in"] if arrived else _AT)
     try:
         found = staged_targets(spark, path, "_target")
         staged = spark.read.schema(routed.schema).parquet(path)
@@ -70,12 +80,13 @@ def sync_batch(
         for target in found:
             rows = staged.where(F.col("_target") == target).drop("_target")
             jobs[target] = lambda t=target, r=rows: _sync_table(
-                registry, t, r, actions.get(t, []), at, query_id, batch_id, ignore_update_before, strict, max_filter_ratio
+                registry, t, r, actions.get(t, []), at, query_id, batch_id, ignore_update_before, strict, max_filter_ratio, stream_id,
+                (temporals or {}).get(tuple(t.split(".", 1)), {}), zone, compact_every, vacuum_every
             )
         reports = in_parallel(jobs, width)
     finally:
         Files(spark, path).delete(path)
-    reports[""] = observed(obs, events.agg(*metrics))
+    reports[""] = observed(obs, named.agg(*metrics))
     return reports
 
 
@@ -90,35 +101,38 @@ def _actions(staged: DataFrame, at: list[str], pattern: str) -> dict[str, list]:
 
 
 def _sync_table(
-    registry, target, rows, actions, at, query_id, batch_id, ignore_update_before, strict, max_filter_ratio
+    registry, target, rows, actions, at, query_id, batch_id, ignore_update_before, strict, max_filter_ratio, stream_id, temporals, zone,
+    compact_every, vacuum_every,
 ) -> dict:
     database, _, name = target.partition(".")
     table = registry.table(database, name)
     manifest = table.manifest()
-    if manifest["ledger"].get(query_id, -1) >= batch_id:
+    if owned(manifest, query_id, stream_id)["ledger"].get(query_id, -1) >= batch_id:
         return {"skipped": True, "version": manifest["version"]}
-    add, drop, reborn = plan_actions(TableSpec.from_dict(manifest["spec"]), actions)
+    add, drop, reborn, unknown = plan_actions(TableSpec.from_dict(manifest["spec"]), actions)
     evolved = evolve_manifest(manifest, add, drop) if add or drop else manifest
     spec = TableSpec.from_dict(evolved["spec"])
     # a column created (again) inside the batch takes only values of events after its creation
     since = {
         c: F.struct(*[F.col(a) for a in at]) > F.struct(*[F.lit(pos[a]).alias(a) for a in at]) for c, pos in reborn.items()
     }
-    changes = debezium_to_changes(rows, spec, ignore_update_before, keep=at, since=since)
-    return table.load(
+    changes = debezium_to_changes(rows, spec, ignore_update_before, keep=at, since=since, temporals=temporals, zone=zone)
+    report = table.load(
         changes, at, query_id=query_id, batch_id=batch_id, evolve=lambda m: evolved, strict=strict,
-        max_filter_ratio=max_filter_ratio,
+        max_filter_ratio=max_filter_ratio, stream_id=stream_id,
     )
+    upkeep(table, batch_id, compact_every, 8, vacuum_every)
+    return {**report, "unknown_columns": unknown} if unknown else report
 
 
-def plan_actions(spec: TableSpec, actions: list) -> tuple[list, list, dict]:
-    """Columns to add, columns to drop, and the positions of columns dropped and created again.
+def plan_actions(spec: TableSpec, actions: list) -> tuple[list, list, dict, list]:
+    """Columns to add, columns to drop, the positions of columns dropped and created again, and columns of unknown type.
 
-    Adding a column that exists and dropping one that does not are ignored, as are key columns and unknown types.
+    Adding a column that exists and dropping one that does not are ignored, as are key columns.
     """
     have = {c.lower(): c for c in spec.names}
     keys = {k.lower() for k in spec.keys}
-    add, drop, reborn = [], [], {}
+    add, drop, reborn, unknown = [], [], {}, []
     for a in actions:
         name = a["column"].lower()
         if name in keys:
@@ -128,14 +142,17 @@ def plan_actions(spec: TableSpec, actions: list) -> tuple[list, list, dict]:
                 drop.append(have[name])
             continue
         column = column_of(a)
-        if column is None or (name in have and not a["n_drop"]):
+        if column is None:
+            unknown.append(f"{a['column']} {a['type']}")
+            continue
+        if name in have and not a["n_drop"]:
             continue
         if name in have:
             drop.append(have[name])
         if a["n_drop"]:
             reborn[a["column"]] = a["_at"]
         add.append(column)
-    return add, drop, reborn
+    return add, drop, reborn, unknown
 
 
 def target_map(specs: Mapping[tuple[str, str], TableSpec]) -> dict[tuple[str, str], tuple[str, str]]:
@@ -147,7 +164,7 @@ def sync_database(
     registry: Registry,
     specs: Mapping[tuple[str, str], TableSpec],
     checkpoint: str,
-    query_id: str = "sync",
+    query_id: str | None = None,
     trigger: str = "availableNow",
     on_report: Callable[[dict], None] | None = None,
     **options,
@@ -155,15 +172,23 @@ def sync_database(
     """Create the missing tables, then keep them in sync with a stream of change events, exactly once.
 
     ``specs`` comes from :func:`cdc.schema.infer_specs`, which applies the table filters, prefix and suffix. A replayed
-    batch skips the tables that already recorded it.
+    batch skips the tables that already recorded it (under the checkpoint's id, see :func:`streaming.apply.stream_apply`).
+    Temporal encodings come from the source types that the specs carry, unless ``temporals`` is given. A source other than
+    files needs ``order``, or positions in its envelopes.
     """
     registry.ensure_tables(specs.values())
-    for spec in specs.values():
-        registry.table(spec.database, spec.table).abort_stale(query_id)
     targets = target_map(specs)
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        reports = sync_batch(batch, registry, targets, query_id, batch_id, **options)
+    options.setdefault("temporals", {(s.database, s.table): s.options["temporals"] for s in specs.values() if "temporals" in s.options})
+    if not options.get("order"):
+        with contextlib.suppress(ValueError):
+            stream = with_arrival(stream)
+    cleared = []
+
+    def on_batch(batch: DataFrame, batch_id: int, stream_id: str) -> None:
+        own = query_id or stream_id
+        if not cleared:
+            cleared.extend(registry.table(s.database, s.table).abort_stale(own) for s in specs.values())
+        reports = sync_batch(batch, registry, targets, own, batch_id, stream_id=stream_id, **options)
         if on_report:
             on_report(reports)
 

@@ -68,6 +68,37 @@ def temporal_text(col: Column, kind: str, dtype: str, fmt: str | None = None, zo
     return wall_clock_text(F.convert_timezone(F.lit("UTC"), F.lit(_zone(zone)), wall), fmt)
 
 
+# fixed values: encodings of temporal values in a change feed, and what one unit is in microseconds
+ENCODINGS = {"date": None, "time": 1, "time_ms": 1000, "datetime": 1, "datetime_ms": 1000, "timestamp": 1, "timestamp_ms": 1000}
+
+
+def encoded_text(col: Column, encoding: str, zone: str = ZONE) -> Column:
+    """Text of a change feed's temporal value as text of the table.
+
+    Whole numbers are days (``date``) or microseconds, with ``_ms`` milliseconds: of the day (``time``), or since the epoch
+    (``datetime``, ``timestamp``). Text of a ``timestamp`` with an offset is an instant, shown in ``zone`` like its numbers; other text
+    stays as it is. A number that names no time in the years 1 to 9999 stays a number, which no temporal column accepts.
+    """
+    if encoding not in ENCODINGS:
+        raise ValueError(f"unknown encoding {encoding}")
+    kind, unit = encoding.removesuffix("_ms"), ENCODINGS[encoding]
+    number = col.try_cast("bigint")
+    whole = col.rlike(r"\A[+-]?[0-9]{1,18}\z")
+    if kind == "date":
+        fits = whole & number.between(-719162, 2932896)
+        return F.when(fits, temporal_text(F.when(fits, number), "date", "bigint")).otherwise(col)
+    last = 86_399_999_999 if kind == "time" else 253_402_300_799_999_999
+    first = 0 if kind == "time" else -62_135_596_800_000_000
+    fits = whole & number.between(-(-first // unit), last // unit)
+    fmt = FORMATS["time"] if kind == "time" else FORMATS["timestamp"]
+    shown = temporal_text(F.when(fits, number * unit), kind, "bigint", fmt, zone)
+    if kind == "timestamp":
+        offset = col.rlike(r"(?i)[0-9](?:z|[+-][0-9]{2}(?::?[0-9]{2})?)\z") & ~whole & col.contains(":")
+        instant = F.unix_micros(F.try_to_timestamp(F.when(offset, col)))
+        return F.when(fits, shown).when(instant.isNotNull(), temporal_text(instant, kind, "bigint", fmt, zone)).otherwise(col)
+    return F.when(fits, shown).otherwise(col)
+
+
 def _zone(zone: str) -> str:
     """``UTC+8`` -> ``+08:00``; region names stay."""
     for prefix in ("UTC", "GMT"):

@@ -33,7 +33,11 @@ def typed(source: Column, column: ColumnSpec, given: T.DataType) -> Column:
         text = source.cast("string")
         return F.when(F.octet_length(text) <= size, text)
     if isinstance(given, T.StringType) and isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        return F.from_json(source, dtype)
+        return nested_of_text(source, dtype)
+    if isinstance(given, (T.FloatType, T.DoubleType, T.DecimalType)) and isinstance(dtype, T.IntegralType):
+        return F.when(F.floor(source) == source, source.try_cast(dtype))  # a fraction is not cut off
+    if isinstance(given, T.StringType) and isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.when(~source.rlike(r"\A\s*[+-]?[0-9]{5,}"), source.try_cast(dtype))  # a bare number is no year
     if isinstance(given, T.BinaryType) and isinstance(dtype, T.IntegralType):
         from ..functions.encode import binary_to_bigint
 
@@ -41,6 +45,13 @@ def typed(source: Column, column: ColumnSpec, given: T.DataType) -> Column:
     return source if given == dtype else source.try_cast(dtype)
 
 
+def nested_of_text(source: Column, dtype: T.DataType) -> Column:
+    """JSON text as ARRAY, MAP or STRUCT; null if the text is no JSON or a value in it does not fit its type."""
+    wrapped = T.StructType([T.StructField("v", dtype), T.StructField("_bad", T.StringType())])
+    parsed = F.from_json(F.concat(F.lit('{"v":'), source, F.lit("}")), wrapped, {"columnNameOfCorruptRecord": "_bad"})
+    return F.when(F.try_parse_json(source).isNotNull() & parsed["_bad"].isNull(), parsed["v"])
+
+
 def check_rows(df: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame:
     """One pass over the input: the table's columns typed, plus ``_reasons``, a text that is empty for a good row.
 
@@ -133,7 +144,7 @@ def conform(df: DataFrame, schema: T.StructType | TableSpec, mode: str = "fail")
         have = given[f.name.lower()]
         source = F.col(f"`{have.name}`")
         if isinstance(have.dataType, T.StringType) and isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            value = F.from_json(source, f.dataType)
+            value = nested_of_text(source, f.dataType)
         elif have.dataType == f.dataType:
             value = source
         elif mode == "fail" and not isinstance(have.dataType, T.StringType) and not _widens(have.dataType, f.dataType):

@@ -89,7 +89,7 @@ def partial_update_target(spark, d):
 
 
 def conditional_update(spark, d):
-    log = event_log(spark, d).where("event_type <> 'error'").withColumn("id", C("event_id"))
+    log = event_log(spark, d).withColumn("id", C("event_id"))
     return op.apply_changes(None, log, ["user_id"], SEQ, columns=["value", "id"], merge_condition="value").select("user_id", "value", "id")
 
 
@@ -186,7 +186,9 @@ QUERIES = {
         SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT k FROM ld)
         UNION ALL SELECT ch.k, CASE WHEN last_del IS NULL THEN c_name END, CASE WHEN last_del IS NULL THEN CAST(c_acctbal AS DECIMAL(12,2)) END, seg
         FROM ch JOIN ld ON ch.k = ld.k AND n = last_n LEFT JOIN customer ON c_custkey = ch.k WHERE NOT del"""),
-    "conditional_update": (conditional_update, "SELECT user_id, value, event_id AS id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, ts DESC, event_id DESC) AS rn FROM events WHERE event_type <> 'error') WHERE rn = 1"),
+    "conditional_update": (conditional_update, """
+        WITH e AS (SELECT *, count(*) FILTER (event_type = 'error') OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC ROWS UNBOUNDED PRECEDING) AS deletes_after FROM events)
+        SELECT user_id, value, event_id AS id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC NULLS LAST, ts DESC, event_id DESC) AS rn FROM e WHERE deletes_after = 0) WHERE rn = 1"""),
     "conditional_update_target": (conditional_update_target, _ORDERS_CTE + """
         , best AS (
           SELECT * FROM (SELECT ch.*, row_number() OVER (PARTITION BY ch.k ORDER BY bal DESC, n DESC) AS rn FROM ch JOIN ld ON ch.k = ld.k

@@ -148,7 +148,7 @@ def quality_lenient(spark, d):
 
 
 def load_report(spark, d):
-    return op.load_report(raw_events(spark, d), EVENT_SPEC, C("kind") != "click").drop("loaded_bytes")
+    return op.load_report(raw_events(spark, d), EVENT_SPEC, C("kind") != "click")
 
 
 def redacted_messages(spark, d):
@@ -208,7 +208,9 @@ QUERIES = {
     "quality_lenient": (quality_lenient, _RAW + "SELECT event_id, CASE WHEN NOT long_kind THEN kind END AS kind, CASE WHEN NOT high THEN CAST(level AS TINYINT) END AS level, owner FROM q WHERE NOT no_owner"),
     "load_report": (load_report, _RAW + """
         SELECT count(*) AS total_rows, count(*) FILTER (kind <> 'click' AND NOT (long_kind OR high OR no_owner)) AS loaded_rows,
-               count(*) FILTER (kind <> 'click' AND (long_kind OR high OR no_owner)) AS filtered_rows, count(*) FILTER (kind = 'click') AS unselected_rows FROM q"""),
+               count(*) FILTER (kind <> 'click' AND (long_kind OR high OR no_owner)) AS filtered_rows, count(*) FILTER (kind = 'click') AS unselected_rows,
+               CAST(coalesce(sum(strlen(CAST(event_id AS VARCHAR)) + strlen(kind) + coalesce(strlen(CAST(level AS VARCHAR)), 0) + coalesce(strlen(CAST(owner AS VARCHAR)), 0))
+                   FILTER (kind <> 'click' AND NOT (long_kind OR high OR no_owner)), 0) AS BIGINT) AS loaded_bytes FROM q"""),
     "redacted_messages": (redacted_messages, """
         SELECT event_id, CASE WHEN event_type = 'error' THEN 'Data validation errors detected. Row data has been redacted for security.'
                ELSE 'Error: column value is out of range for ' || event_type || '. ' || chr(10) || 'line ' || event_id END AS message FROM events"""),

@@ -64,7 +64,8 @@ def ddl_statements(spark, d):
         .when(C("p_type") == "ECONOMY", F.concat(name, F.lit(" drop c"), "p_size"))
         .when(C("p_size") > 30, F.concat(name, F.lit(" ADD INDEX i"), "p_size", F.lit(" (c1)")))
         .when(C("p_size") > 20, F.concat(name, F.lit(" RENAME TO x")))
-        .otherwise(F.concat(name, F.lit(" add c"), "p_size", F.lit(" DECIMAL(10,2), ADD COLUMN more INT")))
+        .when(C("p_size") > 10, F.concat(name, F.lit(" /* a, b */ ADD COLUMN (`n "), "p_size", F.lit("` INT UNSIGNED, e ENUM('x','y'))")))
+        .otherwise(F.concat(name, F.lit(" add c"), "p_size", F.lit(" DECIMAL(10,2), ADD COLUMN more INT FIRST, DROP old, RENAME COLUMN a TO b")))
     )
     record = F.to_json(F.struct(ddl.alias("ddl")))
     source = F.struct(F.lit("shop").alias("db"), F.concat(F.lit("t"), "p_partkey").alias("table"), C("p_partkey").alias("ts_ms"))
@@ -73,7 +74,7 @@ def ddl_statements(spark, d):
 
 def ddl_actions(spark, d):
     events = cdc.parse_debezium(ddl_statements(spark, d))
-    return cdc.ddl_to_actions(cdc.parse_ddl(events)).select("src_table", "action", "column", "type")
+    return cdc.ddl_to_actions(cdc.parse_ddl(events)).select("src_table", "clause_no", "action", "column", "type")
 
 
 _TYPES = ["TINYINT UNSIGNED", "BIGINT UNSIGNED", "DECIMAL", "VARCHAR", "CHAR", "DATETIME", "JSON", "mediumint"]
@@ -126,6 +127,28 @@ def sync_database(spark, d):
     )
 
 
+def sync_temporals(spark, d):
+    """Dates and times of orders in the encodings of a change feed: days, milli- and microseconds, text with a zone."""
+    day = F.date_trunc("day", C("o_orderdate")).cast("timestamp_ntz")
+    micros = F.unix_date(F.to_date("o_orderdate")).cast("bigint") * 86400000000
+    image = F.struct(
+        "o_orderkey", F.unix_date(F.to_date("o_orderdate")).alias("day"), (F.expr("unix_date(to_date(o_orderdate))").cast("bigint") * 86400000 + C("o_orderkey")).alias("at"),
+        (micros + C("o_orderkey")).alias("fine"), F.concat(F.to_date(day).cast("string"), F.lit("T00:00:00Z")).alias("seen"))
+    spec = TableSpec("ods", "dated", (ColumnSpec("o_orderkey", "BIGINT", False), ColumnSpec("day", "DATE"), ColumnSpec("at", "DATETIME"), ColumnSpec("fine", "DATETIME"), ColumnSpec("seen", "DATETIME")),
+                     keys=("o_orderkey",), buckets=8, options={"temporals": {"day": "date", "at": "datetime_ms", "fine": "datetime", "seen": "timestamp"}})
+    made = envelope(table(spark, d, "orders"), "dated", F.lit("c"), F.lit(None).cast("string"), image, C("o_orderkey"))
+    return _synced(spark, d, made, {("shop", "dated"): spec}).read("ods", "dated")
+
+
+def infer_specs(spark, d):
+    """Specs of all source tables with a key, as rows: one per column."""
+    columns = source_metadata(spark, d).withColumn("decimal_digits", F.lit(2))
+    keys = columns.where("column_size = 1").select("table_schema", "table_name", "column_name", C("ordinal_position").alias("key_seq"))
+    specs = cdc.infer_specs(columns, keys, "ods", prefix="p_")
+    rows = [(t, c.name, int(c.name in s.keys)) for (_, t), s in specs.items() for c in s.columns]
+    return spark.createDataFrame(rows, "table_name string, column_name string, is_key int")
+
+
 def sync_schema_change(spark, d):
     """A column is dropped and another added between the snapshot and the updates of one batch."""
     ddl = lambda text, at: F.to_json(F.struct(
@@ -157,9 +180,18 @@ QUERIES = {
         UNION ALL SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'late ' ELSE '' END || o_orderpriority, CASE o_orderstatus WHEN 'F' THEN 0 ELSE 1 END, o_orderkey * 2 + 1 FROM orders WHERE o_orderstatus IN ('F', 'P')"""),
     "debezium_apply": (debezium_apply, f"SELECT o_orderkey, o_custkey, {_P} AS o_totalprice, {_FINAL} AS o_orderpriority FROM orders WHERE o_orderstatus <> 'P'"),
     "ddl_actions": (ddl_actions, """
-        SELECT 't' || p_partkey AS src_table, CASE WHEN p_type = 'ECONOMY' THEN 'drop' ELSE 'add' END AS action, 'c' || p_size AS "column",
-               CASE WHEN p_type = 'SMALL' THEN 'varchar(' || least(p_size * 3, 65533) || ')' WHEN p_type = 'ECONOMY' THEN NULL ELSE 'DECIMAL(10,2)' END AS type
-        FROM part WHERE p_type IN ('SMALL', 'ECONOMY') OR p_size <= 20"""),
+        WITH p AS (SELECT 't' || p_partkey AS src_table, p_size AS s, p_type AS t FROM part),
+        few AS (SELECT src_table, s FROM p WHERE t NOT IN ('SMALL', 'ECONOMY') AND s <= 10), listed AS (SELECT src_table, s FROM p WHERE t NOT IN ('SMALL', 'ECONOMY') AND s BETWEEN 11 AND 20)
+        SELECT src_table, 0 AS clause_no, 'add' AS action, 'c' || s AS "column", 'varchar(' || least(s * 3, 65533) || ')' AS type FROM p WHERE t = 'SMALL'
+        UNION ALL SELECT src_table, 0, 'drop', 'c' || s, NULL FROM p WHERE t = 'ECONOMY'
+        UNION ALL SELECT src_table, 0, 'add', 'c' || s, 'DECIMAL(10,2)' FROM few UNION ALL SELECT src_table, 1, 'add', 'more', 'INT' FROM few UNION ALL SELECT src_table, 2, 'drop', 'old', NULL FROM few
+        UNION ALL SELECT src_table, 0, 'add', 'n ' || s, 'INT UNSIGNED' FROM listed UNION ALL SELECT src_table, 1, 'add', 'e', 'ENUM(''x'',''y'')' FROM listed"""),
+    "sync_temporals": (sync_temporals, """
+        SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, date_trunc('day', o_orderdate) + to_milliseconds(o_orderkey) AS at, date_trunc('day', o_orderdate) + to_microseconds(o_orderkey) AS fine,
+               date_trunc('day', o_orderdate) + INTERVAL 8 HOUR AS seen FROM orders"""),
+    "infer_specs": (infer_specs, """
+        SELECT p_brand || '.' || p_type AS table_name, 'c' || p_partkey AS column_name, (p_size = 1)::INT AS is_key FROM part
+        WHERE p_brand || '.' || p_type IN (SELECT p_brand || '.' || p_type FROM part WHERE p_size = 1)"""),
     "source_type_map": (source_type_map, """
         SELECT p_brand || '.' || p_type AS table_name, 'c' || p_partkey AS column_name,
                CASE p_partkey % 8 WHEN 0 THEN 'SMALLINT' WHEN 1 THEN 'LARGEINT' WHEN 2 THEN CASE WHEN p_size <= 38 THEN 'DECIMAL(' || p_size || ',2)' ELSE 'STRING' END

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from .. import operators as op, sources as src
 from ..plans import split_filters
+from ..session import work_dir
 
 
 def table(spark, d, name, **kw):
@@ -62,8 +63,10 @@ def scan_limit(spark, d):
 
 
 def observed_scan(spark, d):
-    df, _ = src.observe_scan(table(spark, d, "supplier", columns=["s_suppkey", "s_name"]), "supplier")
-    return df
+    """The counter of a scan, read after the scan has run."""
+    df, seen = src.observe_scan(table(spark, d, "supplier", columns=["s_suppkey", "s_name"]), "supplier")
+    df.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(int(v),) for v in seen.get.values()][:1], "scanned bigint")
 
 
 def schema_on_read(spark, d):
@@ -79,12 +82,15 @@ def schema_on_read(spark, d):
 
 
 def nested_columns(spark, d):
+    """Nested values written to Parquet and read back from there."""
+    path = work_dir(spark, "nested")
     nested = table(spark, d, "orders").select(
         "o_orderkey", F.struct(C("o_orderstatus").alias("status"), F.to_date("o_orderdate").alias("day")).alias("s"),
         F.create_map("o_orderkey", "o_orderpriority").alias("m"), F.array("o_orderkey", "o_custkey").alias("a"),
         F.array(F.array("o_custkey")).alias("aa"),
     )
-    return nested.select(
+    nested.write.parquet(path)
+    return src.scan(spark, path).select(
         "o_orderkey", "s.status", "s.day", F.element_at("m", C("o_orderkey")).alias("priority"), C("a")[1].alias("custkey"),
         C("aa")[0][0].alias("inner_custkey"), F.size("aa").alias("n"),
     )
@@ -113,9 +119,24 @@ def lookup_join_multi_key(spark, d):
 
 
 def lookup_join_many_matches(spark, d):
-    dim = table(spark, d, "supplier", columns=["s_nationkey", "s_suppkey"]).withColumnRenamed("s_nationkey", "nationkey")
-    probe = table(spark, d, "customer", columns=["c_nationkey", "c_custkey"]).withColumnRenamed("c_nationkey", "nationkey")
-    return op.lookup_join(probe, dim, ["nationkey"]).groupBy("c_custkey").agg(F.count("*").alias("matches"), F.max("s_suppkey").alias("top"))
+    dim = table(spark, d, "orders", columns=["o_custkey", "o_orderkey"]).withColumnRenamed("o_custkey", "c_custkey")
+    probe = table(spark, d, "customer", columns=["c_custkey", "c_mktsegment"])
+    return op.lookup_join(probe, dim, ["c_custkey"]).groupBy("c_custkey", "c_mktsegment").agg(F.count("*").alias("matches"), F.max("o_orderkey").alias("top"))
+
+
+def _some_null(spark, d):
+    """Parts of which some have no type, as a stored table: the null filters reach the files."""
+    path = work_dir(spark, "nulls")
+    table(spark, d, "part").select("p_partkey", F.when(C("p_size") > 10, C("p_type")).alias("kind")).write.parquet(path)
+    return path
+
+
+def filter_is_null(spark, d):
+    return src.scan(spark, _some_null(spark, d), where=C("kind").isNull())
+
+
+def filter_is_not_null(spark, d):
+    return src.scan(spark, _some_null(spark, d), where=C("kind").isNotNull())
 
 
 def lookup_by_keys(spark, d):
@@ -134,8 +155,8 @@ QUERIES = {
     "filter_le": _simple("p_size <= 11", lambda: C("p_size") <= 11),
     "filter_and": _simple("p_size > 11 AND p_type = 'SMALL'", lambda: [C("p_size") > 11, C("p_type") == "SMALL"]),
     "filter_or": _simple("p_size = 1 OR (p_size = 50 AND p_type = 'ECONOMY')", lambda: (C("p_size") == 1) | ((C("p_size") == 50) & (C("p_type") == "ECONOMY"))),
-    "filter_is_null": _simple("p_name IS NULL OR p_size = 5", lambda: C("p_name").isNull() | (C("p_size") == 5)),
-    "filter_is_not_null": _simple("p_name IS NOT NULL", lambda: C("p_name").isNotNull()),
+    "filter_is_null": (filter_is_null, "SELECT p_partkey, CAST(NULL AS VARCHAR) AS kind FROM part WHERE p_size <= 10"),
+    "filter_is_not_null": (filter_is_not_null, "SELECT p_partkey, p_type AS kind FROM part WHERE p_size > 10"),
     "filter_not": _simple("NOT (p_size > 11)", lambda: ~(C("p_size") > 11)),
     "filter_boolean_column": (filter_boolean_column, "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_returnflag = 'R'"),
     "filter_cast": _simple("CAST(p_size AS VARCHAR) = '7'", lambda: C("p_size").cast("string") == "7"),
@@ -145,13 +166,13 @@ QUERIES = {
     "scan_count": (scan_count, 'SELECT count(*) AS "count" FROM lineitem WHERE l_quantity > 25'),
     "scan_count_all": (scan_count_all, 'SELECT count(*) AS "count" FROM lineitem'),
     "scan_limit": (scan_limit, "SELECT count(*) AS n FROM (SELECT * FROM lineitem LIMIT 1000)"),
-    "observed_scan": (observed_scan, "SELECT s_suppkey, s_name FROM supplier"),
+    "observed_scan": (observed_scan, "SELECT count(*) AS scanned FROM supplier"),
     "schema_on_read": (schema_on_read, "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_day, o_orderdate + INTERVAL 123456 MICROSECOND AS o_at, o_orderpriority FROM orders"),
     "nested_columns": (nested_columns, "SELECT o_orderkey, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS day, o_orderpriority AS priority, o_custkey AS custkey, o_custkey AS inner_custkey, CAST(1 AS INTEGER) AS n FROM orders"),
     "array_scan": (array_scan, "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims, CAST(embedding[1] AS DOUBLE) AS first, label FROM embeddings"),
     "lookup_join_inner": (lookup_join_inner, "SELECT c_custkey, o_orderkey, c_name, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey"),
     "lookup_join_left": (lookup_join_left, "SELECT o_custkey AS c_custkey, o_orderkey, c_mktsegment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 5000) ON o_custkey = c_custkey"),
     "lookup_join_multi_key": (lookup_join_multi_key, "SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_partkey, l_suppkey) AS pair_lines FROM lineitem"),
-    "lookup_join_many_matches": (lookup_join_many_matches, "SELECT c_custkey, count(*) AS matches, max(s_suppkey) AS top FROM customer JOIN supplier ON c_nationkey = s_nationkey GROUP BY c_custkey"),
+    "lookup_join_many_matches": (lookup_join_many_matches, "SELECT c_custkey, c_mktsegment, count(*) AS matches, max(o_orderkey) AS top FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL"),
     "lookup_by_keys": (lookup_by_keys, "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)"),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import operators as op, streaming
-from ..session import work_dir
+from ..session import Files, work_dir
 from ..spec import ColumnSpec, TableSpec
 from ..store import KeyedTable, Registry
 from . import encoding
@@ -40,14 +40,49 @@ def stream_apply(spark, d):
     return t.read()
 
 
+def _restored(spark, checkpoint):
+    """Copy of a checkpoint from before its last commit: its last batch will be delivered again."""
+    copy, files = work_dir(spark, "checkpoint"), Files(spark, checkpoint)
+    files.mkdirs(copy)
+    for name in files.names(checkpoint):
+        if name != "commits":
+            files.copy(f"{checkpoint}/{name}", f"{copy}/{name}")
+    return copy
+
+
 def stream_replay(spark, d):
-    """The same batch delivered by two checkpoints is loaded once; a later partial load follows."""
-    t = _table(spark)
-    for _ in range(2):
-        streaming.stream_apply(_log(_stream(spark, d, "events")), t, work_dir(spark, "checkpoint"), SEQ).awaitTermination()
+    """A batch that a restored checkpoint delivers again is loaded once."""
+    t, first = _table(spark), work_dir(spark, "checkpoint")
+    streaming.stream_apply(_log(_stream(spark, d, "events")), t, first, SEQ).awaitTermination()
+    streaming.stream_apply(_log(_stream(spark, d, "events")), t, _restored(spark, first), SEQ).awaitTermination()
     return t.read().select("user_id", "event_type", F.lit(t.manifest()["version"]).alias("version"))
 
 
+def stream_two_sources(spark, d):
+    """Two streams with default options into one table: both arrive."""
+    t = _table(spark)
+    for part in ("user_id % 2 = 0", "user_id % 2 = 1"):
+        streaming.stream_apply(_log(_stream(spark, d, "events").where(part)), t, work_dir(spark, "checkpoint"), SEQ).awaitTermination()
+    return t.read()
+
+
+def stream_bounded(spark, d):
+    """Events as several files, admitted one per batch."""
+    t, path = _table(spark), work_dir(spark, "in")
+    table(spark, d, "events").repartition(4, "user_id").write.parquet(path)
+    stream = spark.readStream.schema(table(spark, d, "events").schema).options(**streaming.admission(max_files=1)).parquet(path)
+    streaming.stream_apply(_log(stream), t, work_dir(spark, "checkpoint"), SEQ).awaitTermination()
+    return t.read().withColumn("batches", F.lit(t.manifest()["version"]))
+
+
+def stream_at_least_once(spark, d):
+    """Without a record of batches a replay loads again; the fold by key gives the same rows."""
+    t, first = _table(spark), work_dir(spark, "checkpoint")
+    for checkpoint in (first, None):
+        streaming.stream_apply(_log(_stream(spark, d, "events")), t, checkpoint or _restored(spark, first), SEQ, exactly_once=False).awaitTermination()
+    return t.read().withColumn("version", F.lit(t.manifest()["version"]))
+
+
 def keyed_table_batches(spark, d, on_read=False):
     """Customers loaded, then orders applied as three consecutive batches by date."""
     spec = TableSpec(
@@ -107,6 +142,71 @@ def stream_route(spark, d):
     return registry.read("db", "supplier").select("id", "name", F.lit(None).cast("int").alias("size")).union(registry.read("db", "part"))
 
 
+PARTS = TableSpec("db", "part", (ColumnSpec("id", "BIGINT", False), ColumnSpec("name", "STRING"), ColumnSpec("size", "INT")), keys=("id",), buckets=4)
+
+
+def _parts(df, *fields):
+    return df.select(F.lit("db").alias("database"), F.lit("part").alias("table"), F.to_json(F.struct(*fields)).alias("row"))
+
+
+def _routed(spark, root, options):
+    """Files of addressed rows below ``root``/in, routed into a registry in one batch."""
+    registry = Registry(spark, f"{root}/tables")
+    registry.ensure_tables([PARTS])
+    stream = spark.readStream.schema("database string, table string, row string").parquet(f"{root}/in")
+    streaming.route(stream, registry, f"{root}/checkpoint", options).awaitTermination()
+    return registry.read("db", "part")
+
+
+def stream_route_order(spark, d):
+    """A few rows in an early file, all rows in a later and larger one, some again in a last one: the latest file wins."""
+    root, p = work_dir(spark, "route"), table(spark, d, "part")
+    row = lambda note: (C("p_partkey").alias("id"), F.concat(F.lit(note), "p_name").alias("name"), C("p_size").alias("size"))
+    for df, note in ((p.where("p_size < 5"), "first "), (p, "second "), (p.where("p_size > 45"), "third ")):
+        _parts(df, *row(note)).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return _routed(spark, root, {"*": {"format": "json"}})
+
+
+def stream_route_partial(spark, d):
+    """Whole rows, then partial JSON records of one column: the others keep their values."""
+    root, p = work_dir(spark, "route"), table(spark, d, "part")
+    registry = Registry(spark, f"{root}/tables")
+    registry.ensure_tables([PARTS])
+    whole = p.select(C("p_partkey").alias("id"), C("p_name").alias("name"), C("p_size").alias("size"), F.lit(0).alias("_seq"))
+    registry.apply("db", "part", whole, seq="_seq")
+    _parts(p.where("p_size > 25"), C("p_partkey").alias("id"), (C("p_size") + 100).alias("size")).write.parquet(f"{root}/in")
+    return _routed(spark, root, {"*": {"format": "json", "partial_update": "true", "partial_columns": ["id", "size"]}})
+
+
+def stream_route_arrays(spark, d):
+    """Payloads that are arrays of records: one row per element."""
+    root, p = work_dir(spark, "route"), table(spark, d, "part")
+    registry = Registry(spark, f"{root}/tables")
+    registry.ensure_tables([PARTS])
+    record = F.to_json(F.struct(C("p_partkey").alias("id"), C("p_name").alias("name"), C("p_size").alias("size")))
+    p.groupBy((C("p_partkey") % 100).alias("g"), "p_size").agg(F.collect_list(record).alias("row")).select(
+        F.lit("db").alias("database"), F.lit("part").alias("table"), "row").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("database string, table string, row array<string>").parquet(f"{root}/in")
+    streaming.route(stream, registry, f"{root}/checkpoint", {"*": {"format": "json"}}).awaitTermination()
+    return registry.read("db", "part")
+
+
+def aggregate_load(spark, d):
+    """Orders per customer in two loads into an aggregate table: sums and maxima are merged, not replaced."""
+    spec = TableSpec(
+        "db", "spent", (ColumnSpec("custkey", "BIGINT", False), ColumnSpec("n", "BIGINT", aggregate="sum"), ColumnSpec("total", "DECIMAL(18,2)", aggregate="sum"), ColumnSpec("last", "DATETIME", aggregate="max"), ColumnSpec("least", "BIGINT", aggregate="min")),
+        model="aggregate", keys=("custkey",), buckets=4,
+    )
+    root = work_dir(spark, "registry")
+    registry = Registry(spark, root)
+    KeyedTable.create(spark, f"{root}/db/spent", spec)
+    o, early = table(spark, d, "orders"), C("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")
+    row = [C("o_custkey").alias("custkey"), F.lit(1).cast("bigint").alias("n"), C("o_totalprice").cast("decimal(18,2)").alias("total"), C("o_orderdate").alias("last"), C("o_orderkey").alias("least")]
+    for i, part in enumerate([o.where(early), o.where(~early), o.where(early)]):
+        registry.apply("db", "spent", part.select(*row), query_id="spent", batch_id=min(i, 1))
+    return registry.read("db", "spent")
+
+
 def registry_evolve(spark, d):
     """A table loses and gains columns; a partial load fills the new one."""
     registry = Registry(spark, work_dir(spark, "registry"))
@@ -126,13 +226,6 @@ def registry_select(spark, d):
     return registry.read("db", "nation", where="n_regionkey >= 2")
 
 
-def registry_describe(spark, d):
-    registry = Registry(spark, work_dir(spark, "registry"))
-    registry.ensure_tables([TableSpec.from_schema("db", t, table(spark, d, t).schema, [k], buckets=2) for t, k in (("orders", "o_orderkey"), ("supplier", "s_suppkey"))])
-    out = [registry.describe("db", t).select(F.lit(t).alias("table_name"), "column_name", "position", "key_position") for t in registry.tables("db")]
-    return out[0].union(out[1])
-
-
 def aggregate_table(spark, d):
     """Bitmaps of users per event type, loaded in two batches into an aggregate-key table."""
     spec = TableSpec(
@@ -157,6 +250,13 @@ _CUSTOMERS = """
 QUERIES = {
     "stream_apply": (stream_apply, _LAST),
     "stream_replay": (stream_replay, f"SELECT user_id, event_type, 1 AS version FROM ({_LAST})"),
+    "stream_two_sources": (stream_two_sources, _LAST),
+    "stream_bounded": (stream_bounded, f"SELECT *, 4 AS batches FROM ({_LAST})"),
+    "stream_at_least_once": (stream_at_least_once, f"SELECT *, 2 AS version FROM ({_LAST})"),
+    "stream_route_order": (stream_route_order, "SELECT p_partkey AS id, CASE WHEN p_size > 45 THEN 'third ' ELSE 'second ' END || p_name AS name, p_size AS size FROM part"),
+    "stream_route_partial": (stream_route_partial, "SELECT p_partkey AS id, p_name AS name, CASE WHEN p_size > 25 THEN p_size + 100 ELSE p_size END AS size FROM part"),
+    "stream_route_arrays": (stream_route_arrays, "SELECT p_partkey AS id, p_name AS name, p_size AS size FROM part"),
+    "aggregate_load": (aggregate_load, "SELECT o_custkey AS custkey, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DECIMAL(18,2) AS total, max(o_orderdate) AS last, min(o_orderkey) AS least FROM orders GROUP BY o_custkey"),
     "keyed_table_batches": (keyed_table_batches, _CUSTOMERS),
     "keyed_table_deltas": (keyed_table_deltas, _CUSTOMERS),
     "gated_load": (gated_load, encoding.QUERIES["quality_good"][1]),
@@ -164,8 +264,5 @@ QUERIES = {
     "stream_route": (stream_route, "SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS INTEGER) AS size FROM supplier UNION ALL SELECT p_partkey, p_name, p_size FROM part WHERE p_size <> 13"),
     "registry_evolve": (registry_evolve, "SELECT p_partkey, p_name, CASE WHEN p_size > 25 THEN p_size + 100 ELSE 7 END AS grade FROM part"),
     "registry_select": (registry_select, "SELECT n_name, n_nationkey FROM nation WHERE n_regionkey >= 2"),
-    "registry_describe": (registry_describe, """
-        SELECT table_name, column_name, CAST(ordinal_position AS INTEGER) AS position, CASE WHEN ordinal_position = 1 THEN 1 END AS key_position
-        FROM information_schema.columns WHERE table_name IN ('orders', 'supplier')"""),
     "aggregate_table": (aggregate_table, "SELECT event_type, count(DISTINCT user_id) AS ndv FROM events GROUP BY event_type"),
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 
@@ -50,9 +51,11 @@ def observed(observation: Observation, recount: DataFrame) -> dict:
     """Metrics of an observation. Adaptive execution drops the observing node when no row passes; then count again."""
     try:
         found = observation.get
-        return {c: found[c] for c in recount.columns}
-    except Exception:
-        return recount.first().asDict()
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e.java_exception):  # that is how a metric without a row shows
+            raise
+        found = {}
+    return {c: found[c] for c in recount.columns} if all(c in found for c in recount.columns) else recount.first().asDict()
 
 
 class Files:
@@ -78,6 +81,11 @@ class Files:
     def delete(self, path: str) -> bool:
         return self._fs.delete(self._path(path), True)
 
+    def copy(self, path: str, to: str) -> None:
+        """Copy a file or folder inside the file system."""
+        conf = self._fs.getConf()
+        self._jvm.org.apache.hadoop.fs.FileUtil.copy(self._fs, self._path(path), self._fs, self._path(to), False, conf)
+
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:

@@ -20,6 +20,7 @@ class ColumnSpec:
     nullable: bool = True
     default: str | None = None
     comment: str | None = None
+    aggregate: str | None = None  # how an aggregate table merges values: sum, min, max, bitmap_union, hll_union
 
     @property
     def spark(self) -> T.DataType:

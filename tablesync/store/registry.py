@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 from typing import Iterable, Mapping
 
@@ -14,6 +15,31 @@ from ..types import split_type
 from .table import KeyedTable
 
 
+_EQUAL = re.compile(r"(?i)\s*`?(\w+)`?\s*(?:=\s*(?P<one>-?\d+|'[^']*')|in\s*\((?P<some>[^()]*)\))\s*")
+_VALUE = re.compile(r"\s*(-?\d+|'[^']*')\s*(?:,|$)")
+
+
+def wanted_keys(spec: TableSpec, conditions: Iterable) -> dict[str, list] | None:
+    """Values of all key columns if text conditions joined by AND fix them (``k = 7``, ``k IN ('a', 'b')``), else None.
+
+    Only numbers without a fraction and plain texts are understood; other conditions are left to the scan.
+    """
+    found: dict[str, list] = {}
+    if not spec.has_primary_key:
+        return None
+    for text in (c for c in conditions if isinstance(c, str)):
+        if re.search(r"(?i)\b(or|not|case|between)\b", text):
+            continue
+        for part in re.split(r"(?i)\s+and\s+", text):
+            m = _EQUAL.fullmatch(part)
+            key = next((k for k in spec.keys if m and k.lower() == m[1].lower()), None)
+            if key and key not in found:
+                values = [m["one"]] if m["one"] else [v[1] for v in _VALUE.finditer(m["some"])]
+                if values and (m["one"] or "".join(values) == re.sub(r"[\s,]", "", m["some"])):
+                    found[key] = [v[1:-1] if v[0] == "'" else int(v) for v in values]
+    return found if set(found) == set(spec.keys) else None
+
+
 class Registry:
     """``source_options`` and ``load_options`` are defaults; the options of a table, then those of a call, go over them."""
 
@@ -97,8 +123,9 @@ class Registry:
         t = self.table(database, table)
         merged = {**self._source, **t.spec.options.get("source", {}), **options}
         columns = columns or [c.strip() for c in merged.get("scan.columns", "").split(",") if c.strip()] or None
-        df = t.read()
-        for condition in _conditions(where if where is not None else merged.get("scan.filter")):
+        conditions = _conditions(where if where is not None else merged.get("scan.filter"))
+        df = t.read(keys=wanted_keys(t.spec, conditions))
+        for condition in conditions:
             df = df.where(condition)
         df = df.select(*_known(df, columns)) if columns else df
         return df if limit is None else df.limit(limit)

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import json
 import re
+import time
 import uuid
 from collections import Counter
 from functools import reduce
-from typing import Callable, Iterable
+from typing import Callable, Iterable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -26,7 +27,7 @@ from ..session import Files, observed
 from ..spec import OP, ColumnSpec, TableSpec
 
 SMALL_ROWS = 200_000  # folds up to this many rows never need the rebalancing shuffle before the write
-KEEP_VERSIONS = 100  # older manifests are removed as new ones are published; their files go with vacuum
+KEEP = "keep_versions"  # table property: older manifests go as new ones are published (0, the default: only vacuum removes)
 BUCKET, COMMIT = "_bucket", "_commit"
 
 
@@ -73,8 +74,9 @@ class KeyedTable:
     def _publish(self, manifest: dict) -> None:
         if not self._files.publish_text(self._manifest_path(manifest["version"]), json.dumps(manifest)):
             raise ConcurrentCommit(f"version {manifest['version']} of {self.path} was published by another writer")
-        if manifest["version"] >= KEEP_VERSIONS:
-            self._files.delete(self._manifest_path(manifest["version"] - KEEP_VERSIONS))
+        keep = int(manifest["spec"]["props"].get(KEEP, 0))
+        if keep and manifest["version"] >= keep:
+            self._files.delete(self._manifest_path(manifest["version"] - keep))
 
     @property
     def spec(self) -> TableSpec:
@@ -82,8 +84,21 @@ class KeyedTable:
 
     # -- read ----------------------------------------------------------------------------------------------------
 
-    def read(self, version: int | None = None) -> DataFrame:
-        return self._read(self.manifest(version))
+    def read(self, version: int | None = None, keys: Mapping[str, Iterable] | None = None) -> DataFrame:
+        """Rows of a version. ``keys`` gives wanted values for every key column: only their buckets are opened."""
+        m = self.manifest(version)
+        if not keys:
+            return self._read(m)
+        spec = TableSpec.from_dict(m["spec"])
+        wanted = reduce(lambda x, y: x & y, [F.col(k).isin(list(keys[k])) for k in spec.keys])
+        return self._read(m, self._buckets_of(spec, keys)).where(wanted)
+
+    def _buckets_of(self, spec: TableSpec, keys: Mapping[str, Iterable]) -> set[int]:
+        values = self.spark.range(1).select(*[F.array(*[F.lit(v).try_cast(spec.column(k).spark) for v in keys[k]]).alias(k) for k in spec.keys])
+        for k in spec.keys:
+            values = values.withColumn(k, F.explode(k))
+        bucket = F.pmod(F.hash(*spec.keys), F.lit(spec.buckets))
+        return {r[0] for r in values.select(bucket).distinct().collect()}
 
     def _commit_dir(self, commit: str) -> str:
         return f"{self.path}/data/{COMMIT}={commit}"
@@ -201,19 +216,23 @@ class KeyedTable:
         report: Callable[[dict], None] | None = None,
         parallelism: int | None = None,
         merge_on_read: bool | None = None,
+        stream_id: str | None = None,
     ) -> dict:
         """Check, fold and apply one load, then publish it.
 
-        Columns are matched by name. With ``query_id`` and ``batch_id`` a load that is already recorded is skipped.
+        Columns are matched by name. With ``query_id`` and ``batch_id`` a load that is already recorded is skipped;
+        ``stream_id`` names the checkpoint behind a ``query_id``, and another checkpoint under the same id raises.
         ``evolve`` changes the manifest's columns in the same step. ``parallelism`` fixes the number of writing tasks,
         which is otherwise Spark's choice. ``merge_on_read`` (default: the table's property) writes only the folded load
         beside the table instead of rewriting buckets; conditional loads always rewrite. Returns the load report.
         """
+        started = time.perf_counter()
         m = self.manifest()
+        m = owned(m, query_id, stream_id)
         if query_id is not None and m["ledger"].get(query_id, -1) >= batch_id:
             return {"skipped": True, "version": m["version"]}
         if evolve:
-            m = evolve(m)
+            m = owned(evolve(m), query_id, stream_id)
         spec = TableSpec.from_dict(m["spec"])
         seq = [seq] if isinstance(seq, str) else list(seq)
         known = {c.lower() for c in spec.names}
@@ -222,7 +241,9 @@ class KeyedTable:
             if c.lower() not in known and c not in helper:
                 spec.column(c)  # raises: no such column
         obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
-        if spec.model == "duplicate":
+        if spec.model == "aggregate":
+            report_row = self._aggregate(m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id)
+        elif spec.model == "duplicate":
             report_row = self._append(m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id, parallelism)
         else:
             if mode == "partial" and columns is None:
@@ -234,10 +255,20 @@ class KeyedTable:
                 max_filter_ratio, obs, query_id, batch_id, parallelism,
                 spec.props.get("merge_on_read") == "true" if merge_on_read is None else merge_on_read,
             )
+        report_row["load_ms"] = int((time.perf_counter() - started) * 1000)
         if report:
             report(report_row)
         return report_row
 
+    def _aggregate(self, m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id) -> dict:
+        """Rows of a key are merged with those of the table by the aggregate of each column, never replaced."""
+        aggs = {c.name: aggregate_of(c) for c in spec.columns if c.name not in spec.keys}
+        good, recount = self._checked(df, spec, strict, obs, None)
+        counts = recount.first().asDict()
+        gate(counts["total"], counts["filtered"], max_filter_ratio)
+        out = self.merge_aggregate(good, aggs, query_id, batch_id, m)
+        return {**out, "total_rows": counts["total"], "loaded_rows": counts["total"] - counts["filtered"], "filtered_rows": counts["filtered"]}
+
     def _checked(self, df: DataFrame, spec: TableSpec, strict: bool, obs: Observation, columns: set[str] | None):
         """Typed good rows, whose counts go to ``obs`` while the job runs, and the same counts as a query of their own."""
         if columns is not None:
@@ -314,10 +345,11 @@ class KeyedTable:
         return self._finish(m, live, commit, counts, query_id, batch_id)
 
     def merge_aggregate(
-        self, delta: DataFrame, aggs: dict[str, Callable[[str], Column]], query_id: str | None = None, batch_id: int | None = None
+        self, delta: DataFrame, aggs: dict[str, Callable[[str], Column]], query_id: str | None = None, batch_id: int | None = None,
+        manifest: dict | None = None,
     ) -> dict:
         """Aggregate-key load: rows with the same key are merged column by column, e.g. ``{"bitmap": F.bitmap_or_agg}``."""
-        m = self.manifest()
+        m = manifest or self.manifest()
         if query_id is not None and m["ledger"].get(query_id, -1) >= batch_id:
             return {"skipped": True, "version": m["version"]}
         spec = TableSpec.from_dict(m["spec"])
@@ -419,10 +451,10 @@ class KeyedTable:
     def abort_stale(self, query_id: str) -> list[str]:
         """Remove what a crashed run of ``query_id`` staged but never published. Published commits are never touched."""
         kept, _ = self._kept()
-        mine = f"-{_safe(query_id)}-"
+        mine = re.compile(rf"\d{{10}}-{re.escape(_safe(query_id))}-\d+-[0-9a-f]{{8}}")
         stale = [
             c for n in self._files.names(f"{self.path}/data")
-            if (c := n.removeprefix(f"{COMMIT}=")) not in kept and mine in c
+            if (c := n.removeprefix(f"{COMMIT}=")) not in kept and mine.fullmatch(c)
         ]
         for c in stale:
             self._files.delete(self._commit_dir(c))
@@ -459,7 +491,27 @@ def _without(entries: dict, buckets: Iterable[int]) -> dict:
 
 
 def _safe(query_id: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_]", "_", query_id)
+    """Letters and digits stay, other characters are written as their code, so different ids stay different."""
+    return re.sub(r"[^A-Za-z0-9]", lambda c: f"_{ord(c[0]):x}_", query_id)
+
+
+def owned(m: dict, query_id: str | None, stream_id: str | None) -> dict:
+    """Manifest in which the id belongs to the checkpoint ``stream_id``; raises if it belongs to another one."""
+    if query_id is None or stream_id is None:
+        return m
+    owner = m.get("owners", {}).get(query_id, stream_id)
+    if owner != stream_id:
+        raise ValueError(f"{query_id!r} is the id of another stream (checkpoint {owner}); give this one an id of its own")
+    return {**m, "owners": {**m.get("owners", {}), query_id: stream_id}}
+
+
+def aggregate_of(c: ColumnSpec) -> Callable[[str], Column]:
+    """How values of a column of an aggregate table are merged: by its ``aggregate``, or what its type says."""
+    name = (c.aggregate or {"BITMAP": "bitmap_union", "HLL": "hll_union"}.get(c.type.upper(), "")).lower()
+    known = {"sum": F.sum, "min": F.min, "max": F.max, "bitmap_union": F.bitmap_or_agg, "hll_union": F.hll_union_agg}
+    if name not in known:
+        raise ValueError(f"column {c.name} of an aggregate table needs an aggregate: {', '.join(known)}")
+    return (lambda x: F.sum(x).cast(c.spark)) if name == "sum" else known[name]
 
 
 def evolve_manifest(m: dict, add: list[ColumnSpec], drop: list[str]) -> dict:

@@ -25,10 +25,11 @@ def stream_lookup_join(
     """Join each micro-batch with the dimension table as of now, refreshed once it is older than ``ttl_ms``.
 
     A static side of a stream is listed once and never sees later files, so the dimension is read inside the batch.
+    ``write(joined, batch_id)`` runs again when a batch is replayed: it should replace what it wrote for that number.
     """
     cache = CachedDimension(dim_reader, ttl_ms)
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
+    def on_batch(batch: DataFrame, batch_id: int, _: str) -> None:
         write(lookup_join(batch, cache.get(), on, how, max_broadcast_bytes), batch_id)
 
     return start_query(stream, on_batch, checkpoint, trigger)

@@ -9,10 +9,11 @@ from typing import Callable, Mapping
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import Files, observed, work_dir
+from ..session import Files, observed
 from ..sources.records import decode_text, split_mapping
 from ..store.registry import Registry
-from .apply import start_query
+from ..store.table import _safe
+from .apply import ARRIVAL, start_query, upkeep, with_arrival
 
 ANY = "*"  # stands for every table in per-table options
 
@@ -61,18 +62,24 @@ def route_batch(
     query_id: str = "route",
     batch_id: int = 0,
     width: int = 8,
+    stream_id: str | None = None,
+    compact_every: int | None = None,
+    vacuum_every: int | None = None,
 ) -> dict[str, dict]:
     """Decode and load the rows ``(database, table, row[, seq])`` of one batch into their tables.
 
     ``options`` holds load options per ``database.table`` over those under ``*``: ``format``, ``columns`` (a mapping),
     ``partial_update``, ``merge_condition``, ``max_filter_ratio``, separators. Rows of a keyed table follow ``seq``
-    where the input has one, else the input order inside the batch. Returns the load report per table; skipped rows are
-    counted under ``""``.
+    where the input has one, else the place of the row in its file (``_arrival``, see :func:`apply.with_arrival`), else the
+    input order inside the batch. The batch is staged below the registry's root under a name of its own, which a repeated run
+    replaces. ``compact_every`` and ``vacuum_every`` as in :func:`apply.stream_apply`. Returns the load report per table; skipped
+    rows are counted under ``""``.
     """
     spark = batch.sparkSession
     options = dict(options or {})
-    path = work_dir(spark, f"route-{uuid.uuid4().hex[:6]}")
-    ordered = batch if "seq" in batch.columns else batch.withColumn("seq", F.monotonically_increasing_id())
+    path = staging(registry, "route", query_id, batch_id)
+    inside = F.monotonically_increasing_id()
+    ordered = batch if "seq" in batch.columns else batch.withColumn("seq", F.struct(ARRIVAL, inside.alias("at")) if ARRIVAL in batch.columns else inside)
     obs = Observation(f"route_{uuid.uuid4().hex[:8]}")
     metrics = [F.count_if(_incomplete()).alias("skipped_rows"), F.count(F.lit(1)).alias("total_rows")]
     good, _ = addressed(ordered.observe(obs, *metrics))
@@ -84,7 +91,7 @@ def route_batch(
             staged = spark.read.schema(targeted.schema).parquet(path)
             rows = staged.where(F.col("_target") == target).drop("_target")
             own = {**options.get(ANY, {}), **options.get(target, {})}
-            jobs[target] = lambda t=target, r=rows, o=own: _load_target(registry, t, r, o, query_id, batch_id)
+            jobs[target] = lambda t=target, r=rows, o=own: _load_target(registry, t, r, o, query_id, batch_id, stream_id, compact_every, vacuum_every)
         reports = in_parallel(jobs, width)
     finally:
         Files(spark, path).delete(path)
@@ -92,7 +99,17 @@ def route_batch(
     return reports
 
 
-def _load_target(registry: Registry, target: str, rows: DataFrame, options: dict, query_id: str, batch_id: int) -> dict:
+def staging(registry: Registry, kind: str, query_id: str, batch_id: int) -> str:
+    """Folder of a staged batch, shared like the tables themselves; what a crashed run of the batch left there goes."""
+    path = f"{registry.root}/_staging/{kind}-{_safe(query_id)}-{batch_id}"
+    Files(registry.spark, path).delete(path)
+    return path
+
+
+def _load_target(
+    registry: Registry, target: str, rows: DataFrame, options: dict, query_id: str, batch_id: int, stream_id: str | None,
+    compact_every: int | None, vacuum_every: int | None,
+) -> dict:
     database, _, name = target.partition(".")
     table = registry.table(database, name)
     spec = table.spec
@@ -116,11 +133,16 @@ def _load_target(registry: Registry, target: str, rows: DataFrame, options: dict
     if partial:
         columns = [c for c in spec.names if c in fields or c in {n for n, _ in entries}]
     extra = [c for c in text.columns if c not in (*spec.names, "__op", "_reasons", "seq")]
-    return table.load(
+    if partial and not mapping and not options.get("partial_columns") and options.get("format", "json") == "json":
+        raise ValueError(f"a partial load of {target} needs columns or partial_columns: absent fields of a record would become null")
+    report = table.load(
         text.drop(*extra), "seq", mode="partial" if partial else "full", columns=columns,
         merge_condition=options.get("merge_condition"), strict=options.get("strict", True),
         max_filter_ratio=float(options.get("max_filter_ratio", 0.0)), query_id=query_id, batch_id=batch_id,
+        stream_id=stream_id,
     )
+    upkeep(table, batch_id, compact_every, 8, vacuum_every)
+    return report
 
 
 def route(
@@ -128,15 +150,21 @@ def route(
     registry: Registry,
     checkpoint: str,
     options: Mapping[str, Mapping] | None = None,
-    query_id: str = "route",
+    query_id: str | None = None,
     trigger: str = "availableNow",
     on_report: Callable[[dict], None] | None = None,
     width: int = 8,
+    compact_every: int | None = None,
+    vacuum_every: int | None = None,
 ) -> StreamingQuery:
-    """Streaming form of :func:`route_batch`; every table records the batch, so a replay skips the tables already done."""
+    """Streaming form of :func:`route_batch`; every table records the batch, so a replay skips the tables already done.
+
+    Records are kept under the checkpoint's id (see :func:`apply.stream_apply`). Without ``seq`` the source must be files.
+    """
+    stream = stream if "seq" in stream.columns else with_arrival(stream)
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        reports = route_batch(batch, registry, options, query_id, batch_id, width)
+    def on_batch(batch: DataFrame, batch_id: int, stream_id: str) -> None:
+        reports = route_batch(batch, registry, options, query_id or stream_id, batch_id, width, stream_id, compact_every, vacuum_every)
         if on_report:
             on_report(reports)
 

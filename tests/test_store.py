@@ -101,9 +101,8 @@ def test_merge_on_read_does_not_rewrite(spark, reg):
     assert t.read().where("a is not null").count() == 0 and len(t.manifest()["deltas"]) == 2
 
 
-def test_old_manifests_go(spark, reg, monkeypatch):
-    monkeypatch.setattr("tablesync.store.table.KEEP_VERSIONS", 3)
-    t = make(reg)
+def test_old_manifests_go(spark, reg):
+    t = make(reg, props={"keep_versions": "3"})
     for i in range(5):
         t.evolve(add=[ts.ColumnSpec(f"x{i}", "INT")])
     assert t.versions() == [3, 4, 5]
@@ -174,6 +173,40 @@ def test_two_writers(spark, reg, monkeypatch):
     assert t.read().count() == 1 and len(t._files.names(f"{t.path}/data")) == 1
 
 
+def test_key_reads_open_their_buckets_only(spark, reg):
+    t = make(reg, buckets=16)
+    t.load(spark.range(1000).selectExpr("cast(id as int) k", "cast(id as int) a", "'x' b", "id _seq"), "_seq")
+    some = t.read(keys={"k": [7, 900]})
+    assert sorted(r["k"] for r in some.collect()) == [7, 900] and len({f.split("_bucket=")[1].split("/")[0] for f in some.inputFiles()}) <= 2
+    one = reg.read("db", "t", where="k = 7")
+    assert [r["a"] for r in one.collect()] == [7] and len({f.split("_bucket=")[1].split("/")[0] for f in one.inputFiles()}) == 1
+    assert reg.read("db", "t", where="k in (7, 8) and a > 7").count() == 1 and reg.read("db", "t", where="k > 7").count() == 992
+
+
+def test_aggregate_loads_merge(spark, reg):
+    spec = ts.TableSpec("db", "agg", (ts.ColumnSpec("k", "INT", False), ts.ColumnSpec("n", "BIGINT", aggregate="sum"), ts.ColumnSpec("top", "DOUBLE", aggregate="max"), ts.ColumnSpec("uv", "HLL")), model="aggregate", keys=("k",), buckets=2)
+    t = ts.KeyedTable.create(spark, f"{reg.root}/db/agg", spec)
+    for i in (0, 1, 1):
+        rows = spark.range(100 * i, 100 * i + 100).groupBy(F.lit(1).alias("k")).agg(F.count("*").alias("n"), F.max("id").alias("top"), F.hll_sketch_agg("id").alias("uv"))
+        reg.apply("db", "agg", rows, query_id="q", batch_id=i)
+    r = t.read().select("k", "n", "top", F.hll_sketch_estimate("uv").alias("uv")).first()
+    assert (r["k"], r["n"], r["top"]) == (1, 200, 199.0) and abs(r["uv"] - 200) <= 10
+    with pytest.raises(ValueError, match="aggregate"):
+        bad = ts.KeyedTable.create(spark, f"{reg.root}/db/agg2", ts.TableSpec("db", "agg2", (ts.ColumnSpec("k", "INT"), ts.ColumnSpec("v", "INT")), model="aggregate", keys=("k",)))
+        bad.load(spark.sql("select 1 k, 2 v"))
+
+
+def test_stale_commits_are_told_apart(spark, reg):
+    from tablesync.store.table import _safe
+
+    assert len({_safe(x) for x in ("a.b", "a_b", "a-b", "ab", "a_2e_b")}) == 5
+    t = make(reg)
+    df = spark.sql("select 1 k, 1 a, 'x' b, 1 _seq")
+    t.load(df, "_seq", query_id="foo", batch_id=1)
+    t._files.mkdirs(t._commit_dir("0000000009-foo-1-0123abcd"))
+    assert t.abort_stale("1") == [] and t.abort_stale("foo") == ["0000000009-foo-1-0123abcd"] and t.read().count() == 1
+
+
 def test_duplicate_model_appends(spark, reg):
     spec = ts.TableSpec("db", "dup", (ts.ColumnSpec("c0", "INT"), ts.ColumnSpec("c1", "FLOAT"), ts.ColumnSpec("c2", "STRING", False)), model="duplicate")
     t = ts.KeyedTable.create(spark, f"{reg.root}/db/dup", spec)

@@ -1,4 +1,5 @@
 import json
+import shutil
 
 import pytest
 
@@ -36,8 +37,9 @@ def test_stream_apply_exactly_once(spark, reg, tmp_path):
     assert [tuple(r) for r in t.read().collect()] == [(1, "c")]
     version = t.manifest()["version"]
     assert version == 2  # one commit per micro-batch
-    # the same input under a new checkpoint replays batches 0 and 1, which are recorded already
-    ts.stream_apply(read_stream(spark, src, SCHEMA, **ts.admission(max_files=1)), t, str(tmp_path / "ck2"), "_seq").awaitTermination(120)
+    # a restored checkpoint that doesn't know of its last commit replays the batch, which is recorded already
+    shutil.copytree(ck, str(tmp_path / "restored"), ignore=shutil.ignore_patterns("commits"))
+    ts.stream_apply(read_stream(spark, src, SCHEMA, **ts.admission(max_files=1)), t, str(tmp_path / "restored"), "_seq").awaitTermination(120)
     assert t.manifest()["version"] == version
     feed(spark, src, 2, [(5, "z", "+I", 5)], SCHEMA)
     run()
@@ -46,6 +48,30 @@ def test_stream_apply_exactly_once(spark, reg, tmp_path):
     assert t.manifest()["version"] == 4 and sorted(r["k"] for r in t.read().collect()) == [1, 5]
 
 
+def test_two_streams_into_one_table(spark, reg, tmp_path):
+    t = reg.table("db", "t")
+    for i, name in enumerate("ab"):
+        feed(spark, str(tmp_path / name), 0, [(i, name, "+I", 1)], SCHEMA)
+        ts.stream_apply(read_stream(spark, str(tmp_path / name), SCHEMA), t, str(tmp_path / f"ck{name}"), "_seq").awaitTermination(120)
+    assert sorted(tuple(r) for r in t.read().collect()) == [(0, "a"), (1, "b")]
+    ts.stream_apply(read_stream(spark, str(tmp_path / "a"), SCHEMA), t, str(tmp_path / "ck1"), "_seq", query_id="mine").awaitTermination(120)
+    with pytest.raises(Exception, match="id of another stream"):
+        ts.stream_apply(read_stream(spark, str(tmp_path / "b"), SCHEMA), t, str(tmp_path / "ck2"), "_seq", query_id="mine").awaitTermination(120)
+
+
+def test_later_file_wins_whatever_its_size(spark, reg, tmp_path):
+    src = str(tmp_path / "src")
+    row = "database string, table string, row string"
+    reg.ensure_tables([ts.TableSpec("test", "tbl1", (ts.ColumnSpec("id", "INT", False), ts.ColumnSpec("name", "STRING"), ts.ColumnSpec("score", "INT")), keys=("id",), buckets=2)])
+    old = [("test", "tbl1", '{"id": %d, "name": "old", "score": 1}' % k) for k in range(3)]
+    new = [("test", "tbl1", '{"id": %d, "name": "new", "score": 2}' % k) for k in range(3000)]
+    for rows in (old, new, old[:1]):
+        spark.createDataFrame(rows, row).coalesce(1).write.mode("append").parquet(src)
+    ts.route(read_stream(spark, src, row), reg, str(tmp_path / "ck"), {"*": {"format": "json"}}).awaitTermination(120)
+    got = {r["id"]: r["name"] for r in reg.read("test", "tbl1").collect()}
+    assert got[0] == "old" and got[1] == got[2] == got[2999] == "new"
+
+
 def test_stream_merge_on_read(spark, reg, tmp_path):
     src = str(tmp_path / "src")
     for i in range(4):
@@ -181,7 +207,7 @@ def test_feed_upsert_and_delete(spark, reg):
     lines = [event("r", None, ROW(1, 1.0, "row1")), event("c", None, ROW(2, 2.0, "row2")), event("c", None, ROW(3, 3.0, "row3")), event("u", ROW(1, 1.0, "row1"), ROW(1, 2.0, "row1")), event("d", ROW(3, 3.0, "row3"))]
     r = ts.sync_batch(text(spark, lines + ["junk", event("x")]), reg, TARGETS)
     assert read(reg) == [(1, 2.0, "row1"), (2, 2.0, "row2")]
-    assert r[""] == {"total_events": 7, "invalid_events": 2}
+    assert r[""] == {"total_events": 7, "invalid_events": 2, "unlisted_events": 0}
 
 
 def test_feed_without_usable_events(spark, reg):
@@ -216,14 +242,54 @@ def test_feed_schema_changes_inside_a_batch(spark, reg):
     r = ts.sync_batch(text(spark, lines), reg, TARGETS, batch_id=1, schema_evolution=True)
     assert r["db.ods_kv"]["filtered_rows"] == 0
     got = reg.read("db", "ods_kv")
-    assert got.columns == ["c0", "c1", "c2", "d1"]
-    assert [c.type for c in reg.table("db", "ods_kv").spec.columns] == ["INT", "FLOAT", "VARCHAR(30)", "DECIMAL(10,2)"]
+    assert got.columns == ["c0", "c1", "c2", "d1", "more"] and r["db.ods_kv"]["unknown_columns"] == ["shape GEOMETRY"]
+    assert [c.type for c in reg.table("db", "ods_kv").spec.columns] == ["INT", "FLOAT", "VARCHAR(30)", "DECIMAL(10,2)", "INT"]
     assert [(r["c0"], r["c2"], str(r["d1"])) for r in got.orderBy("c0").collect()] == [(1, None, "None"), (2, "after", "1.25"), (9, None, "None")]
     # off by default
     ts.sync_batch(text(spark, [ddl("ALTER TABLE kv DROP COLUMN d1", 8)]), reg, TARGETS, batch_id=2)
     assert "d1" in reg.read("db", "ods_kv").columns
 
 
+@pytest.mark.parametrize("text_of, want", [
+    ("ALTER TABLE t ADD COLUMN a INT, ADD COLUMN b VARCHAR(10)", [("add", "a", "INT"), ("add", "b", "varchar(30)")]),
+    ("alter table `my db`.`t x` add (a INT, b DECIMAL(10, 2) NOT NULL)", [("add", "a", "INT"), ("add", "b", "DECIMAL(10, 2)")]),
+    ("ALTER TABLE t /* c, d */ DROP COLUMN `a b`, ADD u BIGINT UNSIGNED AFTER x, ADD INDEX i (a, b);", [("drop", "a b", None), ("add", "u", "BIGINT UNSIGNED")]),
+    ("ALTER TABLE t ADD e ENUM('x','y') FIRST, RENAME TO z, ADD `key` INT", [("add", "e", "ENUM('x','y')"), ("add", "key", "INT")]),
+    ("CREATE TABLE t (a INT)", []), ("ALTER TABLE t ADD PRIMARY KEY (a)", []),
+])
+def test_clauses(spark, text_of, want):
+    got = ts.ddl_to_actions(spark.createDataFrame([(text_of,)], "ddl string")).orderBy("clause_no").collect()
+    assert [(r["action"], r["column"], r["type"]) for r in got] == want
+
+
+def test_types_of_added_columns():
+    from pyspark.sql import Row
+
+    from tablesync.cdc.ddl import column_of
+
+    kind = lambda t: (c := column_of(Row(action="add", column="c", type=t))) and c.type
+    assert [kind(t) for t in ("INT UNSIGNED", "BIGINT UNSIGNED", "ENUM('a','b')", "GEOMETRY", "DECIMAL(10, 2)")] == ["BIGINT", "LARGEINT", "STRING", None, "DECIMAL(10,2)"]
+
+
+def test_feed_temporals(spark, reg):
+    spec = ts.TableSpec("db", "tm", (ts.ColumnSpec("id", "INT", False), ts.ColumnSpec("d", "DATE"), ts.ColumnSpec("m", "DATETIME"), ts.ColumnSpec("u", "DATETIME"), ts.ColumnSpec("z", "DATETIME")), keys=("id",))
+    reg.ensure_tables([spec])
+    rows = [
+        {"id": 1, "d": 19000, "m": 1700000000000, "u": 1700000000000001, "z": "2023-11-14T22:13:20Z"}, {"id": 2, "d": "2022-01-08", "m": None, "u": None, "z": 1700000000000000},
+        {"id": 3, "d": 1700000000000, "m": 1, "u": 1, "z": None},
+    ]
+    at = {("db", "tm"): {"d": "date", "m": "datetime_ms", "u": "datetime", "z": "timestamp"}}
+    lines = [event("c", None, r, table="tm") for r in rows] + [event("c", None, {"id": 1}, table="other")]
+    r = ts.sync_batch(text(spark, lines), reg, {("src", "tm"): ("db", "tm")}, temporals=at, max_filter_ratio=0.5)
+    assert r["db.tm"]["filtered_rows"] == 1 and r[""]["unlisted_events"] == 1
+    got = {x["id"]: [str(v) for v in x[1:]] for x in reg.read("db", "tm").collect()}
+    assert got[1] == ["2022-01-08", "2023-11-14 22:13:20", "2023-11-14 22:13:20.000001", "2023-11-15 06:13:20"]
+    assert got[2] == ["2022-01-08", "None", "None", "2023-11-15 06:13:20"]
+    # without encodings a number is rejected, never taken for a year
+    r = ts.sync_batch(text(spark, lines[:1]), reg, {("src", "tm"): ("db", "tm")}, batch_id=1, query_id="plain", max_filter_ratio=1.0)
+    assert r["db.tm"]["filtered_rows"] == 1
+
+
 def test_feed_order_and_exact_numbers(spark, reg):
     spec = ts.TableSpec("db", "num", (ts.ColumnSpec("id", "BIGINT", False), ts.ColumnSpec("x", "DECIMAL(38,18)"), ts.ColumnSpec("n", "LARGEINT")), keys=("id",))
     reg.ensure_tables([spec])
@@ -249,6 +315,10 @@ def test_infer_specs_and_table_choice(spark):
         ts.infer_specs(columns, keys, "ods", include="use")  # the whole name must match
 
 
+def stream_id(checkpoint):
+    return json.loads((checkpoint / "metadata").read_text())["id"]
+
+
 def test_sync_database_stream(spark, tmp_path):
     reg = ts.Registry(spark, str(tmp_path / "reg2"))
     src = str(tmp_path / "feed")
@@ -261,4 +331,4 @@ def test_sync_database_stream(spark, tmp_path):
     run()
     assert read(reg) == [(2, 1.0, "z")]
     assert [tuple(r) for r in reg.read("db", "ods_b").collect()] == [(1, 5.0, "y")]
-    assert reg.table("db", "ods_kv").manifest()["ledger"] == {"sync": 1}
+    assert reg.table("db", "ods_kv").manifest()["ledger"] == {stream_id(tmp_path / "ck"): 1}
