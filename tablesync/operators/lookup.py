@@ -47,18 +47,23 @@ class CachedDimension:
     ``reader`` returns a new DataFrame, so every refresh sees the files of that moment.
     """
 
-    def __init__(self, reader: Callable[[], DataFrame], ttl_ms: int = 5000, clock: Callable[[], float] = time.monotonic):
-        self._reader, self._ttl, self._clock = reader, ttl_ms / 1000.0, clock
+    def __init__(
+        self, reader: Callable[[], DataFrame], ttl_ms: int = 5000, clock: Callable[[], float] = time.monotonic, max_bytes: int = BROADCAST_BYTES
+    ):
+        self._reader, self._ttl, self._clock, self._max_bytes = reader, ttl_ms / 1000.0, clock, max_bytes
         self._df: DataFrame | None = None
+        self._kept = False
         self._at = 0.0
         self.loads = 0
 
     def get(self) -> DataFrame:
         now = self._clock()
         if self._df is None or now - self._at >= self._ttl:
-            fresh = self._reader().persist()
-            if self._df is not None:
+            fresh = self._reader()
+            # a dimension beyond the bound is read by the batch's keys each time, never kept as a whole
+            kept = bool(is_small(fresh, self._max_bytes))
+            if self._kept:
                 self._df.unpersist()
-            self._df, self._at = fresh, now
+            self._df, self._at, self._kept = fresh.persist() if kept else fresh, now, kept
             self.loads += 1
         return self._df

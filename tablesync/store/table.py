@@ -199,7 +199,19 @@ class KeyedTable:
     def finished(self, query_id: str, batch_id: int) -> bool:
         return self.manifest()["ledger"].get(query_id, -1) >= batch_id
 
-    def load(
+    def load(self, df: DataFrame, seq: Iterable[str] | str = (), *args, retries: int = 2, **options) -> dict:
+        """:meth:`load_once`, done again on the newest version if another writer published first, ``retries`` times at most.
+
+        A load that changes columns (``evolve``) belongs to the version it was planned for and is not repeated.
+        """
+        for left in range(retries, -1, -1):
+            try:
+                return self.load_once(df, seq, *args, **options)
+            except ConcurrentCommit:
+                if not left or options.get("evolve"):
+                    raise
+
+    def load_once(
         self,
         df: DataFrame,
         seq: Iterable[str] | str = (),
@@ -313,7 +325,9 @@ class KeyedTable:
             elif touched:
                 current = self._read(m, set(touched)) if filled else None
                 merged = ch.merge(
-                    current, folded.drop(BUCKET), keys, spec.names, loaded, mode, merge_condition, strategy="split"
+                    current, folded.drop(BUCKET), keys, spec.names, loaded, mode, merge_condition,
+                    # a large fold is not broadcast: one join of whole rows beats three with parts of them
+                    strategy="outer" if mode != "full" and changed > SMALL_ROWS else "split",
                 )
                 commit, written = self._write(m, spec, merged, keys, changed > SMALL_ROWS, query_id, batch_id, parallelism)
         finally:

@@ -27,9 +27,13 @@ def stream_lookup_join(
     A static side of a stream is listed once and never sees later files, so the dimension is read inside the batch.
     ``write(joined, batch_id)`` runs again when a batch is replayed: it should replace what it wrote for that number.
     """
-    cache = CachedDimension(dim_reader, ttl_ms)
+    cache = CachedDimension(dim_reader, ttl_ms, max_bytes=max_broadcast_bytes)
 
     def on_batch(batch: DataFrame, batch_id: int, _: str) -> None:
-        write(lookup_join(batch, cache.get(), on, how, max_broadcast_bytes), batch_id)
+        batch.persist()  # the join looks at its keys before it joins
+        try:
+            write(lookup_join(batch, cache.get(), on, how, max_broadcast_bytes), batch_id)
+        finally:
+            batch.unpersist()
 
     return start_query(stream, on_batch, checkpoint, trigger)
