@@ -114,14 +114,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     h = hits(docs, benchmark, **options).where(F.size("spans") > 0)
-    h = h.select(F.col("doc_id").alias("_hit_id"), F.col("_key").alias("_hit_key"), F.col("spans").alias("_hit_spans"))
-    on = F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (text_key(F.col("text")) == F.col("_hit_key"))
+    h = h.select(F.col("doc_id").alias("__hit_id"), F.col("_key").alias("__hit_key"), F.col("spans").alias("__hit_spans"))
+    on = F.col("doc_id").eqNullSafe(F.col("__hit_id")) & (text_key(F.col("text")) == F.col("__hit_key"))
     if remove == "documents":
         return docs.join(h, on, "left_anti")
     # words with their case, each with what stands before it
     pieces = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(SEPARATED_WORD), F.lit(0))
-    d = docs.join(h, on, "left").select(*[f"`{c}`" for c in docs.columns], "_hit_spans", once(pieces).alias("_pieces"))
-    gone = F.flatten(F.transform("_hit_spans", lambda s: F.sequence(s.start, s.end - 1)))
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_pieces") - 1), gone), lambda i: F.get("_pieces", i))
-    text = F.when(F.col("_hit_spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), F.regexp_extract("text", AFTER_LAST_WORD, 0)))
+    d = docs.join(h, on, "left").select(*[f"`{c}`" for c in docs.columns], "__hit_spans", once(pieces).alias("__hit_pieces"))
+    gone = F.flatten(F.transform("__hit_spans", lambda s: F.sequence(s.start, s.end - 1)))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("__hit_pieces") - 1), gone), lambda i: F.get("__hit_pieces", i))
+    text = F.when(F.col("__hit_spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), F.regexp_extract("text", AFTER_LAST_WORD, 0)))
     return d.select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])

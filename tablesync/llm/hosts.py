@@ -101,5 +101,5 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
 
 def filter_urls(pages: DataFrame, **options) -> DataFrame:
     """The allowed rows of ``pages``, with their columns. Pages are told apart by url, so repeated page ids are no matter."""
-    v = judge_urls(pages.select(F.col("url").alias("page_id"), "url"), **options).where("verdict = 'allow'").select(F.col("page_id").alias("_u")).distinct()
-    return pages.join(v, F.col("url").eqNullSafe(F.col("_u")), "left_semi")
+    v = judge_urls(pages.select(F.col("url").alias("page_id"), "url"), **options).where("verdict = 'allow'").select(F.col("page_id").alias("__url")).distinct()
+    return pages.join(v, F.col("url").eqNullSafe(F.col("__url")), "left_semi")

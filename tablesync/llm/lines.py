@@ -48,13 +48,13 @@ def repeated_windows(docs: DataFrame, run: int = RUN) -> DataFrame:
 
 
 def _with_removed(docs: DataFrame, run: int) -> DataFrame:
-    """``docs`` with ``_lines`` and the numbers of the lines to delete in ``_gone`` (null: none)."""
-    starts = repeated_windows(docs, run).groupBy(*KEYS).agg(F.collect_list("start").alias("_starts"))
-    starts = starts.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "_starts")
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key(F.col("text")) == F.col("_k"))
-    gone = F.array_distinct(F.flatten(F.transform("_starts", lambda s: F.sequence(s, s + run - 1))))
-    joined = docs.join(starts, on, "left").withColumn("_gone", gone)
-    return joined.select(*[f"`{c}`" for c in docs.columns], "_gone", once(_lines(F.col("text"))).alias("_lines"))
+    """``docs`` with ``__line_list`` and the numbers of the lines to delete in ``__line_gone`` (null: none)."""
+    starts = repeated_windows(docs, run).groupBy(*KEYS).agg(F.collect_list("start").alias("__line_starts"))
+    starts = starts.select(F.col("doc_id").alias("__line_id"), F.col("_key").alias("__line_key"), "__line_starts")
+    on = F.col("doc_id").eqNullSafe(F.col("__line_id")) & (text_key(F.col("text")) == F.col("__line_key"))
+    gone = F.array_distinct(F.flatten(F.transform("__line_starts", lambda s: F.sequence(s, s + run - 1))))
+    joined = docs.join(starts, on, "left").withColumn("__line_gone", gone)
+    return joined.select(*[f"`{c}`" for c in docs.columns], "__line_gone", once(_lines(F.col("text"))).alias("__line_list"))
 
 
 def _kept(lines: Column, gone: Column) -> Column:
@@ -70,14 +70,14 @@ def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     text are one place, so repeated rows stay alike. Columns and their order stay.
     """
     d = _with_removed(docs, run)
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(_kept(F.col("_lines"), F.col("_gone")))
+    text = F.when(F.col("__line_gone").isNull(), F.col("text")).otherwise(_kept(F.col("__line_list"), F.col("__line_gone")))
     return d.select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def line_report(docs: DataFrame, run: int = RUN) -> DataFrame:
     """One row per document: ``doc_id, n_lines, n_removed, kept_sha256`` (of the text that stays; null counts as empty)."""
     d = _with_removed(docs.select("doc_id", "text"), run)
-    text = F.when(F.col("_gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(_kept(F.col("_lines"), F.col("_gone")))
-    n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("_lines")).cast("bigint")
-    return d.select("doc_id", n.alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_removed"),
+    text = F.when(F.col("__line_gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(_kept(F.col("__line_list"), F.col("__line_gone")))
+    n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("__line_list")).cast("bigint")
+    return d.select("doc_id", n.alias("n_lines"), F.coalesce(F.size("__line_gone"), F.lit(0)).cast("bigint").alias("n_removed"),
                     F.sha2(text, 256).alias("kept_sha256"))

@@ -205,6 +205,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that :func:`toxicity` predicts to be toxic; columns and their order stay."""
-    bad = toxicity(docs, labels, **options).where("predicted = 1").select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k")).distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key(F.col("text")) == F.col("_k"))
+    bad = toxicity(docs, labels, **options).where("predicted = 1").select(F.col("doc_id").alias("__bad_id"), F.col("_key").alias("__bad_key")).distinct()
+    on = F.col("doc_id").eqNullSafe(F.col("__bad_id")) & (text_key(F.col("text")) == F.col("__bad_key"))
     return docs.join(bad, on, "left_anti")

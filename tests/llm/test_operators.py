@@ -17,7 +17,7 @@ from tablesync.llm.queries import vocabulary
 from tablesync.llm.tokens import Encoder
 
 SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id bigint, text string, hash int, words string, start int, n int, `key` string, spans array<int>"
+SCHEMA = "doc_id bigint, text string, hash int, words string, start int, n int, `key` string, spans array<int>, _id string, _key string, _k int, text_2 string"
 rng = random.Random(5)
 VOCAB = [f"{a}{b}" for a in "ba ko mi ßu éa ro Ti".split() for b in "na lo re xu da".split()]
 
@@ -38,7 +38,7 @@ TEXTS = [
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame([(i, t, 1, "w", 2, 3, "k", [1]) for i, t in TEXTS], SCHEMA).repartition(3)
+    return spark.createDataFrame([(i, t, 1, "w", 2, 3, "k", [1], "i", "y", 4, "t") for i, t in TEXTS], SCHEMA).repartition(3)
 
 
 @pytest.fixture(scope="module")
@@ -263,7 +263,7 @@ def test_token_files(spark, docs, none, tmp_path, shard_bytes):
         assert r.ids in whole[r.doc_id] and r.start == at and r.n_tokens == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, dtype="<u4").tobytes())
         at += r.n_tokens
     some = token_files.read_token_files(spark, path, doc_ids=[6, 12, 999], with_ids=True)
-    assert bag(r.doc_id for r in some.collect()) == [] or sorted(r.doc_id for r in some.collect()) == [6, 12, 12, 12]
+    assert sorted(r.doc_id for r in some.collect()) == [6, 12, 12, 12]
     (tmp_path / "a" / "dictionary").write_bytes(b"other")
     with pytest.raises(Exception, match="dictionary"):
         token_files.read_token_files(spark, path).collect()
@@ -293,7 +293,7 @@ def test_toxicity_learns_nothing_from_held_out_labels(spark):
 
 def test_toxicity_cases(spark, docs, none):
     labels = spark.createDataFrame([(1, 1), (1, None), (None, 1), (6, 0), (7, 5), (999, 1)], "doc_id bigint, toxic int")
-    assert bag(r.doc_id for r in toxicity.toxicity(docs, labels).collect()) == bag(()) or toxicity.toxicity(docs, labels).count() == len(TEXTS)
+    assert toxicity.toxicity(docs, labels).where("score BETWEEN 0 AND 1").count() == len(TEXTS)
     assert toxicity.toxicity(docs, labels.limit(0)).where("score BETWEEN 0 AND 1").count() == len(TEXTS)
     assert toxicity.toxicity(none, labels).count() == 0
     rude = spark.createDataFrame([(1, "you stupid idiot, pathetic loser"), (2, "a fine day")], "doc_id bigint, text string")
@@ -352,15 +352,15 @@ def groups_by_hand(rows):
     for k, (i, _) in enumerate(rows):
         if i is not None:
             least[top(k)] = min(least.get(top(k), i), i)
-    return [(i, f, least.get(top(k))) for k, (i, f) in enumerate(rows)]
+    return [(i, f, least.get(top(k))) for k, (i, f) in enumerate(rows)], len({top(k) for k in parent})
 
 
 def test_simhash(docs, none):
-    want = groups_by_hand([(i, fingerprint_by_hand(t)) for i, t in TEXTS])
+    want, groups = groups_by_hand([(i, fingerprint_by_hand(t)) for i, t in TEXTS])
     got = simhash.near_duplicates(docs).collect()
     assert bag((r.doc_id, r.fp % (1 << 64), r.component_id) for r in got) == bag(want)
     kept = simhash.drop_near_duplicates(docs)
-    assert kept.columns == docs.columns and kept.count() == len({c for _, _, c in want})
+    assert kept.columns == docs.columns and kept.count() == groups  # the two texts of id 12 are two groups
     assert {r.doc_id for r in kept.collect()} == {c for _, _, c in want}
     assert simhash.near_duplicates(none).count() == 0 and simhash.drop_near_duplicates(none).count() == 0
 
@@ -378,11 +378,11 @@ def test_links_of_close_fingerprints(spark, max_pairs):
     stage = Stage(spark, "test")
     found = components(simhash.links(d, stage, max_pairs), stage).collect()
     root = {x.node % (1 << 64): x.root for x in found}
-    want = groups_by_hand(rows)
+    want, groups = groups_by_hand(rows)
     got = {}
     for _, f, c in want:
         got.setdefault(root.get(f, f), set()).add(c)
-    assert all(len(c) == 1 for c in got.values()) and len(got) == len({c for _, _, c in want})
+    assert all(len(c) == 1 for c in got.values()) and len(got) == groups
 
 
 def test_components_of_a_path_and_a_star(spark):
