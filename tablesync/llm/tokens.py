@@ -7,8 +7,8 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words kept by a worker; about 150 bytes each. A full cache starts anew.
-CACHE_WORDS = 500_000
+#: Words kept by a worker; about 200 bytes each. A full cache starts anew.
+CACHE_WORDS = 700_000
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -19,52 +19,85 @@ def encoder(path: str) -> "Encoder":
     return _encoders[path]
 
 
+class _Words(dict):
+    """Ids of words after ``lead`` (nothing or a space) as bytes, found when first asked for."""
+
+    def __init__(self, encode, lead: str):
+        super().__init__()
+        self._encode, self._lead = encode, lead
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        m = _MARKED.fullmatch(word)
+        ids = self[m[1]] + self._encode(m[2]) if m else self._encode(self._lead + word)
+        self[word] = ids
+        return ids
+
+
+# letters of these blocks are letters for every pre-tokenizer; marks: ASCII but for the apostrophe
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_PLAIN = re.compile(f" ?[{_LETTERS}]+")
+_MARKED = re.compile(f"([{_LETTERS}]+)([!-&(-/:-@\\[-`{{-~]+)")
+
+
+def _alphabet() -> dict[int, str]:
+    """Byte-level tokenizers write bytes as characters: visible ones as themselves, the others from 256 on in their order."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return dict(zip((b for b in range(256) if b not in visible), map(chr, range(256, 512))))
+
+
 class Encoder:
     """Ids of whole texts, equal to those of ``Tokenizer.encode(text, add_special_tokens=False)``.
 
     The byte-level pre-tokenizer never joins a visible character with a space or newline after it, so a text may be cut before
-    a single space and around a single newline that stand between visible characters; each word is encoded by the library once
-    and kept. Texts with other white space (runs of it, or at an end) are cut at the places where this holds. Only for
-    tokenizers of this kind; others need ``words=False``, which passes texts through whole.
+    a single space and around a single newline that stand between visible characters. Each word is encoded by the library
+    once and kept: plain words by its model directly, marks behind a word by themselves, all else by the whole tokenizer. Texts
+    with other white space (runs of it, or at an end) are cut at the places where this holds. Only for byte-level BPE;
+    others need ``words=False``, which passes texts through whole.
     """
 
     def __init__(self, path: str, words: bool = True):
         self._t = Tokenizer.from_file(path)
         self._t.encode_special_tokens = True
-        self._words, self._cache = words, {}
+        self._words, self._map, self._marks = words, _alphabet(), {}
+        self._first, self._next = _Words(self._piece, ""), _Words(self._piece, " ")
 
     def size(self) -> int:
         return self._t.get_vocab_size()
 
+    def _piece(self, piece: str) -> bytes:
+        if _PLAIN.fullmatch(piece):
+            ids = [t.id for t in self._t.model.tokenize(piece.encode().decode("latin-1").translate(self._map))]
+        elif piece in self._marks:
+            return self._marks[piece]
+        else:
+            ids = self._t.encode(piece, add_special_tokens=False).ids
+        out = np.array(ids, dtype="<u4").tobytes()
+        if len(piece) <= 2:
+            self._marks[piece] = out
+        return out
+
     _cut = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 
-    def _parts(self, text: str) -> list[str]:
-        lines = text.split("\n")
-        out: list[str] = []
-        for i, line in enumerate(lines):
+    def _bytes(self, text: str) -> bytes:
+        out: list[bytes] = []
+        first, following = self._first.__getitem__, self._next.__getitem__
+        for i, line in enumerate(text.split("\n")):
             words = line.split(" ")
-            if any(not w or w[0].isspace() or w[-1].isspace() for w in words):
-                return self._cut.split(text)
+            if words != line.split():  # no word, or white space that is more than one space between words
+                return b"".join(map(first, self._cut.split(text)))
             if i:
-                out.append("\n")
-            out.append(words[0])
-            out.extend([" " + w for w in words[1:]])
-        return out
+                out.append(self._newline())
+            out.append(first(words[0]))
+            out.extend(map(following, words[1:]))
+        return b"".join(out)
+
+    def _newline(self) -> bytes:
+        return self._marks.get("\n") or self._piece("\n")
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Unsigned 32-bit ids of each text."""
         if not self._words:
             return [np.array(e.ids, dtype="<u4") for e in self._t.encode_batch(texts, add_special_tokens=False)]
-        out = []
-        for text in texts:
-            parts = self._parts(text) if text else []
-            cache = self._cache
-            new = [w for w in set(parts) if w not in cache]
-            if new:
-                if len(cache) + len(new) > CACHE_WORDS:
-                    cache.clear()
-                    new = list(set(parts))
-                for w, e in zip(new, self._t.encode_batch(new, add_special_tokens=False)):
-                    cache[w] = np.array(e.ids, dtype="<u4").tobytes()
-            out.append(np.frombuffer(b"".join(map(cache.__getitem__, parts)), dtype="<u4"))
-        return out
+        return [np.frombuffer(self._bytes(t) if t else b"", dtype="<u4") for t in texts]
