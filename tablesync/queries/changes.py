@@ -162,7 +162,15 @@ FROM ld l JOIN (
   FROM ch JOIN ld ON ch.user_id = ld.user_id AND ch.n > ld.last_del GROUP BY ch.user_id) v ON v.user_id = l.user_id
 """
 
+def hll_close(spark, d):
+    """Whether each estimate is within 5 % of the exact count."""
+    exact = table(spark, d, "events").groupBy("event_type").agg(F.count_distinct("event_id").alias("exact"))
+    near = F.abs(C("ndv") - C("exact")) <= F.greatest(F.lit(2.0), C("exact") * 0.05)
+    return hll_uv(spark, d).join(exact, "event_type").select("event_type", near.alias("close"))
+
+
 QUERIES = {
+    "hll_close": (hll_close, "SELECT DISTINCT event_type, true AS close FROM events"),
     "upsert_delete": (upsert_delete, "SELECT user_id, event_type, value, props, last_ts FROM (SELECT user_id, event_type, value, props, ts AS last_ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error'"),
     "upsert_delete_target": (upsert_delete_target, _ORDERS_CTE + """
         SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT k FROM ld)
