@@ -94,7 +94,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
         from pyspark import TaskContext
 
         name, enc = f"shard-{TaskContext.get().partitionId():06d}", encoder(vocabulary)
-        pack = zstd.ZstdCompressor(level=LEVEL, dict_data=_dictionary(_read(f"{path}/dictionary")), write_content_size=True)
+        shared = _dictionary(_read(f"{path}/dictionary"))
+        if shared:
+            shared.precompute_compress(level=LEVEL)  # else each frame digests it anew
+        pack = zstd.ZstdCompressor(level=LEVEL, dict_data=shared, write_content_size=True)
         end, index, frames, at, start = np.array([end_id], dtype="<u4"), [], [], 0, 0
         for b in batches:
             for doc_id, null, ids in zip(b["doc_id"], b["null"], enc.ids(list(b["text"]))):
@@ -105,7 +108,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
         if index:
             footer = struct.pack(FOOTER, at, len(index), id_bytes, digest, MARK)
             _publish(f"{path}/{name}", b"".join(frames) + np.array(index, dtype=INDEX).tobytes() + footer)
-            yield pd.DataFrame({"name": [name], "docs": [len(index)], "tokens": [start], "first": [int(index[0][0])], "last": [int(index[-1][0])]})
+            known = [int(i[0]) for i in index if not i[1]]
+            yield pd.DataFrame({"name": [name], "docs": [len(index)], "tokens": [start], "first": [min(known, default=0)], "last": [max(known, default=-1)]})
 
     spread = d.select("doc_id", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("at"))
     dealt = spread.repartitionByRange(int(shards), F.col("doc_id").asc_nulls_first(), "h", "at").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "h", "at")

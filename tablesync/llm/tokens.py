@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept by a worker; about 200 bytes each. A full cache starts anew.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 1_500_000
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -73,7 +74,7 @@ class Encoder:
             return self._marks[piece]
         else:
             ids = self._t.encode(piece, add_special_tokens=False).ids
-        out = np.array(ids, dtype="<u4").tobytes()
+        out = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 2:
             self._marks[piece] = out
         return out
@@ -85,7 +86,8 @@ class Encoder:
         first, following = self._first.__getitem__, self._next.__getitem__
         for i, line in enumerate(text.split("\n")):
             words = line.split(" ")
-            if words != line.split():  # no word, or white space that is more than one space between words
+            # only words with one space between them; others have white space that belongs to a token
+            if not line or not line.isprintable() or "  " in line or line[0] == " " or line[-1] == " ":
                 return b"".join(map(first, self._cut.split(text)))
             if i:
                 out.append(self._newline())
