@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tablesync.llm import decontaminate, hosts, lines, packing, pii, simhash, substrings, token_files, toxicity, vectors
+from tablesync.llm import decontaminate, hosts, lines, packing, pii, similar, simhash, substrings, token_files, toxicity, vectors
 from tablesync.llm.components import components
 from tablesync.llm.common import Stage
 from tablesync.llm.queries import vocabulary
@@ -438,6 +438,46 @@ def test_vectors(spark):
     assert vectors.near_duplicates(d.limit(0)).count() == 0
 
 
+# similar documents
+
+
+def similar_by_hand(texts):
+    """Numbers of the kept texts and the similar pairs, by brute force over sets of five-word shingles."""
+    def of(t):
+        w = low(t).split()
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets, top, near = [of(t) for t in texts], list(range(len(texts))), 0
+    for a, x in enumerate(sets):
+        for b in range(a):
+            both = len(x & sets[b])
+            if 5 * both >= 4 * (len(x) + len(sets[b]) - both):
+                near += 1
+                p, q = sorted((top[a], top[b]))
+                top = [p if r == q else r for r in top]
+    return {k for k, r in enumerate(top) if k == r}, near
+
+
+def edited(text, n, seed):
+    r, w = random.Random(seed), text.split(" ")
+    for _ in range(n):
+        w[r.randrange(len(w))] = r.choice(VOCAB)
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("max_pairs", [3, 256])
+def test_similar_documents(spark, none, max_pairs):
+    import corpus_pipeline
+
+    texts = [prose(120, 300 + k) + " " + PASSAGE for k in range(20)] + [edited(prose(150, 400 + k % 12), k // 12, 500 + k) for k in range(72)]
+    texts += [prose(3, 600), prose(3, 600), prose(4, 600), "", None, " \n", PASSAGE, PASSAGE.upper(), PASSAGE + " na"]
+    want, near = similar_by_hand(texts)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    assert near > 60 and {r.doc_id for r in similar.drop_similar(d, max_pairs=max_pairs).collect()} == want
+    assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, d, SF).collect()} == want
+    assert similar.drop_similar(none).count() == 0
+
+
 # pipeline
 
 
