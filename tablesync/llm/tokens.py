@@ -54,13 +54,13 @@ class Encoder:
     The byte-level pre-tokenizer never joins a visible character with a space or newline after it, so a text may be cut before
     a single space and around a single newline that stand between visible characters. Each word is encoded by the library
     once and kept: plain words by its model directly, marks behind a word by themselves, all else by the whole tokenizer. Texts
-    with other white space (runs of it, or at an end) are cut at the places where this holds. Only for byte-level BPE;
-    others need ``words=False``, which passes texts through whole.
+    with other white space (runs of it, or at an end) are cut at the places where this holds. Texts that hold an added token
+    (``<|endoftext|>``) are never cut. Only for byte-level BPE; others need ``words=False``, which passes texts through whole.
     """
 
     def __init__(self, path: str, words: bool = True):
         self._t = Tokenizer.from_file(path)
-        self._t.encode_special_tokens = True
+        self._added = [t.content for t in self._t.get_added_tokens_decoder().values()]
         self._words, self._map, self._marks = words, _alphabet(), {}
         self._first, self._next = _Words(self._piece, ""), _Words(self._piece, " ")
 
@@ -102,4 +102,7 @@ class Encoder:
         """Unsigned 32-bit ids of each text."""
         if not self._words:
             return [np.array(e.ids, dtype="<u4") for e in self._t.encode_batch(texts, add_special_tokens=False)]
-        return [np.frombuffer(self._bytes(t) if t else b"", dtype="<u4") for t in texts]
+        return [np.array(self._t.encode(t, add_special_tokens=False).ids, dtype="<u4") if self._holds_added(t) else np.frombuffer(self._bytes(t) if t else b"", dtype="<u4") for t in texts]
+
+    def _holds_added(self, text: str | None) -> bool:
+        return bool(text) and any(a in text for a in self._added)

@@ -121,6 +121,15 @@ def test_encoder_equals_library():
         assert a.tolist() == b.tolist()
 
 
+def test_encoder_equals_a_bare_tokenizer():
+    from tokenizers import Tokenizer
+
+    bare = Tokenizer.from_file(vocabulary())
+    for t in ["a <|endoftext|> b", "<|endoftext|>", "x\n<|endoftext|>y  <|endoftext|> z\n", "<|endoftext |>", "plain words", "", prose(50, 3)]:
+        want = bare.encode(t, add_special_tokens=False).ids
+        assert [Encoder(vocabulary(), words=w).ids([t])[0].tolist() for w in (True, False)] == [want, want]
+
+
 @pytest.mark.parametrize("group", [40_000, 5])
 def test_pack(docs, none, group):
     rows = packing.pack(docs, vocabulary(), capacity=256, group=group, with_ids=True).collect()
