@@ -334,6 +334,18 @@ def test_lines(docs, none, run):
     assert d.where("doc_id = 3").first().text is None
 
 
+def test_long_lines_in_short_runs(spark):
+    import corpus_pipeline
+
+    one, a, b, short = prose(50, 700), prose(30, 701), prose(20, 702), prose(49, 703)
+    texts = [one, f"x\n{one}", one, f"{a}\n{b}", f"y\n{a}\n{b}\nz", f"{short}\nu", f"{short}\nv", f"{a}\nw\n{b}", "p\nq\nr", "s\np\nq\nr"]
+    want = [one, "x", "", f"{a}\n{b}", "y\nz", f"{short}\nu", f"{short}\nv", f"{a}\nw\n{b}", "p\nq\nr", "s"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    for out in (lines.dedup_lines(d), dict(corpus_pipeline.STAGES)["line_dedup"](spark, d, SF)):
+        assert [r.text for r in out.orderBy("doc_id").collect()] == want
+    assert sum(r.n_removed for r in lines.line_report(d).collect()) == 3
+
+
 # simhash
 
 
