@@ -256,6 +256,17 @@ def test_revealing_terms(spark):
     assert clean[0] == "Call   at [EMAIL] today or never, file 0" and clean[100] == rows[100][1]
 
 
+def test_rare_entities_and_all_places_of_a_term(spark):
+    rows = [(0, "Ada Quill wrote: a.q@corp.example is her address. The next day, much later in the same text, QUILL came back")]
+    rows += [(1, "mail Orm at o@corp.example, today"), (2, "then a word or two more of Orm stands far away from all, o@corp.example"), (3, "Quill without an address")]
+    rows += [(i, f"plain text of today number {i} came back, wrote it") for i in range(4, 400)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: [x for x in r.spans.split(",") if x.startswith("term")] for r in pii.personal_data(d).collect()}
+    places = lambda i, *words: [f"term:{m.start()}:{m.end()}" for m in re.finditer(r"[A-Za-z]+", rows[i][1]) if m[0].lower() in words]
+    assert got[0] == places(0, "ada", "quill", "address", "her") and len(places(0, "quill")) == 2
+    assert got[1] == places(1, "mail", "orm") and got[2] == places(2, "orm", "from", "all", "away") and not got[3] and not got[9]
+
+
 # token files
 
 
