@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import work_dir
-from . import decontaminate, hosts, lines, packing, pii, simhash, substrings, token_files, toxicity, vectors
+from . import alignment, decontaminate, hosts, lines, packing, pieces, pii, simhash, spelling, substrings, token_files, toxicity, vectors
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +65,25 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_read(spark, sf_dir, "embeddings"))
 
 
+def piece_vocabulary() -> str:
+    """SentencePiece model of the queries; the operators take any BPE model with byte fallback."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.report(_read(spark, sf_dir, "documents"), piece_vocabulary())
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_read(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(_read(spark, sf_dir, "documents"), vocabulary(), piece_vocabulary())
+
+
 OP1_SQL = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
@@ -147,4 +166,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
     "op9_url_filter": (op9_url_filter, OP9_SQL),
     "op10_embedding_near_dedup": (op10_embedding_near_dedup, OP10_SQL),
+    "op11_sentencepiece": (op11_sentencepiece, None),
+    "op12_spelling_variants": (op12_spelling_variants, None),
+    "op13_token_alignment": (op13_token_alignment, None),
 }
