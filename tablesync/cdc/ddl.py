@@ -9,15 +9,19 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from ..spec import ColumnSpec
 from ..types import STRING_SIZE, source_type, spark_type, split_type
 
+# fixed values: quoted texts and names, what stands between the commas of a list (parentheses may be nested twice), comments
+_QUOTED = r"""'(?:[^'\\]|\\.|'')*+'|"(?:[^"\\]|\\.|"")*+"|`[^`]*+`"""
+_INSIDE = rf"\((?:{_QUOTED}|[^()'\"`]|\((?:{_QUOTED}|[^()'\"`]|\((?:{_QUOTED}|[^()'\"`])*+\))*+\))*+\)"
+ITEM = rf"(?s)(?:{_QUOTED}|{_INSIDE}|[^,'\"`(])++"
+_TOKEN = rf"(?s){_QUOTED}|/\*.*?\*/|--[^\n]*|#[^\n]*|[^'\"`/#-]++|."
+_COMMENT = r"(?s)\A(?:/\*.*|--.*|#.*)"
 _NAME = r"(?:`[^`]+`|\"[^\"]+\"|[^\s`\",.;()]+)"
 # fixed values: the statement (name, then its clauses), one clause (action, column, type), a list of columns in parentheses, and
 # words after ADD/DROP that name no column
 STATEMENT = rf"(?is)\A\s*ALTER\s+TABLE\s+(?:IF\s+EXISTS\s+)?{_NAME}(?:\s*\.\s*{_NAME})*\s+(.*?)\s*;?\s*\z"
-CLAUSE = rf"(?is)\A\s*(ADD|DROP)\s+(?:COLUMN\s+)?(?:IF\s+(?:NOT\s+)?EXISTS\s+)?({_NAME})(?:\s+([A-Za-z]+(?:\s*\([^)]*\))?(?:\s+UNSIGNED)?))?"
-LISTED = r"(?is)\AADD\s+(?:COLUMN\s+)?\((.*)\)\z"
+CLAUSE = rf"(?is)\A\s*(ADD|DROP)\s+(?:COLUMN\s+)?(?:IF\s+(?:NOT\s+)?EXISTS\s+)?({_NAME})(?:\s+([A-Za-z]+(?:\s*\((?:'[^']*'|[^')])*\))?(?:\s+UNSIGNED)?))?"
+LISTED = r"(?is)\A\s*ADD\s+(?:COLUMN\s+)?\((.*)\)\s*\z"
 NOT_COLUMNS = ("INDEX", "KEY", "CONSTRAINT", "PRIMARY", "UNIQUE", "FOREIGN", "PARTITION", "FULLTEXT", "SPATIAL", "CHECK")
-_COMMENTS = r"(?s)/\*.*?\*/|--[^\n]*"
-_COMMA = r",(?![^(]*\))"  # not inside parentheses
 
 
 def parse_ddl(events: DataFrame, enabled: bool = True, table: str | None = None) -> DataFrame:
@@ -34,13 +38,17 @@ def parse_ddl(events: DataFrame, enabled: bool = True, table: str | None = None)
 def ddl_to_actions(ddl: DataFrame, col: str = "ddl", pattern: str = STATEMENT, clause: str = CLAUSE) -> DataFrame:
     """Statements to column actions ``action`` (add/drop), ``column``, ``type`` (null for a drop), one row per clause.
 
-    ``clause_no`` numbers the clauses of a statement. Comments are left out; names may be quoted and hold blanks; ADD may list
+    ``clause_no`` numbers the clauses of a statement. Comments are left out, but not from quoted texts (of DEFAULT, COMMENT), whose
+    commas and parentheses separate nothing either; names may be quoted and hold blanks; ADD may list
     columns in parentheses; FIRST and AFTER change nothing. Clauses of another kind give no row. Patterns of one's own need the
     same groups.
     """
-    body = F.regexp_extract(F.regexp_replace(F.col(col), _COMMENTS, " "), pattern, 1)
-    listed = F.regexp_extract(body, LISTED, 1)
-    parts = F.when(listed != "", F.transform(F.split(listed, _COMMA), lambda x: F.concat(F.lit("ADD "), F.ltrim(x)))).otherwise(F.split(body, _COMMA))
+    tokens = F.regexp_extract_all(F.col(col), F.lit(_TOKEN), F.lit(0))
+    body = F.regexp_extract(F.array_join(F.transform(tokens, lambda t: F.when(t.rlike(_COMMENT), " ").otherwise(t)), ""), pattern, 1)
+    items = lambda text: F.regexp_extract_all(text, F.lit(ITEM), F.lit(0))
+    listed = lambda text: F.regexp_extract(text, LISTED, 1)
+    added = lambda text: F.transform(items(listed(text)), lambda x: F.concat(F.lit("ADD "), F.ltrim(x)))
+    parts = F.flatten(F.transform(items(body), lambda c: F.when(listed(c) != "", added(c)).otherwise(F.array(c))))
     rows = ddl.select("*", F.posexplode(parts).alias("clause_no", "_clause"))
     part = lambda i: F.regexp_extract("_clause", clause, i)
     action, name = F.lower(part(1)), F.regexp_replace(part(2), "[`\"]", "")

@@ -64,6 +64,7 @@ def ddl_statements(spark, d):
         .when(C("p_type") == "ECONOMY", F.concat(name, F.lit(" drop c"), "p_size"))
         .when(C("p_size") > 30, F.concat(name, F.lit(" ADD INDEX i"), "p_size", F.lit(" (c1)")))
         .when(C("p_size") > 20, F.concat(name, F.lit(" RENAME TO x")))
+        .when(C("p_size") > 15, F.concat(name, F.lit(" ADD COLUMN a VARCHAR(5) DEFAULT '--' COMMENT 'x, add c int', ADD COLUMN `b,"), "p_size", F.lit("` INT DEFAULT (f(1, 2)) -- the last, add d int\n")))
         .when(C("p_size") > 10, F.concat(name, F.lit(" /* a, b */ ADD COLUMN (`n "), "p_size", F.lit("` INT UNSIGNED, e ENUM('x','y'))")))
         .otherwise(F.concat(name, F.lit(" add c"), "p_size", F.lit(" DECIMAL(10,2), ADD COLUMN more INT FIRST, DROP old, RENAME COLUMN a TO b")))
     )
@@ -181,10 +182,12 @@ QUERIES = {
     "debezium_apply": (debezium_apply, f"SELECT o_orderkey, o_custkey, {_P} AS o_totalprice, {_FINAL} AS o_orderpriority FROM orders WHERE o_orderstatus <> 'P'"),
     "ddl_actions": (ddl_actions, """
         WITH p AS (SELECT 't' || p_partkey AS src_table, p_size AS s, p_type AS t FROM part),
-        few AS (SELECT src_table, s FROM p WHERE t NOT IN ('SMALL', 'ECONOMY') AND s <= 10), listed AS (SELECT src_table, s FROM p WHERE t NOT IN ('SMALL', 'ECONOMY') AND s BETWEEN 11 AND 20)
+        few AS (SELECT src_table, s FROM p WHERE t NOT IN ('SMALL', 'ECONOMY') AND s <= 10), listed AS (SELECT src_table, s FROM p WHERE t NOT IN ('SMALL', 'ECONOMY') AND s BETWEEN 11 AND 15),
+        quoted AS (SELECT src_table, s FROM p WHERE t NOT IN ('SMALL', 'ECONOMY') AND s BETWEEN 16 AND 20)
         SELECT src_table, 0 AS clause_no, 'add' AS action, 'c' || s AS "column", 'varchar(' || least(s * 3, 65533) || ')' AS type FROM p WHERE t = 'SMALL'
         UNION ALL SELECT src_table, 0, 'drop', 'c' || s, NULL FROM p WHERE t = 'ECONOMY'
         UNION ALL SELECT src_table, 0, 'add', 'c' || s, 'DECIMAL(10,2)' FROM few UNION ALL SELECT src_table, 1, 'add', 'more', 'INT' FROM few UNION ALL SELECT src_table, 2, 'drop', 'old', NULL FROM few
+        UNION ALL SELECT src_table, 0, 'add', 'a', 'varchar(15)' FROM quoted UNION ALL SELECT src_table, 1, 'add', 'b,' || s, 'INT' FROM quoted
         UNION ALL SELECT src_table, 0, 'add', 'n ' || s, 'INT UNSIGNED' FROM listed UNION ALL SELECT src_table, 1, 'add', 'e', 'ENUM(''x'',''y'')' FROM listed"""),
     "sync_temporals": (sync_temporals, """
         SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, date_trunc('day', o_orderdate) + to_milliseconds(o_orderkey) AS at, date_trunc('day', o_orderdate) + to_microseconds(o_orderkey) AS fine,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from .. import operators as op, streaming
@@ -220,10 +222,19 @@ def registry_evolve(spark, d):
 
 
 def registry_select(spark, d):
+    """Selections through the registry; key conditions whose literal has another type than the key find the rows that a scan finds."""
     registry = Registry(spark, work_dir(spark, "registry"), source_options={"scan.columns": "n_name, n_nationkey"})
+    nation = table(spark, d, "nation").withColumn("_seq", F.lit(0))
     registry.ensure_tables([TableSpec.from_schema("db", "nation", table(spark, d, "nation").schema, ["n_nationkey"], buckets=2)])
-    registry.apply("db", "nation", table(spark, d, "nation").withColumn("_seq", F.lit(0)), seq="_seq")
-    return registry.read("db", "nation", where="n_regionkey >= 2")
+    registry.apply("db", "nation", nation, seq="_seq")
+    # numbers as text, with and without leading zeros
+    text = table(spark, d, "part").select(F.concat(F.repeat(F.lit("0"), C("p_size") % 3), C("p_partkey").cast("string")).alias("code"), "p_name", F.lit(0).alias("_seq"))
+    registry.ensure_tables([TableSpec("db", "code", (ColumnSpec("code", "STRING", False), ColumnSpec("p_name", "STRING")), keys=("code",), buckets=8)])
+    registry.apply("db", "code", text, seq="_seq")
+    found = [registry.read("db", "nation", where="n_regionkey >= 2").select("n_name", "n_nationkey"), registry.read("db", "nation", where="n_nationkey IN ('3', '5')").select("n_name", "n_nationkey")]
+    for where in ("code = 7", "code IN (8, 9)", "code = '10'", "code IN ('011', '0012')"):
+        found.append(registry.read("db", "code", columns=["p_name", "code"], where=where).select("p_name", C("code").cast("int")))
+    return reduce(lambda a, b: a.union(b), found)
 
 
 def aggregate_table(spark, d):
@@ -263,6 +274,9 @@ QUERIES = {
     "stream_lookup": (stream_lookup, "SELECT o_custkey AS c_custkey, o_orderkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey"),
     "stream_route": (stream_route, "SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS INTEGER) AS size FROM supplier UNION ALL SELECT p_partkey, p_name, p_size FROM part WHERE p_size <> 13"),
     "registry_evolve": (registry_evolve, "SELECT p_partkey, p_name, CASE WHEN p_size > 25 THEN p_size + 100 ELSE 7 END AS grade FROM part"),
-    "registry_select": (registry_select, "SELECT n_name, n_nationkey FROM nation WHERE n_regionkey >= 2"),
+    "registry_select": (registry_select, """
+        WITH code AS (SELECT repeat('0', p_size % 3) || p_partkey AS code, p_name, p_partkey AS k FROM part)
+        SELECT n_name, n_nationkey FROM nation WHERE n_regionkey >= 2 UNION ALL SELECT n_name, n_nationkey FROM nation WHERE n_nationkey IN (3, 5)
+        UNION ALL SELECT p_name, k FROM code WHERE k IN (7, 8, 9) OR code IN ('10', '011', '0012')"""),
     "aggregate_table": (aggregate_table, "SELECT event_type, count(DISTINCT user_id) AS ndv FROM events GROUP BY event_type"),
 }

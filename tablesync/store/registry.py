@@ -22,11 +22,15 @@ _VALUE = re.compile(r"\s*(-?\d+|'[^']*')\s*(?:,|$)")
 def wanted_keys(spec: TableSpec, conditions: Iterable) -> dict[str, list] | None:
     """Values of all key columns if text conditions joined by AND fix them (``k = 7``, ``k IN ('a', 'b')``), else None.
 
-    Only numbers without a fraction and plain texts are understood; other conditions are left to the scan.
+    Literals must have the key's own type: whole numbers for an integer key, quoted text for a text key. Others, which a comparison
+    would convert (``k = 7`` finds the texts '7' and '07'), and other conditions are left to the scan.
     """
     found: dict[str, list] = {}
     if not spec.has_primary_key:
         return None
+    integer = {k: isinstance(spec.column(k).spark, T.IntegralType) for k in spec.keys}
+    if not all(integer[k] or isinstance(spec.column(k).spark, T.StringType) and split_type(spec.column(k).type)[0] != "LARGEINT" for k in spec.keys):
+        return None
     for text in (c for c in conditions if isinstance(c, str)):
         if re.search(r"(?i)\b(or|not|case|between)\b", text):
             continue
@@ -35,7 +39,8 @@ def wanted_keys(spec: TableSpec, conditions: Iterable) -> dict[str, list] | None
             key = next((k for k in spec.keys if m and k.lower() == m[1].lower()), None)
             if key and key not in found:
                 values = [m["one"]] if m["one"] else [v[1] for v in _VALUE.finditer(m["some"])]
-                if values and (m["one"] or "".join(values) == re.sub(r"[\s,]", "", m["some"])):
+                of_key_type = all((v[0] != "'") == integer[key] and (v[0] == "'" or abs(int(v)) < 1 << 63) for v in values)
+                if values and of_key_type and (m["one"] or "".join(values) == re.sub(r"[\s,]", "", m["some"])):
                     found[key] = [v[1:-1] if v[0] == "'" else int(v) for v in values]
     return found if set(found) == set(spec.keys) else None
 

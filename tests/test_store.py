@@ -296,3 +296,14 @@ def test_spec_round_trip():
     m = {"version": 0, "spec": s.to_dict(), "physical": {c.name: c.name for c in KV}, "used": ["k", "a", "b"], "born": {}, "live": {}, "ledger": {}}
     out = evolve_manifest(m, [ts.ColumnSpec("a", "STRING")], ["a"])
     assert out["physical"]["a"] == "a__1" and out["born"] == {"a": 1}
+
+
+def test_key_conditions_of_other_types_scan(spark, reg):
+    t = make(reg, "text_key", (ts.ColumnSpec("k", "STRING", False), ts.ColumnSpec("a", "INT")), buckets=8)
+    t.load(spark.createDataFrame([("7", 1, 0), ("07", 2, 0), (" 7", 3, 0), ("8", 4, 0)], "k string, a int, _seq int"), "_seq")
+    for where in ("k = 7", "k IN (7, 8)", "k = '7'", "k IN ('07', '8')", "k = '7' AND a = 1", "k IN (7, '8')"):
+        assert sorted(reg.read("db", "text_key", where=where).collect()) == sorted(t.read().where(where).collect()), where
+    n = make(reg, "number_key", (ts.ColumnSpec("k", "TINYINT", False), ts.ColumnSpec("a", "INT")), buckets=8)
+    n.load(spark.createDataFrame([(7, 1, 0), (8, 2, 0)], "k int, a int, _seq int"), "_seq")
+    for where in ("k = 7", "k = '7'", "k = ' 7'", "k IN (7, 300)", "k = 99999999999999999999"):
+        assert sorted(reg.read("db", "number_key", where=where).collect()) == sorted(n.read().where(where).collect()), where

@@ -332,3 +332,15 @@ def test_sync_database_stream(spark, tmp_path):
     assert read(reg) == [(2, 1.0, "z")]
     assert [tuple(r) for r in reg.read("db", "ods_b").collect()] == [(1, 5.0, "y")]
     assert reg.table("db", "ods_kv").manifest()["ledger"] == {stream_id(tmp_path / "ck"): 1}
+
+
+@pytest.mark.parametrize("text,want", [
+    ("ALTER TABLE t ADD COLUMN a VARCHAR(5) DEFAULT '--', ADD COLUMN b INT", [("add", "a", "varchar(15)"), ("add", "b", "INT")]),
+    ("ALTER TABLE t ADD COLUMN a INT COMMENT 'x, add c int'", [("add", "a", "INT")]),
+    ("ALTER TABLE t ADD a INT DEFAULT (f(1, (2))), DROP b /* c, d */, ADD `x, y` ENUM('a)', 'b,')", [("add", "a", "INT"), ("drop", "b", None), ("add", "x, y", "ENUM('a)', 'b,')")]),
+    ("ALTER TABLE t ADD (a INT COMMENT 'it''s, \\' fine', b DECIMAL(10,2)), DROP c # , DROP d", [("add", "a", "INT"), ("add", "b", "DECIMAL(10,2)"), ("drop", "c", None)]),
+    ("ALTER/**/TABLE t ADD \"q\" INT COMMENT \"-- no, add z int\"-- DROP w\n, DROP v", [("add", "q", "INT"), ("drop", "v", None)]),
+])
+def test_quoted_texts_in_ddl(spark, text, want):
+    got = ts.ddl_to_actions(spark.createDataFrame([(text,)], "ddl string")).orderBy("clause_no").collect()
+    assert [(r["action"], r["column"], r["type"]) for r in got] == want
