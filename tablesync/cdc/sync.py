@@ -41,8 +41,9 @@ def sync_batch(
     zone: str = ZONE,
     compact_every: int | None = None,
     vacuum_every: int | None = None,
+    rejects: bool = False,
 ) -> dict[str, dict]:
-    """Apply one batch of change events to all tables.
+    """Apply one batch of change events to all tables; with ``rejects`` each keeps the rows it filters (:class:`store.rejects.Rejects`).
 
     ``targets`` maps (source database, source table) to (database, table); events of other tables are left out. ``order``
     names columns of ``batch`` that order the events (such as a topic offset); without it the position in the envelope
@@ -81,7 +82,7 @@ def sync_batch(
             rows = staged.where(F.col("_target") == target).drop("_target")
             jobs[target] = lambda t=target, r=rows: _sync_table(
                 registry, t, r, actions.get(t, []), at, query_id, batch_id, ignore_update_before, strict, max_filter_ratio, stream_id,
-                (temporals or {}).get(tuple(t.split(".", 1)), {}), zone, compact_every, vacuum_every
+                (temporals or {}).get(tuple(t.split(".", 1)), {}), zone, compact_every, vacuum_every, rejects
             )
         reports = in_parallel(jobs, width)
     finally:
@@ -102,7 +103,7 @@ def _actions(staged: DataFrame, at: list[str], pattern: str) -> dict[str, list]:
 
 def _sync_table(
     registry, target, rows, actions, at, query_id, batch_id, ignore_update_before, strict, max_filter_ratio, stream_id, temporals, zone,
-    compact_every, vacuum_every,
+    compact_every, vacuum_every, rejects=False,
 ) -> dict:
     database, _, name = target.partition(".")
     table = registry.table(database, name)
@@ -119,7 +120,7 @@ def _sync_table(
     changes = debezium_to_changes(rows, spec, ignore_update_before, keep=at, since=since, temporals=temporals, zone=zone)
     report = table.load(
         changes, at, query_id=query_id, batch_id=batch_id, evolve=lambda m: evolved, strict=strict,
-        max_filter_ratio=max_filter_ratio, stream_id=stream_id,
+        max_filter_ratio=max(max_filter_ratio, float(rejects)), stream_id=stream_id, rejects=rejects,
     )
     upkeep(table, batch_id, compact_every, 8, vacuum_every)
     return {**report, "unknown_columns": unknown} if unknown else report

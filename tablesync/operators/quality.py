@@ -12,7 +12,11 @@ NO_IMAGE = "change event without a row image"
 
 
 class LoadRejected(RuntimeError):
-    """Too many rows of a load were filtered."""
+    """Too many rows of a load were filtered. ``samples`` holds reasons of some of them, without values of rows."""
+
+    def __init__(self, message: str, samples: list[str] | None = None):
+        self.samples = samples or []
+        super().__init__("\n- ".join([message, *self.samples]))
 
 
 _LARGEINT_MAX = "170141183460469231731687303715884105727"  # fixed value: 2^127 - 1
@@ -106,10 +110,36 @@ def counts(checked: DataFrame) -> DataFrame:
     )
 
 
-def gate(total: int, filtered: int, max_filter_ratio: float = 0.0) -> None:
-    """Fail a load before its commit when the share of filtered rows is above the limit."""
+def gate(total: int, filtered: int, max_filter_ratio: float = 0.0, checked: DataFrame | None = None) -> None:
+    """Fail a load before its commit when the share of filtered rows is above the limit.
+
+    The error shows up to ten different reasons out of ``checked`` rows, redacted, with how often each was given.
+    """
     if total and filtered / total > max_filter_ratio:
-        raise LoadRejected(f"{filtered} of {total} rows were filtered, limit is {max_filter_ratio}")
+        raise LoadRejected(f"{filtered} of {total} rows were filtered, limit is {max_filter_ratio}", reason_samples(checked) if checked is not None else None)
+
+
+def reason_samples(checked: DataFrame, n: int = 10) -> list[str]:
+    """The most frequent reasons of bad rows as text, without values."""
+    from ..functions.redact import redact_column
+
+    given = checked.where(F.col(REASONS) != "").groupBy(redact_column(F.col(REASONS)).alias("reason")).count()
+    return [f"{r['count']} x {r['reason']}" for r in given.orderBy(F.desc("count"), "reason").limit(n).collect()]
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """Size of a row's values: texts and binaries by length, nested values by their JSON text, others by the width of their type."""
+    parts, fixed = [], 0
+    for f in schema.fields:
+        col = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.octet_length(col))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.octet_length(F.to_json(F.struct(col))))
+        else:
+            wide = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4, T.DecimalType: 16}.get(type(f.dataType), 8)
+            parts.append(F.when(col.isNotNull(), wide))
+    return sum((F.coalesce(p, F.lit(0)).cast("bigint") for p in parts), F.lit(fixed).cast("bigint"))
 
 
 def load_report(df: DataFrame, spec: TableSpec, where: Column | str | None = None, strict: bool = True) -> DataFrame:

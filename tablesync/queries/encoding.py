@@ -170,7 +170,7 @@ def temporal_text(spark, d):
     return fn.format_temporals(df, {"day": "date", "at": "datetime", "utc_micros": "timestamp", "clock": "time"})
 
 
-_RAW = """
+RAW_EVENTS = """
 WITH r AS (SELECT event_id, event_type AS kind, CAST(floor(value) AS BIGINT) AS level, CASE WHEN event_type <> 'view' THEN user_id END AS owner FROM events),
 q AS (SELECT *, length(kind) > 6 AS long_kind, level > 127 AS high, owner IS NULL AS no_owner FROM r)
 """
@@ -199,14 +199,14 @@ QUERIES = {
     "text_files": (text_files, _ORDERS_SQL),
     "framed_payloads": (framed_payloads, "SELECT count(*) AS n_rows, CAST(sum(length(l_orderkey || ',' || l_linenumber || ';')) AS BIGINT) AS chars FROM lineitem"),
     "custom_records": (custom_records, r"SELECT conv_id, turn, len(string_split_regex(trim(text, E' \n\t\r'), '\s+')) AS words FROM conversations"),
-    "quality_good": (quality_good, _RAW + "SELECT event_id, kind, CAST(level AS TINYINT) AS level, owner FROM q WHERE NOT long_kind AND NOT high AND NOT no_owner"),
-    "quality_bad": (quality_bad, _RAW + """
+    "quality_good": (quality_good, RAW_EVENTS + "SELECT event_id, kind, CAST(level AS TINYINT) AS level, owner FROM q WHERE NOT long_kind AND NOT high AND NOT no_owner"),
+    "quality_bad": (quality_bad, RAW_EVENTS + """
         SELECT event_id, concat_ws('; ', CASE WHEN long_kind THEN 'Value ''' || kind || ''' does not fit VARCHAR(6) of ''kind''' END,
                CASE WHEN high THEN 'Value ''' || level || ''' does not fit TINYINT of ''level''' END,
                CASE WHEN no_owner THEN 'NULL value in non-nullable column ''owner''' END) AS reasons
         FROM q WHERE long_kind OR high OR no_owner"""),
-    "quality_lenient": (quality_lenient, _RAW + "SELECT event_id, CASE WHEN NOT long_kind THEN kind END AS kind, CASE WHEN NOT high THEN CAST(level AS TINYINT) END AS level, owner FROM q WHERE NOT no_owner"),
-    "load_report": (load_report, _RAW + """
+    "quality_lenient": (quality_lenient, RAW_EVENTS + "SELECT event_id, CASE WHEN NOT long_kind THEN kind END AS kind, CASE WHEN NOT high THEN CAST(level AS TINYINT) END AS level, owner FROM q WHERE NOT no_owner"),
+    "load_report": (load_report, RAW_EVENTS + """
         SELECT count(*) AS total_rows, count(*) FILTER (kind <> 'click' AND NOT (long_kind OR high OR no_owner)) AS loaded_rows,
                count(*) FILTER (kind <> 'click' AND (long_kind OR high OR no_owner)) AS filtered_rows, count(*) FILTER (kind = 'click') AS unselected_rows,
                CAST(coalesce(sum(strlen(CAST(event_id AS VARCHAR)) + strlen(kind) + coalesce(strlen(CAST(level AS VARCHAR)), 0) + coalesce(strlen(CAST(owner AS VARCHAR)), 0))

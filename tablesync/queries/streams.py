@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import operators as op, streaming
 from ..session import Files, work_dir
 from ..spec import ColumnSpec, TableSpec
-from ..store import KeyedTable, Registry
+from ..store import KeyedTable, Registry, Rejects
 from . import encoding
 from .changes import ORDER_SEQ, SEQ, order_log
 from .encoding import raw_events
@@ -116,6 +116,44 @@ def gated_load(spark, d):
     return t.read()
 
 
+CHECKED = TableSpec(
+    "db", "checked", (ColumnSpec("event_id", "BIGINT", False), ColumnSpec("kind", "VARCHAR(6)"), ColumnSpec("level", "TINYINT"), ColumnSpec("owner", "BIGINT", False)),
+    keys=("event_id",), buckets=8,
+)
+
+
+def _with_rejects(spark, d):
+    """Unchecked text through a stream that keeps what it filters; the last batch is delivered twice."""
+    t, path, first = _table(spark, CHECKED), work_dir(spark, "in"), work_dir(spark, "checkpoint")
+    raw_events(spark, d).withColumn("_seq", F.lit(0)).write.parquet(path)
+    for checkpoint in (first, None):
+        stream = spark.readStream.schema("event_id string, kind string, level string, owner string, _seq int").parquet(path)
+        streaming.stream_apply(stream, t, checkpoint or _restored(spark, first), "_seq", rejects=True).awaitTermination()
+    return t
+
+
+def rejects_table(spark, d):
+    """Rows that a load filtered, with their input and with reasons that show no values; good rows are in the table."""
+    t = _with_rejects(spark, d)
+    bad = Rejects(t).read().select(F.variant_get("row", "$.event_id", "bigint").alias("event_id"), F.variant_get("row", "$.level", "string").alias("level"), "reasons")
+    return bad.union(t.read().select("event_id", C("level").cast("string"), F.lit(None)))
+
+
+def rejects_replay(spark, d):
+    """Rejected rows are corrected and loaded again; those that still do not fit stay open."""
+    t = _with_rejects(spark, d)
+
+    def fix(rows):
+        level = F.when(C("level").cast("int") > 200, C("level")).otherwise(F.least(C("level").cast("int"), F.lit(127)).cast("string"))
+        return rows.withColumns({"kind": F.substring("kind", 1, 6), "level": level, "owner": F.coalesce("owner", F.lit("0"))})
+
+    rejects = Rejects(t)
+    rejects.replay(fix, "_seq")
+    left = [rejects.rows(n).select("event_id", "kind", "level", "owner", F.lit(True).alias("open")) for n in rejects.open()]
+    loaded = t.read().select(C("event_id").cast("string"), "kind", C("level").cast("string"), C("owner").cast("string"), F.lit(False).alias("open"))
+    return reduce(lambda a, b: a.union(b), left, loaded)
+
+
 def stream_lookup(spark, d):
     orders = _stream(spark, d, "orders").select("o_orderkey", C("o_custkey").alias("c_custkey"))
     out = work_dir(spark, "joined")
@@ -271,6 +309,12 @@ QUERIES = {
     "keyed_table_batches": (keyed_table_batches, _CUSTOMERS),
     "keyed_table_deltas": (keyed_table_deltas, _CUSTOMERS),
     "gated_load": (gated_load, encoding.QUERIES["quality_good"][1]),
+    "rejects_table": (rejects_table, encoding.RAW_EVENTS + """
+        SELECT event_id, CAST(level AS VARCHAR) AS level, nullif(concat_ws('; ', CASE WHEN long_kind THEN 'column value does not fit VARCHAR(6) of ''kind''' END,
+               CASE WHEN high THEN 'column value does not fit TINYINT of ''level''' END, CASE WHEN no_owner THEN 'NULL value in non-nullable column ''owner''' END), '') AS reasons FROM q"""),
+    "rejects_replay": (rejects_replay, encoding.RAW_EVENTS + """
+        SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN fine THEN kind ELSE kind[:6] END AS kind, CAST(CASE WHEN fine OR level > 200 THEN level ELSE least(level, 127) END AS VARCHAR) AS level,
+               CAST(coalesce(owner, 0) AS VARCHAR) AS owner, NOT fine AND level > 200 AS open FROM (SELECT *, NOT (long_kind OR high OR no_owner) AS fine FROM q)"""),
     "stream_lookup": (stream_lookup, "SELECT o_custkey AS c_custkey, o_orderkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey"),
     "stream_route": (stream_route, "SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS INTEGER) AS size FROM supplier UNION ALL SELECT p_partkey, p_name, p_size FROM part WHERE p_size <> 13"),
     "registry_evolve": (registry_evolve, "SELECT p_partkey, p_name, CASE WHEN p_size > 25 THEN p_size + 100 ELSE 7 END AS grade FROM part"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ _local: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession, name: str = "work") -> str:
-    """New folder name under the cluster's shared checkpoint folder; a local temporary one where none is set (tests)."""
+    """New folder name under the cluster's shared checkpoint folder; a temporary one on a local master where none is set (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or _local.get("root")
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = _local["root"] = tempfile.mkdtemp(prefix="tablesync-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -81,6 +84,12 @@ class Files:
     def delete(self, path: str) -> bool:
         return self._fs.delete(self._path(path), True)
 
+    def move(self, path: str, to: str) -> None:
+        """Rename a file or folder inside the file system."""
+        self._fs.mkdirs(self._path(to).getParent())
+        if not self._fs.rename(self._path(path), self._path(to)):
+            raise OSError(f"{path} cannot be moved to {to}")
+
     def copy(self, path: str, to: str) -> None:
         """Copy a file or folder inside the file system."""
         conf = self._fs.getConf()

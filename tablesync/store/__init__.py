@@ -1,2 +1,3 @@
 from .registry import Registry
+from .rejects import Rejects
 from .table import ConcurrentCommit, KeyedTable

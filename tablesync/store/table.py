@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators import changes as ch
-from ..operators.quality import NO_IMAGE, REASONS, check_rows, gate
+from ..operators.quality import NO_IMAGE, REASONS, check_rows, gate, row_bytes
 from ..session import Files, observed
 from ..spec import OP, ColumnSpec, TableSpec
 
@@ -199,11 +199,16 @@ class KeyedTable:
     def finished(self, query_id: str, batch_id: int) -> bool:
         return self.manifest()["ledger"].get(query_id, -1) >= batch_id
 
-    def load(self, df: DataFrame, seq: Iterable[str] | str = (), *args, retries: int = 2, **options) -> dict:
+    def load(self, df: DataFrame, seq: Iterable[str] | str = (), *args, retries: int = 2, rejects: bool = False, **options) -> dict:
         """:meth:`load_once`, done again on the newest version if another writer published first, ``retries`` times at most.
 
-        A load that changes columns (``evolve``) belongs to the version it was planned for and is not repeated.
+        A load that changes columns (``evolve``) belongs to the version it was planned for and is not repeated. With
+        ``rejects`` filtered rows are kept (see :class:`store.rejects.Rejects`).
         """
+        if rejects:
+            from .rejects import Rejects
+
+            return Rejects(self).load(df, seq, *args, retries=retries, **options)
         for left in range(retries, -1, -1):
             try:
                 return self.load_once(df, seq, *args, **options)
@@ -275,26 +280,33 @@ class KeyedTable:
     def _aggregate(self, m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id) -> dict:
         """Rows of a key are merged with those of the table by the aggregate of each column, never replaced."""
         aggs = {c.name: aggregate_of(c) for c in spec.columns if c.name not in spec.keys}
-        good, recount = self._checked(df, spec, strict, obs, None)
+        good, recount, checked = self._checked(df, spec, strict, obs, None)
         counts = recount.first().asDict()
-        gate(counts["total"], counts["filtered"], max_filter_ratio)
+        gate(counts["total"], counts["filtered"], max_filter_ratio, checked)
         out = self.merge_aggregate(good, aggs, query_id, batch_id, m)
-        return {**out, "total_rows": counts["total"], "loaded_rows": counts["total"] - counts["filtered"], "filtered_rows": counts["filtered"]}
+        return {**out, **_row_counts(counts)}
 
     def _checked(self, df: DataFrame, spec: TableSpec, strict: bool, obs: Observation, columns: set[str] | None):
-        """Typed good rows, whose counts go to ``obs`` while the job runs, and the same counts as a query of their own."""
+        """Typed good rows, whose counts go to ``obs`` while the job runs, the same counts as a query of their own, and all checked rows."""
+        checked = self.judged(df, spec, strict, columns)
+        bad = F.col(REASONS) != ""
+        size = F.sum(F.when(~bad, row_bytes(T.StructType([f for f in checked.schema if f.name in spec.names]))))
+        metrics = [F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("filtered"), F.coalesce(size, F.lit(0)).alias("bytes")]
+        return checked.observe(obs, *metrics).where(~bad).drop(REASONS), checked.agg(*metrics), checked
+
+    @staticmethod
+    def judged(df: DataFrame, spec: TableSpec, strict: bool = True, columns: Iterable[str] | None = None) -> DataFrame:
+        """Rows typed, with the reasons against them as a load of these ``columns`` (default: all) sees them."""
         if columns is not None:
             # a partial load is checked on its own columns only
             lower = {c.lower() for c in columns} | {k.lower() for k in spec.keys}
             spec = spec.with_columns([c for c in spec.columns if c.name.lower() in lower])
-        bad = F.col(REASONS) != ""
         checked = check_rows(df, spec, strict)
         if OP in df.columns:
             # a delete needs its key only
             lost = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in spec.keys], F.col(REASONS).contains(NO_IMAGE))
             checked = checked.withColumn(REASONS, F.when((F.col(OP) == 1) & ~lost, "").otherwise(F.col(REASONS)))
-        metrics = [F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("filtered")]
-        return checked.observe(obs, *metrics).where(~bad).drop(REASONS), checked.agg(*metrics)
+        return checked
 
     def _apply(
         self, m, spec, df, seq, mode, columns, merge_condition, ignore_update_before, kind, strict, max_filter_ratio, obs,
@@ -306,14 +318,14 @@ class KeyedTable:
             rows = rows.withColumn("_sub", F.lit(0))
         only = set(columns) if mode == "partial" else None
         given = [c for c in (columns or spec.names) if c not in keys]
-        good, recount = self._checked(rows, spec, strict, obs, only)
+        good, recount, checked = self._checked(rows, spec, strict, obs, only)
         order = [*seq, "_sub"]
         folded = ch.fold(good, keys, order, given if mode == "partial" else spec.values, mode, merge_condition)
         folded = folded.withColumn(BUCKET, F.pmod(F.hash(*keys), F.lit(spec.buckets))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             touched = {r[BUCKET]: r["count"] for r in folded.groupBy(BUCKET).count().collect()}
             counts = observed(obs, recount)
-            gate(counts["total"], counts["filtered"], max_filter_ratio)
+            gate(counts["total"], counts["filtered"], max_filter_ratio, checked)
             changed = sum(touched.values())
             loaded = given if mode == "partial" else spec.values
             filled = bool(m["live"] or m.get("deltas"))
@@ -347,11 +359,11 @@ class KeyedTable:
         if ch.KIND in rows.columns:
             rows = ch.filter_kinds(rows, has_pk=False)
         rows = rows.where(F.col(OP) == 0) if OP in rows.columns else rows
-        good, recount = self._checked(rows, spec, strict, obs, None)
+        good, recount, checked = self._checked(rows, spec, strict, obs, None)
         commit, _ = self._write(m, spec, good.select(*spec.names), None, False, query_id, batch_id, parallelism)
         counts = observed(obs, recount)
         try:
-            gate(counts["total"], counts["filtered"], max_filter_ratio)
+            gate(counts["total"], counts["filtered"], max_filter_ratio, checked)
         except Exception:
             self._files.delete(self._commit_dir(commit))
             raise
@@ -442,11 +454,7 @@ class KeyedTable:
             if commit:
                 self._files.delete(self._commit_dir(commit))
             raise
-        total, filtered = counts["total"], counts["filtered"]
-        return {
-            "skipped": False, "version": version, "total_rows": total, "loaded_rows": total - filtered,
-            "filtered_rows": filtered, **extra,
-        }
+        return {"skipped": False, "version": version, **_row_counts(counts), **extra}
 
     # -- upkeep --------------------------------------------------------------------------------------------------
 
@@ -494,6 +502,11 @@ class KeyedTable:
         return removed
 
 
+def _row_counts(counts: dict) -> dict:
+    total, filtered = counts["total"], counts["filtered"]
+    return {"total_rows": total, "loaded_rows": total - filtered, "filtered_rows": filtered, "loaded_bytes": counts.get("bytes", 0)}
+
+
 def _without(entries: dict, buckets: Iterable[int]) -> dict:
     """Commit entries without some buckets; commits that have none left go."""
     gone, out = set(buckets), {}

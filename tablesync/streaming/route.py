@@ -69,7 +69,7 @@ def route_batch(
     """Decode and load the rows ``(database, table, row[, seq])`` of one batch into their tables.
 
     ``options`` holds load options per ``database.table`` over those under ``*``: ``format``, ``columns`` (a mapping),
-    ``partial_update``, ``merge_condition``, ``max_filter_ratio``, separators. Rows of a keyed table follow ``seq``
+    ``partial_update``, ``merge_condition``, ``max_filter_ratio``, ``rejects`` (keep filtered rows), separators. Rows of a keyed table follow ``seq``
     where the input has one, else the place of the row in its file (``_arrival``, see :func:`apply.with_arrival`), else the
     input order inside the batch. The batch is staged below the registry's root under a name of its own, which a repeated run
     replaces. ``compact_every`` and ``vacuum_every`` as in :func:`apply.stream_apply`. Returns the load report per table; skipped
@@ -135,11 +135,13 @@ def _load_target(
     extra = [c for c in text.columns if c not in (*spec.names, "__op", "_reasons", "seq")]
     if partial and not mapping and not options.get("partial_columns") and options.get("format", "json") == "json":
         raise ValueError(f"a partial load of {target} needs columns or partial_columns: absent fields of a record would become null")
+    keep = {"rejects": True, "max_filter_ratio": 1.0} if str(options.get("rejects", "false")).lower() == "true" else {"max_filter_ratio": 0.0}
+    if "max_filter_ratio" in options:
+        keep["max_filter_ratio"] = float(options["max_filter_ratio"])
     report = table.load(
         text.drop(*extra), "seq", mode="partial" if partial else "full", columns=columns,
         merge_condition=options.get("merge_condition"), strict=options.get("strict", True),
-        max_filter_ratio=float(options.get("max_filter_ratio", 0.0)), query_id=query_id, batch_id=batch_id,
-        stream_id=stream_id,
+        query_id=query_id, batch_id=batch_id, stream_id=stream_id, **keep,
     )
     upkeep(table, batch_id, compact_every, 8, vacuum_every)
     return report
