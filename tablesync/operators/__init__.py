@@ -1,3 +1,4 @@
+from .builders import LoadColumns, aggregate_values, sketch_table
 from .changes import append, apply_changes, expand_updates, filter_kinds, fold, merge, to_op
 from .columns import map_columns, sketch_columns, split_mapping
 from .lookup import CachedDimension, lookup_by_keys, lookup_join

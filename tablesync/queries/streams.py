@@ -247,6 +247,46 @@ def aggregate_load(spark, d):
     return registry.read("db", "spent")
 
 
+DAILY = op.sketch_table(TableSpec(
+    "db", "daily", (ColumnSpec("kind", "STRING", False), ColumnSpec("day", "DATE", False), ColumnSpec("n", "BIGINT", aggregate="sum"), ColumnSpec("top", "DOUBLE", aggregate="max"),
+                    ColumnSpec("users", "BITMAP"), ColumnSpec("events", "BITMAP"), ColumnSpec("about", "HLL")),
+    model="aggregate", keys=("kind", "day"), buckets=4))
+MAPPING = "event_id,ts,kind,user_id,value,day=to_date(ts),n=1,top=value,users=to_bitmap(user_id),events=to_bitmap(event_id * 3),about=hll_hash(user_id)"
+
+
+def aggregate_columns_load(spark, d):
+    """Aggregate functions in a load's columns: bitmaps and HLL are built per key before they meet the table, in three loads, one of them twice."""
+    root = work_dir(spark, "registry")
+    KeyedTable.create(spark, f"{root}/db/daily", DAILY)
+    registry, e = Registry(spark, root), table(spark, d, "events").select("event_id", "ts", "event_type", "user_id", "value")
+    for i in (0, 1, 1, 2):
+        registry.apply("db", "daily", e.where(C("event_id") % 3 == i), query_id="daily", batch_id=i, mapping=MAPPING)
+    return _daily(registry)
+
+
+def _daily(registry):
+    rows = registry.read("db", "daily", columns=DAILY.names)
+    by_day = op.aggregate_values(rows, DAILY).select("kind", C("day").cast("string").alias("day"), "n", "top", "users", "events", C("about") > 0)
+    near = F.abs(C("about") - C("users")) <= 0.1 * C("users") + 1
+    return by_day.union(op.aggregate_values(rows, DAILY, ["kind"]).select("kind", F.lit("all"), "n", "top", "users", "events", near)).toDF("kind", "day", "n", "top", "users", "events", "estimate_fits")
+
+
+def route_aggregate_columns(spark, d):
+    """The same through routed CSV records; those that fit no bitmap are kept as rejected rows."""
+    root = work_dir(spark, "route")
+    KeyedTable.create(spark, f"{root}/tables/db/daily", DAILY)
+    e = table(spark, d, "events")
+    user = F.when(C("event_id") % 10 == 0, F.lit("-1")).otherwise(C("user_id").cast("string"))
+    row = F.concat_ws("|", C("event_id"), C("ts"), "event_type", user, "value")
+    e.select(F.lit("db").alias("database"), F.lit("daily").alias("table"), row.alias("row")).write.parquet(f"{root}/in")
+    registry = Registry(spark, f"{root}/tables")
+    stream = spark.readStream.schema("database string, table string, row string").parquet(f"{root}/in")
+    options = {"*": {"format": "csv", "column_separator": "|", "columns": MAPPING, "rejects": "true"}}
+    streaming.route(stream, registry, f"{root}/checkpoint", options).awaitTermination()
+    bad = Rejects(registry.table("db", "daily")).read().groupBy("reasons").agg(F.count("*").alias("n"))
+    return _daily(registry).union(bad.select("reasons", F.lit("bad"), "n", F.lit(None), F.lit(None), F.lit(None), F.lit(None)))
+
+
 def registry_evolve(spark, d):
     """A table loses and gains columns; a partial load fills the new one."""
     registry = Registry(spark, work_dir(spark, "registry"))
@@ -296,6 +336,11 @@ _CUSTOMERS = """
         SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT k FROM ch)
         UNION ALL SELECT k, name, bal, seg FROM ch WHERE rn = 1 AND o_orderstatus <> 'P'"""
 
+_DAILY = """
+        SELECT event_type AS kind, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, max(value) AS top, count(DISTINCT user_id) AS users, count(DISTINCT event_id) AS events, true AS estimate_fits
+        FROM events WHERE {where} GROUP BY ALL
+        UNION ALL SELECT event_type, 'all', count(*), max(value), count(DISTINCT user_id), count(DISTINCT event_id), true FROM events WHERE {where} GROUP BY ALL"""
+
 QUERIES = {
     "stream_apply": (stream_apply, _LAST),
     "stream_replay": (stream_replay, f"SELECT user_id, event_type, 1 AS version FROM ({_LAST})"),
@@ -317,6 +362,9 @@ QUERIES = {
                CAST(coalesce(owner, 0) AS VARCHAR) AS owner, NOT fine AND level > 200 AS open FROM (SELECT *, NOT (long_kind OR high OR no_owner) AS fine FROM q)"""),
     "stream_lookup": (stream_lookup, "SELECT o_custkey AS c_custkey, o_orderkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey"),
     "stream_route": (stream_route, "SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS INTEGER) AS size FROM supplier UNION ALL SELECT p_partkey, p_name, p_size FROM part WHERE p_size <> 13"),
+    "aggregate_columns_load": (aggregate_columns_load, _DAILY.format(where="true")),
+    "route_aggregate_columns": (route_aggregate_columns, _DAILY.format(where="event_id % 10 <> 0") + """
+        UNION ALL SELECT 'column value does not fit BITMAP of ''users''', 'bad', count(*), NULL, NULL, NULL, NULL FROM events WHERE event_id % 10 = 0 HAVING count(*) > 0"""),
     "registry_evolve": (registry_evolve, "SELECT p_partkey, p_name, CASE WHEN p_size > 25 THEN p_size + 100 ELSE 7 END AS grade FROM part"),
     "registry_select": (registry_select, """
         WITH code AS (SELECT repeat('0', p_size % 3) || p_partkey AS code, p_name, p_partkey AS k FROM part)

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from ..functions.redact import redact_column
 from ..operators import changes as ch
+from ..operators.builders import LoadColumns
 from ..operators.quality import REASONS, gate, reason_samples, row_bytes
 from ..session import Files, observed
 from ..spec import OP, TableSpec
 from .table import KeyedTable, _safe
 
 LOAD, BAD, INPUT = "load", "_bad", "_input"
+RECORD = "_record"  # text that an input row was decoded from: kept with a rejected row, not loaded
 REPLAY = "replay:"  # prefix of the query id of a replayed load
 
 
@@ -37,11 +39,12 @@ class Rejects:
     def load(
         self, df: DataFrame, seq: Iterable[str] | str = (), mode: str = "full", columns: Iterable[str] | None = None, merge_condition: str | None = None,
         ignore_update_before: bool = True, kind: str = ch.KIND, strict: bool = True, max_filter_ratio: float = 1.0, query_id: str | None = None,
-        batch_id: int | None = None, evolve: Callable[[dict], dict] | None = None, report: Callable[[dict], None] | None = None, **options,
+        batch_id: int | None = None, evolve: Callable[[dict], dict] | None = None, report: Callable[[dict], None] | None = None,
+        mapping: str | LoadColumns | None = None, **options,
     ) -> dict:
         """:meth:`KeyedTable.load` that keeps the rows it filters. ``max_filter_ratio`` above which the load fails is 1 by default.
 
-        The report has ``rejected_load``, the name under which the rejected rows are kept (null if there are none).
+        A column ``_record`` of ``df`` is kept with rejected rows only. The report has ``rejected_load``, the name under which the rejected rows are kept (null if there are none).
         """
         self.settle()
         m = self.table.manifest()
@@ -52,14 +55,19 @@ class Rejects:
         if mode == "partial" and columns is None:
             columns = [c for c in spec.names if c.lower() in {d.lower() for d in df.columns}]
         keyed = spec.model in ("primary", "unique")
-        whole = df.withColumn(INPUT, F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+        plan = LoadColumns.compile(mapping, spec) if isinstance(mapping, str) else mapping
+        df = plan.named(df) if isinstance(mapping, str) else df
+        whole = df.withColumn(INPUT, F.struct(*[F.col(f"`{c}`") for c in df.columns if c != REASONS]))
+        if isinstance(mapping, str):
+            whole = plan.derive(whole, spec, (*seq, kind))
         if keyed or kind in df.columns or OP in df.columns:
             whole = ch.prepare(whole, spec.model, ignore_update_before, kind) if keyed else _upserts(whole, kind)
-        checked = self.table.judged(whole, spec, strict, columns if mode == "partial" else None)
+        row_spec = plan.row_spec(spec) if plan and plan.builders else spec
+        checked = self.table.judged(whole, row_spec, strict, columns if mode == "partial" else None)
         bad = F.col(REASONS) != ""
         image = F.when(bad, F.to_variant_object(INPUT)).alias("_row")
-        ddl = F.when(bad, F.lit(_ddl(df.schema))).alias("_schema")
-        out = checked.select(*[F.col(f"`{c}`") for c in checked.columns if c not in (INPUT, REASONS)], F.when(bad, redact_column(F.col(REASONS))).alias(REASONS), image, ddl, bad.alias(BAD))
+        ddl = F.when(bad, F.lit(whole.schema[INPUT].dataType.simpleString())).alias("_schema")
+        out = checked.select(*[F.col(f"`{c}`") for c in checked.columns if c not in (INPUT, REASONS, RECORD)], F.when(bad, redact_column(F.col(REASONS))).alias(REASONS), image, ddl, bad.alias(BAD))
         obs = Observation(f"rejects_{uuid.uuid4().hex[:8]}")
         size = F.sum(F.when(~F.col(BAD), row_bytes(T.StructType([f for f in out.schema if f.name in spec.names]))))
         metrics = [F.count(F.lit(1)).alias("total"), F.count_if(BAD).alias("filtered"), F.coalesce(size, F.lit(0)).alias("bytes")]
@@ -72,8 +80,10 @@ class Rejects:
             if counts["total"] and counts["filtered"] / counts["total"] > max_filter_ratio:
                 gate(counts["total"], counts["filtered"], max_filter_ratio, rows.where(BAD).withColumn(REASONS, F.coalesce(REASONS, F.lit(""))))
             good = rows.where(~F.col(BAD)).drop(BAD, REASONS, "_row", "_schema")
-            given = set(df.columns) | {OP, "_sub"}
+            given = set(df.columns) - {RECORD} | {OP, "_sub"} | (plan.sources | {n for n, _ in plan.scalars} if plan else set())
             good = good.select(*[c for c in good.columns if c in given or c.lower() in {g.lower() for g in given}])
+            if plan:
+                options["mapping"] = plan  # already applied
             done = self.table.load(
                 good, seq, mode=mode, columns=columns, merge_condition=merge_condition, ignore_update_before=ignore_update_before, strict=strict,
                 query_id=query_id, batch_id=batch_id, evolve=evolve, **options)
@@ -158,7 +168,3 @@ def _upserts(rows: DataFrame, kind: str) -> DataFrame:
     """Rows for a table without a primary key: deletes and before images are no rows of it."""
     rows = ch.filter_kinds(rows, has_pk=False) if kind in rows.columns else rows
     return rows.where(F.col(OP) == 0) if OP in rows.columns else rows
-
-
-def _ddl(schema: T.StructType) -> str:
-    return schema.simpleString()

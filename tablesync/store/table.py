@@ -22,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators import changes as ch
+from ..operators.builders import LoadColumns
 from ..operators.quality import NO_IMAGE, REASONS, check_rows, gate, row_bytes
 from ..session import Files, observed
 from ..spec import OP, ColumnSpec, TableSpec
@@ -234,6 +235,7 @@ class KeyedTable:
         parallelism: int | None = None,
         merge_on_read: bool | None = None,
         stream_id: str | None = None,
+        mapping: str | LoadColumns | None = None,
     ) -> dict:
         """Check, fold and apply one load, then publish it.
 
@@ -241,7 +243,8 @@ class KeyedTable:
         ``stream_id`` names the checkpoint behind a ``query_id``, and another checkpoint under the same id raises.
         ``evolve`` changes the manifest's columns in the same step. ``parallelism`` fixes the number of writing tasks,
         which is otherwise Spark's choice. ``merge_on_read`` (default: the table's property) writes only the folded load
-        beside the table instead of rewriting buckets; conditional loads always rewrite. Returns the load report.
+        beside the table instead of rewriting buckets; conditional loads always rewrite. ``mapping`` names the input fields and
+        derives columns, sketches of an aggregate table among them (:mod:`operators.builders`). Returns the load report.
         """
         started = time.perf_counter()
         m = self.manifest()
@@ -252,14 +255,17 @@ class KeyedTable:
             m = owned(evolve(m), query_id, stream_id)
         spec = TableSpec.from_dict(m["spec"])
         seq = [seq] if isinstance(seq, str) else list(seq)
+        if isinstance(mapping, str):
+            mapping = LoadColumns.compile(mapping, spec)
+            df = mapping.derive(mapping.named(df), spec, (*seq, kind))
         known = {c.lower() for c in spec.names}
-        helper = {OP, kind, REASONS, "_sub", *seq}
+        helper = {OP, kind, REASONS, "_sub", *seq, *(mapping.sources if mapping else ())}
         for c in df.columns:
             if c.lower() not in known and c not in helper:
                 spec.column(c)  # raises: no such column
         obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
         if spec.model == "aggregate":
-            report_row = self._aggregate(m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id)
+            report_row = self._aggregate(m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id, mapping)
         elif spec.model == "duplicate":
             report_row = self._append(m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id, parallelism)
         else:
@@ -277,13 +283,14 @@ class KeyedTable:
             report(report_row)
         return report_row
 
-    def _aggregate(self, m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id) -> dict:
+    def _aggregate(self, m, spec, df, strict, max_filter_ratio, obs, query_id, batch_id, mapping=None) -> dict:
         """Rows of a key are merged with those of the table by the aggregate of each column, never replaced."""
         aggs = {c.name: aggregate_of(c) for c in spec.columns if c.name not in spec.keys}
-        good, recount, checked = self._checked(df, spec, strict, obs, None)
+        built = bool(mapping and mapping.builders)
+        good, recount, checked = self._checked(df, mapping.row_spec(spec) if built else spec, strict, obs, None)
         counts = recount.first().asDict()
         gate(counts["total"], counts["filtered"], max_filter_ratio, checked)
-        out = self.merge_aggregate(good, aggs, query_id, batch_id, m)
+        out = self.merge_aggregate(mapping.partials(good, spec, aggs) if built else good, aggs, query_id, batch_id, m)
         return {**out, **_row_counts(counts)}
 
     def _checked(self, df: DataFrame, spec: TableSpec, strict: bool, obs: Observation, columns: set[str] | None):
@@ -538,7 +545,11 @@ def aggregate_of(c: ColumnSpec) -> Callable[[str], Column]:
     known = {"sum": F.sum, "min": F.min, "max": F.max, "bitmap_union": F.bitmap_or_agg, "hll_union": F.hll_union_agg}
     if name not in known:
         raise ValueError(f"column {c.name} of an aggregate table needs an aggregate: {', '.join(known)}")
-    return (lambda x: F.sum(x).cast(c.spark)) if name == "sum" else known[name]
+    if name == "sum":
+        return lambda x: F.sum(x).cast(c.spark)
+    if name.endswith("_union"):  # null where no row has a sketch
+        return lambda x: F.when(F.count(x) > 0, known[name](x))
+    return known[name]
 
 
 def evolve_manifest(m: dict, add: list[ColumnSpec], drop: list[str]) -> dict:

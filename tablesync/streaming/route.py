@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import Files, observed
-from ..sources.records import decode_text, split_mapping
+from ..operators.columns import split_mapping
+from ..sources.records import decode_text
 from ..store.registry import Registry
+from ..store.rejects import RECORD
 from ..store.table import _safe
 from .apply import ARRIVAL, start_query, upkeep, with_arrival
 
@@ -124,24 +126,23 @@ def _load_target(
     else:
         entries, fields = [], list(spec.names)
     has_op = "__op" in fields
+    keep = {"rejects": True, "max_filter_ratio": 1.0} if str(options.get("rejects", "false")).lower() == "true" else {"max_filter_ratio": 0.0}
+    if "max_filter_ratio" in options:
+        keep["max_filter_ratio"] = float(options["max_filter_ratio"])
+    rows = rows.withColumn(RECORD, F.col("row")) if "rejects" in keep else rows
     text = decode_text(rows, fields, options.get("format", "json"), options, "row")
-    derived = [F.expr(e).alias(n) for n, e in entries if e is not None]
-    text = text.select("*", *derived) if derived else text
     if has_op:
         text = text.withColumn("__op", F.col("__op").try_cast("int"))
     columns = None
     if partial:
         columns = [c for c in spec.names if c in fields or c in {n for n, _ in entries}]
-    extra = [c for c in text.columns if c not in (*spec.names, "__op", "_reasons", "seq")]
+    extra = [c for c in text.columns if c not in (*spec.names, *fields, "__op", "_reasons", "seq", RECORD)]
     if partial and not mapping and not options.get("partial_columns") and options.get("format", "json") == "json":
         raise ValueError(f"a partial load of {target} needs columns or partial_columns: absent fields of a record would become null")
-    keep = {"rejects": True, "max_filter_ratio": 1.0} if str(options.get("rejects", "false")).lower() == "true" else {"max_filter_ratio": 0.0}
-    if "max_filter_ratio" in options:
-        keep["max_filter_ratio"] = float(options["max_filter_ratio"])
     report = table.load(
         text.drop(*extra), "seq", mode="partial" if partial else "full", columns=columns,
         merge_condition=options.get("merge_condition"), strict=options.get("strict", True),
-        query_id=query_id, batch_id=batch_id, stream_id=stream_id, **keep,
+        query_id=query_id, batch_id=batch_id, stream_id=stream_id, mapping=mapping, **keep,
     )
     upkeep(table, batch_id, compact_every, 8, vacuum_every)
     return report
