@@ -17,6 +17,7 @@ from ..store.table import evolve_manifest, owned
 from ..streaming.apply import ARRIVAL, start_query, upkeep, with_arrival
 from ..streaming.route import in_parallel, stage, staged_targets, staging
 from .ddl import STATEMENT, column_of, ddl_to_actions, last_actions, parse_ddl
+from .start import Position
 from .debezium import OPS, ORDER, debezium_to_changes, parse_debezium
 
 _AT = [*ORDER, "_in"]
@@ -42,6 +43,7 @@ def sync_batch(
     compact_every: int | None = None,
     vacuum_every: int | None = None,
     rejects: bool = False,
+    start: Position | None = None,
 ) -> dict[str, dict]:
     """Apply one batch of change events to all tables; with ``rejects`` each keeps the rows it filters (:class:`store.rejects.Rejects`).
 
@@ -51,7 +53,7 @@ def sync_batch(
 
     ``temporals`` gives per (database, table) of the targets the encoding of temporal columns (see
     :func:`functions.temporal.encoded_text`); ``zone`` shows instants. A number in another encoding is a rejected row. The report
-    under ``""`` counts events, invalid ones and those of tables that are not listed.
+    under ``""`` counts events, invalid ones and those of tables that are not listed. Events before ``start`` are left out and not counted.
 
     The batch is parsed once and staged by target table, so each table reads its own part only. A table's DDL
     statements and rows go into one commit.
@@ -60,7 +62,8 @@ def sync_batch(
     order = list(order) if order is not None else None
     arrived = ARRIVAL in batch.columns and not order
     keep = order or ([ARRIVAL] if arrived else [])
-    events = parse_debezium(batch.select(col, *keep), col).withColumn("_in", F.monotonically_increasing_id())
+    events = parse_debezium((start.skip(batch) if start else batch).select(col, *keep), col).withColumn("_in", F.monotonically_increasing_id())
+    events = start.since(events) if start else events
     known_op = F.coalesce(F.col("op").isin(*OPS), F.lit(False))
     invalid = ~known_op & (F.col("op").isNotNull() | F.col("ddl").isNull())
     obs = Observation(f"sync_{uuid.uuid4().hex[:8]}")
@@ -168,6 +171,7 @@ def sync_database(
     query_id: str | None = None,
     trigger: str = "availableNow",
     on_report: Callable[[dict], None] | None = None,
+    start: str | Mapping | Position | None = None,
     **options,
 ) -> StreamingQuery:
     """Create the missing tables, then keep them in sync with a stream of change events, exactly once.
@@ -175,8 +179,10 @@ def sync_database(
     ``specs`` comes from :func:`cdc.schema.infer_specs`, which applies the table filters, prefix and suffix. A replayed
     batch skips the tables that already recorded it (under the checkpoint's id, see :func:`streaming.apply.stream_apply`).
     Temporal encodings come from the source types that the specs carry, unless ``temporals`` is given. A source other than
-    files needs ``order``, or positions in its envelopes.
+    files needs ``order``, or positions in its envelopes. ``start`` is a place in the feed (:class:`start.Position`: a time, or a log
+    file and a place in it); give the same one again on a restart. After :func:`start.load_snapshot` it is the snapshot's end.
     """
+    options["start"] = Position.of(start)
     registry.ensure_tables(specs.values())
     targets = target_map(specs)
     options.setdefault("temporals", {(s.database, s.table): s.options["temporals"] for s in specs.values() if "temporals" in s.options})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from .. import cdc, operators as op
@@ -141,6 +143,63 @@ def sync_temporals(spark, d):
     return _synced(spark, d, made, {("shop", "dated"): spec}).read("ods", "dated")
 
 
+def _logged(df, op_letter, before, after, at):
+    """Change events of orders with their position beside them, as a feed kept in files has it: log files of 10,000 places."""
+    file, pos = F.concat(F.lit("binlog."), F.lpad(F.floor(at / 10000).cast("string"), 6, "0")), (at % 10000).cast("bigint")
+    source = F.struct(F.lit("shop").alias("db"), F.lit("orders").alias("table"), at.alias("ts_ms"), file.alias("file"), pos.alias("pos"))
+    value = F.to_json(F.struct(op_letter.alias("op"), before.alias("before"), after.alias("after"), source.alias("source"), at.alias("ts_ms")))
+    return df.select(value.alias("value"), at.alias("ts_ms"), file.alias("file"))
+
+
+def _order_images():
+    image = lambda priority: F.struct("o_orderkey", "o_custkey", C("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"), priority.alias("o_orderpriority"))
+    return image(C("o_orderpriority")), image(F.concat(F.lit("late "), "o_orderpriority"))
+
+
+def _shop_log(spark, d):
+    """The log of a shop, position = 2 x key + 1: F orders get their priority late, P orders are deleted."""
+    o, (old, new), none, at = table(spark, d, "orders"), _order_images(), F.lit(None).cast("string"), C("o_orderkey").cast("bigint") * 2 + 1
+    return _logged(o.where("o_orderstatus = 'F'"), F.lit("u"), old, new, at).union(_logged(o.where("o_orderstatus = 'P'"), F.lit("d"), old, none, at))
+
+
+def sync_snapshot_then_log(spark, d):
+    """A snapshot read while the log goes on: rows of some customers were read before the changes of the window, others after; then the log."""
+    o = table(spark, d, "orders")
+    top = o.agg(F.max("o_orderkey")).first()[0] * 2 + 1
+    low, high = cdc.Position(ts_ms=top // 3), cdc.Position(ts_ms=2 * top // 3)
+    at = C("o_orderkey") * 2 + 1
+    seen = (at <= top // 3) | ((at <= 2 * top // 3) & (C("o_custkey") % 2 == 0))
+    rows = o.where(~(seen & (C("o_orderstatus") == "P"))).select(
+        "o_orderkey", "o_custkey", C("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
+        F.when(seen & (C("o_orderstatus") == "F"), F.concat(F.lit("late "), "o_orderpriority")).otherwise(C("o_orderpriority")).alias("o_orderpriority"))
+    root, specs = work_dir(spark, "feed"), {("shop", "orders"): ORDER_SPEC}
+    _shop_log(spark, d).write.parquet(f"{root}/in")
+    registry, log = Registry(spark, f"{root}/tables"), spark.read.parquet(f"{root}/in")
+    for _ in range(2):  # run again, the snapshot is not loaded again
+        cdc.load_snapshot(registry, specs, {("shop", "orders"): rows}, log, low, high)
+    read = lambda: registry.read("ods", "orders").select("o_orderkey", "o_orderpriority")
+    at_high = read()
+    middle = work_dir(spark, "at-high")
+    at_high.write.parquet(middle)
+    stream = spark.readStream.schema(log.schema).parquet(f"{root}/in")
+    cdc.sync_database(stream, registry, specs, f"{root}/checkpoint", start=replace(high, after=True)).awaitTermination()
+    return spark.read.parquet(middle).select(F.lit("high").alias("t"), "o_orderkey", "o_orderpriority").union(read().select(F.lit("end"), "*"))
+
+
+def sync_from_position(spark, d):
+    """The log alone, from a time on and from a file and place on: earlier files are skipped, earlier events of the same file too."""
+    top = table(spark, d, "orders").agg(F.max("o_orderkey")).first()[0] * 2 + 1
+    root, place, out = work_dir(spark, "feed"), top // 2, []
+    _shop_log(spark, d).repartitionByRange(4, "ts_ms").write.parquet(f"{root}/in")
+    schema = spark.read.parquet(f"{root}/in").schema
+    for start in ({"ts_ms": place}, {"file": f"binlog.{place // 10000:06d}", "pos": place % 10000}):
+        name = next(iter(start))
+        registry = Registry(spark, f"{root}/{name}")
+        cdc.sync_database(spark.readStream.schema(schema).parquet(f"{root}/in"), registry, {("shop", "orders"): ORDER_SPEC}, f"{root}/checkpoint-{name}", start=start).awaitTermination()
+        out.append(registry.read("ods", "orders").select(F.lit(name).alias("start"), "o_orderkey", "o_orderpriority"))
+    return out[0].union(out[1])
+
+
 def infer_specs(spark, d):
     """Specs of all source tables with a key, as rows: one per column."""
     columns = source_metadata(spark, d).withColumn("decimal_digits", F.lit(2))
@@ -192,6 +251,13 @@ QUERIES = {
     "sync_temporals": (sync_temporals, """
         SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, date_trunc('day', o_orderdate) + to_milliseconds(o_orderkey) AS at, date_trunc('day', o_orderdate) + to_microseconds(o_orderkey) AS fine,
                date_trunc('day', o_orderdate) + INTERVAL 8 HOUR AS seen FROM orders"""),
+    "sync_snapshot_then_log": (sync_snapshot_then_log, f"""
+        WITH top AS (SELECT max(o_orderkey) * 2 + 1 AS t FROM orders), h AS (SELECT *, o_orderkey * 2 + 1 <= 2 * t // 3 AS seen FROM orders, top)
+        SELECT 'high' AS t, o_orderkey, CASE WHEN o_orderstatus = 'F' AND seen THEN 'late ' || o_orderpriority ELSE o_orderpriority END AS o_orderpriority FROM h WHERE NOT (o_orderstatus = 'P' AND seen)
+        UNION ALL SELECT 'end', o_orderkey, {_FINAL} FROM orders WHERE o_orderstatus <> 'P'"""),
+    "sync_from_position": (sync_from_position, """
+        SELECT s AS start, o_orderkey, 'late ' || o_orderpriority AS o_orderpriority FROM orders, (SELECT (max(o_orderkey) * 2 + 1) // 2 AS m FROM orders), (VALUES ('ts_ms'), ('file')) v(s)
+        WHERE o_orderstatus = 'F' AND o_orderkey * 2 + 1 >= m"""),
     "infer_specs": (infer_specs, """
         SELECT p_brand || '.' || p_type AS table_name, 'c' || p_partkey AS column_name, (p_size = 1)::INT AS is_key FROM part
         WHERE p_brand || '.' || p_type IN (SELECT p_brand || '.' || p_type FROM part WHERE p_size = 1)"""),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from .. import operators as op, streaming
@@ -77,6 +79,26 @@ def stream_bounded(spark, d):
     return t.read().withColumn("batches", F.lit(t.manifest()["version"]))
 
 
+def stream_bounded_rows(spark, d):
+    """One large micro-batch as commits of at most so many rows; the job fails after the second one and goes on from there."""
+    t, first, sizes = _table(spark), work_dir(spark, "checkpoint"), []
+    most = -(-table(spark, d, "events").count() // 5)
+
+    def report(r):
+        if not r["skipped"]:
+            sizes.append(r["total_rows"])
+        if len(sizes) == 2:
+            sizes.append(0)  # once
+            raise RuntimeError("the job fails")
+
+    log = _log(_stream(spark, d, "events"))
+    run = lambda **options: streaming.stream_apply(log, t, first, SEQ, max_rows=most, report=report, **options).awaitTermination()
+    with contextlib.suppress(StreamingQueryException):
+        run()
+    run()
+    return t.read().withColumns({"commits": F.lit(t.manifest()["version"]), "bounded": F.lit(max(sizes) <= most)})
+
+
 def stream_at_least_once(spark, d):
     """Without a record of batches a replay loads again; the fold by key gives the same rows."""
     t, first = _table(spark), work_dir(spark, "checkpoint")
@@ -346,6 +368,7 @@ QUERIES = {
     "stream_replay": (stream_replay, f"SELECT user_id, event_type, 1 AS version FROM ({_LAST})"),
     "stream_two_sources": (stream_two_sources, _LAST),
     "stream_bounded": (stream_bounded, f"SELECT *, 4 AS batches FROM ({_LAST})"),
+    "stream_bounded_rows": (stream_bounded_rows, f"SELECT *, (SELECT ceil(count(*) / ceil(count(*) / 5.0))::INT FROM events) AS commits, true AS bounded FROM ({_LAST})"),
     "stream_at_least_once": (stream_at_least_once, f"SELECT *, 2 AS version FROM ({_LAST})"),
     "stream_route_order": (stream_route_order, "SELECT p_partkey AS id, CASE WHEN p_size > 45 THEN 'third ' ELSE 'second ' END || p_name AS name, p_size AS size FROM part"),
     "stream_route_partial": (stream_route_partial, "SELECT p_partkey AS id, p_name AS name, CASE WHEN p_size > 25 THEN p_size + 100 ELSE p_size END AS size FROM part"),

@@ -1,4 +1,5 @@
 from .apply import admission, start_position, start_query, stream_apply
 from .listener import LoadListener
 from .lookup import stream_lookup_join
+from .parts import load_in_parts
 from .route import route, route_batch

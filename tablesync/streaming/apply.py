@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..store.table import KeyedTable
+from .parts import load_in_parts, parts_id
 
 
 STREAM_ID = "sql.streaming.queryId"  # fixed value: local property of a micro-batch; the id that its checkpoint keeps
@@ -89,9 +90,12 @@ def stream_apply(
     compact_every: int | None = None,
     compact_min_deltas: int = 8,
     vacuum_every: int | None = None,
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
     **load_options,
 ) -> StreamingQuery:
-    """Apply each micro-batch of a stream as one load: one commit whatever the number of tasks.
+    """Apply each micro-batch of a stream as one load: one commit whatever the number of tasks. With ``max_rows`` or ``max_bytes`` a
+    larger batch becomes consecutive commits in the order of ``seq`` (:func:`parts.load_in_parts`).
 
     Exactly-once: the commit records the batch number under the id of the checkpoint, so a replayed batch is skipped and
     other streams into the same table are not touched by it; leftovers of a crashed run are removed first. A ``query_id`` of
@@ -108,8 +112,11 @@ def stream_apply(
         own = {"query_id": query_id or stream_id, "batch_id": batch_id, "stream_id": stream_id} if exactly_once else {}
         target = KeyedTable(batch.sparkSession, table.path)
         if not cleared:
-            cleared.append(target.abort_stale(query_id or stream_id))
-        target.load(batch, seq, **own, **load_options)
+            cleared.extend(target.abort_stale(x) for x in (query_id or stream_id, parts_id(query_id or stream_id)))
+        if max_rows or max_bytes:
+            load_in_parts(target, batch, seq, max_rows, max_bytes, **own, **load_options)
+        else:
+            target.load(batch, seq, **own, **load_options)
         upkeep(target, batch_id, compact_every, compact_min_deltas, vacuum_every)
 
     return start_query(stream, on_batch, checkpoint, trigger)
