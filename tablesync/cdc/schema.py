@@ -37,6 +37,16 @@ def map_source_columns(columns: DataFrame) -> DataFrame:
     return columns.withColumn("type", source_type_column(F.col("type_name"), F.col("column_size"), F.col("decimal_digits")))
 
 
+def spec_rows(columns: DataFrame, keys: DataFrame, include: str | None = None, exclude: str | None = None) -> DataFrame:
+    """Columns of the source tables that are synced, one row each: those of ``columns`` with ``type`` (of the target) and ``key_seq`` (null: no key).
+
+    Tables without a key are left out. :func:`infer_specs` turns the rows of a catalog into descriptions.
+    """
+    by = ["table_schema", "table_name"]
+    chosen = map_source_columns(select_tables(columns, include, exclude)).join(keys.select(*by).distinct(), by, "left_semi")
+    return chosen.join(keys.select(*by, "column_name", "key_seq"), [*by, "column_name"], "left")
+
+
 def infer_specs(
     columns: DataFrame,
     keys: DataFrame,
@@ -56,14 +66,12 @@ def infer_specs(
     a bucket is the unit of rewriting, so choose as many as keep it at a few GB. Source types of dates and times are kept in the
     option ``temporals`` as the encodings a change feed has for them.
     """
-    chosen = select_tables(columns, include, exclude)
     by = ["table_schema", "table_name"]
-    fields = ["ordinal_position", "column_name", "type", "nullable", "remarks", "type_name", "decimal_digits"]
-    cols = map_source_columns(chosen).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("cols"))
-    pks = keys.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("key_seq", "column_name"))).alias("pk"))
+    fields = ["ordinal_position", "column_name", "type", "nullable", "remarks", "type_name", "decimal_digits", "key_seq"]
+    cols = spec_rows(columns, keys, include, exclude).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("cols"))
     specs = {}
-    for r in cols.join(pks, by).toLocalIterator():
-        pk = [k["column_name"] for k in r["pk"]]
+    for r in cols.toLocalIterator():
+        pk = [c["column_name"] for c in sorted((c for c in r["cols"] if c["key_seq"] is not None), key=lambda c: c["key_seq"])]
         ordered = sorted(r["cols"], key=lambda c: (pk.index(c["column_name"]) if c["column_name"] in pk else len(pk)))
         specs[(r["table_schema"], r["table_name"])] = TableSpec(
             database,

@@ -201,12 +201,10 @@ def sync_from_position(spark, d):
 
 
 def infer_specs(spark, d):
-    """Specs of all source tables with a key, as rows: one per column."""
+    """Columns of all source tables with a key, one row each."""
     columns = source_metadata(spark, d).withColumn("decimal_digits", F.lit(2))
     keys = columns.where("column_size = 1").select("table_schema", "table_name", "column_name", C("ordinal_position").alias("key_seq"))
-    specs = cdc.infer_specs(columns, keys, "ods", prefix="p_")
-    rows = [(t, c.name, int(c.name in s.keys)) for (_, t), s in specs.items() for c in s.columns]
-    return spark.createDataFrame(rows, "table_name string, column_name string, is_key int")
+    return cdc.spec_rows(columns, keys).select("table_name", "column_name", F.when(C("key_seq").isNotNull(), 1).otherwise(0).alias("is_key"))
 
 
 def sync_schema_change(spark, d):

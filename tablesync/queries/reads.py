@@ -139,6 +139,20 @@ def filter_is_not_null(spark, d):
     return src.scan(spark, _some_null(spark, d), where=C("kind").isNotNull())
 
 
+def lookup_join_heavy_keys(spark, d):
+    """A third of the orders ask for one customer, some for none; the dimension counts as too big to broadcast."""
+    key = F.when(C("o_orderkey") % 3 == 0, F.lit(1).cast("bigint")).when(C("o_orderkey") % 7 != 0, C("o_custkey").cast("bigint"))
+    orders = table(spark, d, "orders").select("o_orderkey", key.alias("c_custkey"))
+    customers = table(spark, d, "customer").select(C("c_custkey").cast("bigint").alias("c_custkey"), "c_name")
+    return op.heavy_join(orders, customers, ["c_custkey"], "left", share=0.1)
+
+
+def lookup_by_many_keys(spark, d):
+    """Keys that count as too many to broadcast: a filter of them is tested where the dimension is scanned."""
+    asked = table(spark, d, "lineitem", where=C("l_quantity") > 45).select(C("l_orderkey").alias("o_orderkey"))
+    return op.lookup_by_keys(asked, table(spark, d, "orders"), ["o_orderkey"], max_broadcast_bytes=0).select("o_orderkey", "o_custkey", "o_orderdate")
+
+
 def lookup_by_keys(spark, d):
     asked = table(spark, d, "orders", where=C("o_totalprice") > 400000).select(C("o_custkey").alias("c_custkey"))
     return op.lookup_by_keys(asked, table(spark, d, "customer"), ["c_custkey"]).select("c_custkey", "c_name", "c_nationkey")
@@ -174,5 +188,8 @@ QUERIES = {
     "lookup_join_left": (lookup_join_left, "SELECT o_custkey AS c_custkey, o_orderkey, c_mktsegment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 5000) ON o_custkey = c_custkey"),
     "lookup_join_multi_key": (lookup_join_multi_key, "SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_partkey, l_suppkey) AS pair_lines FROM lineitem"),
     "lookup_join_many_matches": (lookup_join_many_matches, "SELECT c_custkey, c_mktsegment, count(*) AS matches, max(o_orderkey) AS top FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL"),
+    "lookup_join_heavy_keys": (lookup_join_heavy_keys, """
+        SELECT k AS c_custkey, o_orderkey, c_name FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS k FROM orders) LEFT JOIN customer ON k = c_custkey"""),
+    "lookup_by_many_keys": (lookup_by_many_keys, "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)"),
     "lookup_by_keys": (lookup_by_keys, "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)"),
 }

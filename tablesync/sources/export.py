@@ -2,38 +2,26 @@
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, functions as F
 
 CHUNK_BYTES = 20 << 20
 
 
 def frame_chunks(df: DataFrame, fmt: str, row_delimiter: str = "\n", max_bytes: int = CHUNK_BYTES, col: str = "value") -> DataFrame:
-    """Join the text rows of each task into load payloads of at most ``max_bytes`` (a larger single row stays whole).
+    """Join text rows into load payloads of about ``max_bytes``: rows of one input partition, in their order, grouped by running size.
 
-    JSON payloads are arrays ``[a,b]``; CSV payloads end every row, the last too, with the row delimiter. Nothing is
-    shuffled and no task holds more than one payload.
+    A payload is closed by the row that reaches the bound, so it is longer by at most that row. JSON payloads are arrays ``[a,b]``; CSV
+    payloads end every row, the last too, with the row delimiter.
     """
     if fmt not in ("json", "csv"):
         raise ValueError(f"unknown format {fmt}")
     first, between, last = ("[", ",", "]") if fmt == "json" else ("", row_delimiter, row_delimiter)
-
-    def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, size = [], 0
-        for batch in batches:
-            for text in batch[col]:
-                length = len(text.encode("utf-8")) + len(between)
-                if rows and size + length > max_bytes:
-                    yield pd.DataFrame({"payload": [first + between.join(rows) + last], "n_rows": [len(rows)]})
-                    rows, size = [], 0
-                rows.append(text)
-                size += length
-        if rows:
-            yield pd.DataFrame({"payload": [first + between.join(rows) + last], "n_rows": [len(rows)]})
-
-    return df.select(col).where(df[col].isNotNull()).mapInPandas(chunks, "payload string, n_rows long")
+    rows = df.select(F.col(col).alias("_text")).where(F.col("_text").isNotNull()).withColumn("_at", F.monotonically_increasing_id())
+    before = F.sum(F.octet_length("_text") + len(between.encode())).over(Window.partitionBy("_slot").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_slot", F.shiftright("_at", 33)).withColumn("_chunk", F.floor(F.coalesce(before, F.lit(0)) / max_bytes))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("_at", "_text"))), lambda r: r["_text"])
+    joined = rows.groupBy("_slot", "_chunk").agg(texts.alias("_rows"))
+    return joined.select(F.concat(F.lit(first), F.array_join("_rows", between), F.lit(last)).alias("payload"), F.size("_rows").cast("bigint").alias("n_rows"))
 
 
 def write_text(

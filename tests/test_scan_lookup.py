@@ -98,3 +98,48 @@ def test_cached_dimension(spark):
     assert cache.get().count() == 1 and cache.loads == 1
     now[0] = 5.0
     assert cache.get().count() == 6 and cache.loads == 2
+
+
+def test_heavy_keys_are_joined_apart(spark, rows):
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7L WHEN id % 10 = 1 THEN null ELSE id % 500 END AS k", "CAST(id % 2 AS INT) AS j").repartition(4)
+    dim = spark.range(400).selectExpr("id AS k", "CAST(id % 2 AS INT) AS j", "id * 2 AS v").unionAll(spark.sql("SELECT 7L, 1, -1L UNION ALL SELECT null, 0, -2L"))
+    for on in (["k"], ["k", "j"]):
+        right = dim if len(on) == 2 else dim.drop("j")
+        for how in ("inner", "left"):
+            want = rows(df.join(right, on, how).select(*df.columns, "v"))
+            for options in ({}, {"share": 0.9}, {"max_broadcast_bytes": 0}):
+                assert rows(ts.heavy_join(df, right, on, how, **options).select(*df.columns, "v")) == want
+            assert rows(ts.lookup_join(df, right, on, how, max_broadcast_bytes=0, heavy_share=0.05).select(*df.columns, "v")) == want
+    assert len(ts.heavy_keys(df, ["k"], 0.2)) == 1 and ts.heavy_keys(df.limit(0), ["k"], 0.2) == []
+    plan = ts.heavy_join(df, dim.drop("j"), ["k"], "left", share=0.2)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    other = dim.select(dim.k.cast("int").alias("k"), "v")
+    assert rows(ts.heavy_join(df, other, ["k"], "left").select(*df.columns, "v")) == rows(df.join(other, ["k"], "left").select(*df.columns, "v"))
+
+
+def test_heavy_keys_leave_the_shuffle_even(spark):
+    df = spark.range(20000).selectExpr("id", "IF(id % 2 = 0, 7L, id) AS k").repartition(8)
+    dim = spark.range(20000).selectExpr("id AS k", "id AS v")
+    rest = df.where(~ts.operators.lookup.key_hash(["k"]).isin(ts.heavy_keys(df, ["k"], 0.1)))
+    sizes = [r["count"] for r in rest.repartition(8, "k").groupBy(__import__("pyspark").sql.functions.spark_partition_id()).count().collect()]
+    assert max(sizes) < 1.2 * sum(sizes) / len(sizes) and ts.heavy_join(df, dim, ["k"], share=0.1).count() == 20000
+
+
+def test_filter_of_many_keys(spark, rows):
+    keys = spark.range(0, 40000, 4).selectExpr("id AS a", "CAST(id % 3 AS STRING) AS b").unionAll(spark.sql("SELECT null, 'x'"))
+    dim = spark.range(100000).selectExpr("id AS a", "CAST(id % 3 AS STRING) AS b", "id * 2 AS v")
+    wanted = ts.KeyFilter(keys.dropna(), ["a", "b"])
+    passed = wanted.test(dim)
+    hits = dim.join(keys, ["a", "b"], "left_semi")
+    assert passed.count() < hits.count() * 1.2 and passed.join(keys, ["a", "b"], "left_semi").count() == hits.count() == 10000
+    assert wanted.bytes == ts.KeyFilter.size(10000) < 10000 * 2
+    got = ts.lookup_by_keys(keys, dim, ["a", "b"], max_broadcast_bytes=0)
+    assert "ArrowEvalPython" in got._jdf.queryExecution().executedPlan().toString() and rows(got) == rows(hits)
+    assert rows(ts.lookup_by_keys(keys, dim, ["a", "b"], max_broadcast_bytes=0, max_filter_bytes=0)) == rows(hits)
+    assert ts.lookup_by_keys(keys.limit(0), dim, ["a", "b"], max_broadcast_bytes=0).count() == 0
+    import tablesync.operators.bloom as bloom
+    old, bloom.SHARD_KEYS = bloom.SHARD_KEYS, 700
+    try:
+        assert ts.KeyFilter(keys.dropna(), ["a", "b"]).test(dim).join(keys, ["a", "b"], "left_semi").count() == 10000
+    finally:
+        bloom.SHARD_KEYS = old
