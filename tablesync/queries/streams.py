@@ -187,6 +187,42 @@ def stream_lookup(spark, d):
     return spark.read.parquet(out).drop("batch")
 
 
+def stream_lookup_cached(spark, d):
+    """Orders in three runs of one stream; the dimension changes before each. Keys that are known and not expired keep what was read for them.
+
+    The clock says 0, 1 and 2 s, rows are kept for 1.5 s; the last batch is delivered twice.
+    """
+    root, now = work_dir(spark, "lookup"), [0]
+    orders = table(spark, d, "orders").select("o_orderkey", C("o_custkey").alias("c_custkey"))
+    customers = table(spark, d, "customer").where("c_custkey % 11 <> 0")
+    reader = lambda: customers.select("c_custkey", F.lit(now[0]).alias("read_at"))
+    write = lambda df, batch_id: df.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+    run = lambda checkpoint: streaming.stream_lookup_join(
+        spark.readStream.schema(orders.schema).parquet(f"{root}/in"), reader, ["c_custkey"], write, checkpoint, "left",
+        keys=streaming.KeyCache(spark, f"{root}/keys", 1500, clock=lambda: now[0])).awaitTermination()
+    for now[0] in range(3):
+        orders.where(C("o_orderkey") % 3 == now[0]).write.mode("append").parquet(f"{root}/in")
+        run(f"{root}/checkpoint")
+    run(_restored(spark, f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/out").drop("batch")
+
+
+def load_latencies(spark, d):
+    """Reports of loads (events stand for them) recorded in four parts with folds between: quantiles of merged sketches against exact ranks."""
+    reports, e = streaming.LoadReports(spark, work_dir(spark, "reports")), table(spark, d, "events")
+    rows = e.select(C("event_type").alias("query_id"), F.lit("t").alias("target"), C("event_id").alias("batch_id"), F.lit(0).cast("bigint").alias("at"),
+                    (C("value") * 100).cast("bigint").alias("load_ms"), C("user_id").cast("bigint").alias("rows"), (C("event_id") % 2).cast("bigint").alias("filtered"), (C("user_id") * 8).cast("bigint").alias("bytes"))
+    for i in range(4):
+        for _ in range(2):  # a part that is recorded again replaces itself
+            reports.record_rows(rows.where(C("batch_id") % 4 == i), f"part-{i}")
+        if i % 2:
+            reports.fold()
+    found = reports.latencies()
+    ranks = rows.join(F.broadcast(found.select("query_id", "p50_ms", "p95_ms")), "query_id").groupBy("query_id").agg(
+        (F.abs(F.avg((C("load_ms") <= C("p50_ms")).cast("int")) - 0.5) < 0.04).alias("p50_fits"), (F.abs(F.avg((C("load_ms") <= C("p95_ms")).cast("int")) - 0.95) < 0.04).alias("p95_fits"))
+    return found.select("query_id", "batches", "rows", "filtered", "bytes").join(ranks, "query_id")
+
+
 def stream_route(spark, d):
     """Suppliers and nations as one stream of addressed JSON rows, with incomplete rows among them."""
     root = work_dir(spark, "route")
@@ -386,6 +422,12 @@ QUERIES = {
         SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN fine THEN kind ELSE kind[:6] END AS kind, CAST(CASE WHEN fine OR level > 200 THEN level ELSE least(level, 127) END AS VARCHAR) AS level,
                CAST(coalesce(owner, 0) AS VARCHAR) AS owner, NOT fine AND level > 200 AS open FROM (SELECT *, NOT (long_kind OR high OR no_owner) AS fine FROM q)"""),
     "stream_lookup": (stream_lookup, "SELECT o_custkey AS c_custkey, o_orderkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey"),
+    "stream_lookup_cached": (stream_lookup_cached, """
+        WITH o AS (SELECT o_orderkey, o_custkey AS k, o_orderkey % 3 AS b FROM orders), s AS (SELECT k, bool_or(b = 0) AS in0, bool_or(b = 1) AS in1 FROM o GROUP BY k)
+        SELECT k AS c_custkey, o_orderkey, CASE WHEN c_custkey IS NOT NULL AND k % 11 <> 0 THEN CASE b WHEN 0 THEN 0 WHEN 1 THEN CASE WHEN in0 THEN 0 ELSE 1 END ELSE CASE WHEN in1 AND NOT in0 THEN 1 ELSE 2 END END END AS read_at
+        FROM o JOIN s USING (k) LEFT JOIN customer ON k = c_custkey"""),
+    "load_latencies": (load_latencies, """
+        SELECT event_type AS query_id, count(*) AS batches, sum(user_id)::BIGINT AS rows, sum(event_id % 2)::BIGINT AS filtered, sum(user_id * 8)::BIGINT AS bytes, true AS p50_fits, true AS p95_fits FROM events GROUP BY event_type"""),
     "stream_route": (stream_route, "SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS INTEGER) AS size FROM supplier UNION ALL SELECT p_partkey, p_name, p_size FROM part WHERE p_size <> 13"),
     "aggregate_columns_load": (aggregate_columns_load, _DAILY.format(where="true")),
     "route_aggregate_columns": (route_aggregate_columns, _DAILY.format(where="event_id % 10 <> 0") + """
