@@ -33,6 +33,20 @@ class Stage:
             Files(self.spark, self.root).delete(t._stage_path)
 
 
+def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """At most ``rows`` rows, those of the smallest hashes of ``key``; all of them if there are no more.
+
+    Rows above a bound on the hash, set from the counted rows, leave where they are read, so about ``rows`` reach the task that
+    cuts the rest, however many partitions there are. ``df`` should be cheap to count.
+    """
+    n = df.count()
+    if n <= rows:
+        return df
+    h = F.shiftrightunsigned(F.xxhash64(key), 1)
+    share = min(1.0, (1.1 * rows + 100) / n)
+    return df.where(h <= int(share * ((1 << 63) - 1))).orderBy(h).limit(rows)
+
+
 def small(df: DataFrame, max_bytes: int = MAX_BROADCAST) -> DataFrame:
     """``df`` with a broadcast hint if its measured size is below the bound, else unchanged. ``df`` should be cheap to count."""
     return F.broadcast(df) if measured_bytes(df) <= max_bytes else df

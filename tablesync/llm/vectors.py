@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Stage
+from .common import Stage, bounded_sample
 from .components import components
 
 COSINE = 0.98
@@ -17,8 +17,8 @@ COSINE = 0.98
 SAMPLE = 8192
 #: Share of near neighbours that a traversal must reach.
 RECALL = 0.995
-#: Rows of a cell that are compared at once with as many visitors.
-BLOCK = 1024
+#: Rows of a cell that are compared at once with as many visitors, and rows that the number of cells aims at for each.
+BLOCK, CELL_ROWS = 1024, 512
 
 
 def _k_means(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -41,18 +41,21 @@ class MultiIndex:
         rng = np.random.default_rng(7)
         x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
         self.half = x.shape[1] // 2
-        k = min(256, max(1, math.ceil(math.sqrt(rows / 512))))
+        # cells follow the rows; a codebook entry needs a few vectors of the sample
+        k = max(1, min(math.ceil(math.sqrt(rows / CELL_ROWS)), max(256, len(x) // 4)))
         self.books = [_k_means(h, k, rng) for h in self._halves(x)]
         # neighbours at the largest distance that still counts, in random directions, and those in the sample
         noise = rng.normal(size=x.shape)
         y = x + noise / np.linalg.norm(noise, axis=1, keepdims=True) * math.sqrt(2 - 2 * cosine)
         a, b = [x], [y / np.linalg.norm(y, axis=1, keepdims=True)]
         for at in range(0, len(x), BLOCK):
-            i, j = np.nonzero(x[at:at + BLOCK] @ x.T >= cosine)
-            few = i + at != j
-            a.append(x[i[few] + at][:len(x)])
-            b.append(x[j[few]][:len(x)])
-        needed = np.concatenate([self._bound_of(p, q) for p, q in zip(a, b) if len(p)])
+            near = x[at:at + BLOCK] @ x.T >= cosine
+            near[np.arange(len(near)), at + np.arange(len(near))] = False
+            pairs = np.flatnonzero(near)
+            pairs = pairs[::max(1, -(-len(pairs) // BLOCK))]  # as many as the block has rows, spread evenly
+            a.append(x[at + pairs // len(x)])
+            b.append(x[pairs % len(x)])
+        needed = np.concatenate([self._bound_of(p[at:at + BLOCK], q[at:at + BLOCK]) for p, q in zip(a, b) for at in range(0, len(p), BLOCK)])
         self.stop = float(np.quantile(needed, recall)) + 1e-12
 
     def _halves(self, x: np.ndarray) -> list[np.ndarray]:
@@ -98,8 +101,21 @@ def _usable(embedding: Column, label: Column) -> Column:
     return label.isNotNull() & F.coalesce(good, F.lit(False)) & F.exists(embedding, lambda x: x != 0)
 
 
+def _seen_by(visits: list, codes: np.ndarray) -> np.ndarray:
+    """Whether each row of a cell (columns) visits the home cell of each visitor (rows)."""
+    row = np.repeat(np.arange(len(visits)), [len(v) for v in visits])
+    cell = np.concatenate([np.asarray(v, dtype=np.int64) for v in visits])
+    out = np.zeros((len(codes), len(visits)), dtype=bool)
+    for c in np.unique(codes):
+        out[np.ix_(np.flatnonzero(codes == c), row[cell == c])] = True
+    return out
+
+
 def _compare(cosine: float):
-    """Verifies one block: visitors against the rows of a cell. Gives counts for visitors and links that keep components whole."""
+    """Verifies one block: visitors against the rows of a cell. Gives counts and links that keep components whole.
+
+    A link counts for the visitor, and also for the row of the cell if that doesn't visit the visitor's home, where it would find it.
+    """
 
     def each(p: pd.DataFrame) -> pd.DataFrame:
         h, q = p[p["home"]], p[~p["home"]]
@@ -109,12 +125,14 @@ def _compare(cosine: float):
         x, y = _matrix(q["embedding"]), _matrix(h["embedding"])
         links = (x @ y.T) / np.linalg.norm(x, axis=1)[:, None] / np.linalg.norm(y, axis=1)[None, :] >= cosine
         links &= q["cid"].to_numpy()[:, None] != h["cid"].to_numpy()[None, :]
-        found = links @ h["n"].to_numpy(np.int64)
         a, b = np.flatnonzero(links.any(axis=1)), np.flatnonzero(links.any(axis=0))
         if not len(a):
             return none
-        links = links[np.ix_(a, b)]
-        ra, rb = q["cid"].to_numpy()[a], h["cid"].to_numpy()[b]
+        links, h, q = links[np.ix_(a, b)], h.iloc[b], q.iloc[a]
+        found = links @ h["n"].to_numpy(np.int64)
+        alone = links & ~_seen_by(list(h["visits"]), q["code"].to_numpy(np.int64))
+        mirrored = q["n"].to_numpy(np.int64) @ alone
+        ra, rb = q["cid"].to_numpy(), h["cid"].to_numpy()
         top = np.iinfo(np.int64).max
         while True:
             nb = np.minimum(rb, np.where(links, ra[:, None], top).min(axis=0))
@@ -122,9 +140,7 @@ def _compare(cosine: float):
             if (na == ra).all() and (nb == rb).all():
                 break
             ra, rb = na, nb
-        return pd.DataFrame({
-            "cid": np.concatenate((q["cid"].to_numpy()[a], h["cid"].to_numpy()[b])),
-            "found": np.concatenate((found[a], np.zeros(len(b), np.int64))), "root": np.concatenate((ra, rb))})
+        return pd.DataFrame({"cid": np.concatenate((q["cid"].to_numpy(), h["cid"].to_numpy())), "found": np.concatenate((found, mirrored)), "root": np.concatenate((ra, rb))})
 
     return each
 
@@ -145,7 +161,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     classes = good.groupBy("h", "label", "embedding").agg(F.count("*").alias("n"), F.min("vec_id").alias("first_id"))
     classes = stage.write(classes.withColumn("cid", F.monotonically_increasing_id()))
     # bounded: `sample` vectors for each length; lengths beyond the sample share one cell
-    taken = classes.select("embedding").orderBy(F.xxhash64("cid")).limit(sample).toPandas()["embedding"]
+    taken = bounded_sample(classes.select("cid", "embedding"), F.col("cid"), sample).toPandas()["embedding"]
     by_size: dict[int, list] = {}
     for e in taken:
         by_size.setdefault(len(e), []).append(e)
@@ -163,20 +179,23 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
                     x = _matrix(part["embedding"])
                     x /= np.linalg.norm(x, axis=1, keepdims=True)
                     homes, visits = list(zip(*at.home(x))), list(at.traverse(x))
-                out = [(c, int(d), int(u), int(v), True) for c, (u, v) in zip(part["cid"], homes)]
-                out += [(c, int(d), u, v, False) for c, cs in zip(part["cid"], visits) for u, v in cs]
-                yield pd.DataFrame(out, columns=["cid", "size", "u", "v", "home"])
-
-    at = classes.select("cid", "embedding").mapInPandas(cells, "cid bigint, size int, u int, v int, home boolean")
-    members = stage.write(at.join(classes.select("cid", "label"), "cid"))
-    cell = ["label", "size", "u", "v"]
+                out = [(c, int(d), int(u) << 16 | int(v), [x << 16 | y for x, y in cs]) for c, (u, v), cs in zip(part["cid"], homes, visits)]
+                yield pd.DataFrame(out, columns=["cid", "size", "code", "visits"])
+
+    placed = classes.select("cid", "embedding").mapInPandas(cells, "cid bigint, size int, code bigint, visits array<bigint>")
+    placed = stage.write(classes.select("cid", "label", "n", "embedding").join(placed, "cid"))
+    home = F.array(F.struct(F.col("code").alias("cell"), F.lit(True).alias("home")))
+    visit = F.transform("visits", lambda c: F.struct(c.alias("cell"), F.lit(False).alias("home")))
+    members = placed.select("label", "size", "cid", F.explode(F.concat(home, visit)).alias("m")).select("label", "size", "cid", "m.*")
+    cell = ["label", "size", "cell"]
     counts = members.groupBy(*cell).agg(F.count_if("home").alias("nh"), F.count_if(~F.col("home")).alias("nq")).where("nh > 1 OR nq > 1")
     parts = lambda n: F.ceil(F.col(n) / block).cast("int")
     dealt = members.join(counts, cell).where("nh > 0 AND nq > 0").withColumns({"ph": parts("nh"), "pq": parts("nq")})
     own = F.pmod(F.xxhash64("cid"), F.when(F.col("home"), F.col("ph")).otherwise(F.col("pq"))).cast("int")
     dealt = dealt.select(*cell, "cid", "home", own.alias("own"), F.explode(F.sequence(F.lit(0), F.when(F.col("home"), F.col("pq")).otherwise(F.col("ph")) - 1)).alias("other"))
     dealt = dealt.select(*cell, "cid", "home", F.when(F.col("home"), F.col("own")).otherwise(F.col("other")).alias("bh"), F.when(F.col("home"), F.col("other")).otherwise(F.col("own")).alias("bq"))
-    full = dealt.join(classes.select("cid", "n", "embedding"), "cid").select(*cell, "bh", "bq", "cid", "home", "n", "embedding")
+    full = dealt.join(placed.select("cid", "n", "embedding", "code", "visits"), "cid")
+    full = full.select(*cell, "bh", "bq", "cid", "home", "n", "embedding", "code", F.when(F.col("home"), F.col("visits")).alias("visits"))
     found = stage.write(full.groupBy(*cell, "bh", "bq").applyInPandas(_compare(cosine), "cid bigint, found bigint, root bigint"))
     comp = components(found.select("cid", "root"), stage)
     links = found.groupBy("cid").agg(F.sum("found").alias("found"))
