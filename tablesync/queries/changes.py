@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from .. import operators as op
@@ -120,6 +122,17 @@ def bitmap_merged_rollup(spark, d):
     return op.bitmap_ndv(both, ["l_returnflag"])
 
 
+def bitmap_sparse_uv(spark, d):
+    """Distinct ids that are scattered over 64 bits, and dense ones, merged from two loads: lists while few, bitmaps when dense."""
+    e = table(spark, d, "events").select("event_type", F.col("user_id").cast("bigint").alias("dense"), (F.xxhash64("event_id").bitwiseAND((1 << 62) - 1)).alias("scattered"), (F.col("event_id") % 2).alias("load"))
+    out = []
+    for col in ("dense", "scattered"):
+        loads = [op.mixed_rollup(e.where(F.col("load") == i), ["event_type"], col) for i in range(2)]
+        merged = reduce(lambda a, b: op.mixed_merge(a, b, ["event_type"]), loads)
+        out.append(op.mixed_ndv(merged, ["event_type"], ["event_type"]).select("event_type", F.lit(col).alias("ids"), "ndv"))
+    return out[0].union(out[1])
+
+
 def hll_uv(spark, d):
     roll = op.hll_rollup(table(spark, d, "events"), ["event_type", "user_id"], "event_id")
     return op.hll_ndv(roll, ["event_type"])
@@ -212,6 +225,9 @@ QUERIES = {
     "unique_model": (unique_model, "SELECT user_id, event_id AS id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE event_type <> 'error') WHERE rn = 1"),
     "bitmap_uv": (bitmap_uv, "SELECT event_type, count(DISTINCT user_id) AS ndv FROM events GROUP BY event_type"),
     "bitmap_merged_rollup": (bitmap_merged_rollup, "SELECT l_returnflag, count(DISTINCT l_orderkey) AS ndv FROM lineitem GROUP BY l_returnflag"),
+    "bitmap_sparse_uv": (bitmap_sparse_uv, """
+        SELECT event_type, 'dense' AS ids, count(DISTINCT user_id) AS ndv FROM events GROUP BY event_type
+        UNION ALL SELECT event_type, 'scattered', count(DISTINCT event_id) FROM events GROUP BY event_type"""),
     "hll_uv": (hll_uv, None),
     "column_mapping": (column_mapping, "SELECT p_partkey AS id, p_name AS name, p_size AS size, p_name || ',' || p_size AS label, p_size * 2 AS double_size FROM part"),
     "mapped_bitmap": (mapped_bitmap, "SELECT event_type, CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS ndv FROM events GROUP BY event_type, CAST(ts AS DATE)"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import json
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
@@ -291,6 +292,31 @@ def stream_route_arrays(spark, d):
     return registry.read("db", "part")
 
 
+def _turns(batch):
+    """Two rows for a user's turn, one for an assistant's, none for others."""
+    out = []
+    for conv, turn, role, chars in zip(*(c.to_pylist() for c in batch.columns)):
+        row = ("db", "turn", json.dumps({"id": conv * 1000 + turn, "role": role, "chars": chars}))
+        out.append([row, ("db", "asked", json.dumps({"id": conv * 1000 + turn, "chars": chars}))] if role == "user" else [row] if role == "assistant" else [])
+    return out
+
+
+def custom_route(spark, d):
+    """Records through a function that gives none, one or two addressed rows for each, on a stream, into two tables."""
+    root, seen = work_dir(spark, "route"), []
+    registry = Registry(spark, f"{root}/tables")
+    registry.ensure_tables([
+        TableSpec("db", "turn", (ColumnSpec("id", "BIGINT", False), ColumnSpec("role", "STRING"), ColumnSpec("chars", "INT")), keys=("id",), buckets=4),
+        TableSpec("db", "asked", (ColumnSpec("id", "BIGINT", False), ColumnSpec("chars", "INT")), keys=("id",), buckets=4)])
+    records = table(spark, d, "conversations").select("conv_id", "turn", "role", F.length("text").alias("chars"))
+    records.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(records.schema).parquet(f"{root}/in")
+    streaming.route(stream, registry, f"{root}/checkpoint", {"*": {"format": "json"}}, records=_turns, on_report=seen.append).awaitTermination()
+    skipped = sum(r[""]["skipped_rows"] for r in seen)
+    turns, asked = registry.read("db", "turn"), registry.read("db", "asked")
+    return turns.select(F.lit("turn").alias("t"), "id", "role", "chars").union(asked.select(F.lit("asked"), "id", F.lit(None), "chars")).withColumn("skipped", F.lit(skipped))
+
+
 def aggregate_load(spark, d):
     """Orders per customer in two loads into an aggregate table: sums and maxima are merged, not replaced."""
     spec = TableSpec(
@@ -411,6 +437,9 @@ QUERIES = {
     "stream_route_order": (stream_route_order, "SELECT p_partkey AS id, CASE WHEN p_size > 45 THEN 'third ' ELSE 'second ' END || p_name AS name, p_size AS size FROM part"),
     "stream_route_partial": (stream_route_partial, "SELECT p_partkey AS id, p_name AS name, CASE WHEN p_size > 25 THEN p_size + 100 ELSE p_size END AS size FROM part"),
     "stream_route_arrays": (stream_route_arrays, "SELECT p_partkey AS id, p_name AS name, p_size AS size FROM part"),
+    "custom_route": (custom_route, """
+        WITH c AS (SELECT conv_id * 1000 + turn AS id, role, length(text) AS chars, (SELECT count(*) FROM conversations WHERE role NOT IN ('user', 'assistant') OR role IS NULL) AS skipped FROM conversations)
+        SELECT 'turn' AS t, id, role, chars, skipped FROM c WHERE role IN ('user', 'assistant') UNION ALL SELECT 'asked', id, NULL, chars, skipped FROM c WHERE role = 'user'"""),
     "aggregate_load": (aggregate_load, "SELECT o_custkey AS custkey, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DECIMAL(18,2) AS total, max(o_orderdate) AS last, min(o_orderkey) AS least FROM orders GROUP BY o_custkey"),
     "keyed_table_batches": (keyed_table_batches, _CUSTOMERS),
     "keyed_table_deltas": (keyed_table_deltas, _CUSTOMERS),

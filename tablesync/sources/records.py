@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from typing import Callable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.encode import NULL_TEXT, parse_delimiter
@@ -101,6 +103,39 @@ def map_records(
     return df.mapInArrow(fn, schema) if arrow else df.mapInPandas(fn, schema)
 
 
+ADDRESSED = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("database", "table", "row")]))
+
+
+def custom_records(df: DataFrame, fn: Callable, columns: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Records to addressed rows by a function of one's own: any number of rows for each record, for ``streaming.route``.
+
+    ``fn`` gets Arrow batches of ``columns`` (default: all but ``keep``) and returns for each batch one list of ``(database, table, row)`` per
+    record, as an Arrow array of lists of structs or as Python lists of tuples. A record with an empty list, or a null, becomes one row without an address,
+    which ``route`` skips and counts. ``keep`` columns (``seq``, the place in a file) are not shown to ``fn``; with ``seq`` the rows of one
+    record follow each other in their order. Works on streams.
+    """
+    keep = [c for c in keep if c in df.columns]
+    columns = list(columns or [c for c in df.columns if c not in keep])
+    arrow = pa.list_(pa.struct([(c, pa.string()) for c in ("database", "table", "row")]))
+    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("_rows", ADDRESSED)])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = fn(b.select(columns))
+            if not isinstance(made, (pa.Array, pa.ChunkedArray)):
+                made = pa.array([None if rows is None else [dict(zip(("database", "table", "row"), r)) for r in rows] for rows in made], arrow)
+            made = made.combine_chunks() if isinstance(made, pa.ChunkedArray) else made
+            if len(made) != b.num_rows:
+                raise ValueError(f"{len(made)} lists for {b.num_rows} records")
+            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in keep], made.cast(arrow)], names=[*keep, "_rows"])
+
+    rows = df.select(*keep, *[c for c in columns if c not in keep]).mapInArrow(each, schema)
+    out = rows.select(*keep, F.posexplode_outer("_rows").alias("_pos", "_row")).select(*keep, "_pos", "_row.*")
+    if "seq" in keep:
+        out = out.withColumn("seq", F.struct("seq", "_pos"))
+    return out.drop("_pos")
+
+
 def address_records(df: DataFrame, database: Column | str, table: Column | str, row: Column) -> DataFrame:
     """Records with a target address, for ``streaming.route``."""
     lit = lambda c: F.lit(c) if isinstance(c, str) else c

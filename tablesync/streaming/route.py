@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import Files, observed
 from ..operators.columns import split_mapping
-from ..sources.records import decode_text
+from ..sources.records import custom_records, decode_text
 from ..store.registry import Registry
 from ..store.rejects import RECORD
 from ..store.table import _safe
@@ -159,12 +159,16 @@ def route(
     width: int = 8,
     compact_every: int | None = None,
     vacuum_every: int | None = None,
+    records: Callable | None = None,
 ) -> StreamingQuery:
     """Streaming form of :func:`route_batch`; every table records the batch, so a replay skips the tables already done.
 
+    ``records`` turns records of any schema into addressed rows first (:func:`sources.records.custom_records`).
+
     Records are kept under the checkpoint's id (see :func:`apply.stream_apply`). Without ``seq`` the source must be files.
     """
     stream = stream if "seq" in stream.columns else with_arrival(stream)
+    stream = custom_records(stream, records, keep=("seq", ARRIVAL)) if records else stream
 
     def on_batch(batch: DataFrame, batch_id: int, stream_id: str) -> None:
         reports = route_batch(batch, registry, options, query_id or stream_id, batch_id, width, stream_id, compact_every, vacuum_every)
