@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -14,10 +17,10 @@ from tokenizers import Tokenizer
 
 from .common import Stage
 from .pieces import SPACE, blocks, piece_model
-from .tokens import _alphabet
+from .tokens import _LETTERS, _alphabet
 
 #: Aligned stretches of text that a worker keeps, and their characters; a full cache starts anew.
-CACHE_CHUNKS, CACHE_CHARS = 400_000, 1 << 24
+CACHE_CHUNKS, CACHE_CHARS = 1_000_000, 1 << 25
 #: Distinct pairs of one hash function, rows that one task adds up, and vectors that one step of the tree adds up.
 SHARD_PAIRS, SUM_ROWS, FAN = 1 << 16, 1 << 20, 16
 #: The function with its keys and counts is broadcast up to this size (about 18 bytes a pair); beyond it documents' pairs are joined.
@@ -38,70 +41,138 @@ class Aligner:
     """Aligns a byte-level BPE (A, on a space and the text) with a SentencePiece BPE (B, on the text).
 
     Texts are cut where neither tokenizer joins what stands on both sides: before a single space and around a single newline between
-    visible characters. Tokens of both end there, so a text's groups are those of its stretches, and each stretch is aligned once.
+    visible characters, and between letters and marks that no piece of B holds together. Tokens of both end there, so a text's groups
+    are those of its stretches. Each stretch is aligned once and kept, also from task to task.
     """
 
     _cut = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
     _cut_spaces = re.compile(r"(?<=\S)(?= \S)")
+    _plain = re.compile(f" ?[{_LETTERS}]+")
 
     def __init__(self, vocabulary: str, model: str):
         self._t = Tokenizer.from_file(vocabulary)
         self._t.encode_special_tokens = True  # their strings inside a text are plain text
-        self._b = piece_model(model)
-        byte = {c: b for b, c in _alphabet().items()}
+        self._b, self._map = piece_model(model), _alphabet()
+        byte = {c: b for b, c in self._map.items()}
         added = {i: t.content.encode() for i, t in self._t.get_added_tokens_decoder().items()}
         self._bytes = [added.get(i) or bytes(byte.get(c, ord(c) & 255) for c in self._t.id_to_token(i) or "") for i in range(self._t.get_vocab_size())]
-        self.split = (self._cut if self._b.newline_apart else self._cut_spaces).split
+        self._len_a, self._len_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self._bytes, self._b.surface))
+        # ids as text with what follows them: inside a group, at the end of its A or B side, at the end of a stretch
+        self._shown = [f"{i}{end}" for i in range(max(len(self._len_a), len(self._len_b))) for end in ",|;\n"]
+        apart = "".join(m for m in map(chr, range(33, 127)) if not m.isalnum() and m != "'" and not self._b.joins(_LETTERS, m))
+        self._marked = re.compile(f"( ?[{_LETTERS}]+)([{re.escape(apart)}]+)") if apart else re.compile(r"(?!)")
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.n_a, self.n_b, self.pairs, self.groups, self.bad = [], [], [], [], set()
-        self._chars = 0
+        self.n_a, self.n_b, self.groups, self.bad = array("q"), array("q"), [], set()
+        self.pairs, self.stops = array("Q"), array("q", [0])  # pairs of all stretches, and where those of each end
+        self.chars, self.sums, self.sums_of = 0, np.zeros((5, 0), dtype=np.int64), None
+        self.room = self.sums
 
     def full(self) -> bool:
-        return len(self.index) > CACHE_CHUNKS or self._chars > CACHE_CHARS
-
-    def learn(self, chunks: set[str]) -> int:
-        """Align the chunks that aren't known; the number that were known before."""
-        before, new = len(self.index), [c for c in chunks if c not in self.index]
-        for c, raw in zip(new, self._b.merge([c.replace(" ", SPACE) for c in new])):
-            a, b = self._t.encode(c, add_special_tokens=False).ids, np.frombuffer(raw, dtype="<u4").tolist()
-            self._align(c, a, b)
-        return before
-
-    def _align(self, chunk: str, a: list[int], b: list[int]) -> None:
-        x, y, k = [self._bytes[i] for i in a], [self._b.surface[i] for i in b], len(self.index)
-        text = chunk.encode("utf-8", "surrogatepass")
-        pairs, groups = [], []
-        if b"".join(x) == text == b"".join(y):
-            i = j = i0 = j0 = 0
-            p = q = 0
-            while i < len(a):
-                p, i = p + len(x[i]), i + 1
-                while q < p:
-                    q, j = q + len(y[j]), j + 1
-                if p == q:
-                    pairs.append(a[i - 1] << 32 | b[j - 1])
-                    groups.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-                    i0, j0 = i, j
-        else:
-            self.bad.add(k)
-        self.index[chunk] = k
-        self._chars += len(chunk)
-        self.n_a.append(len(a))
-        self.n_b.append(len(b))
-        self.pairs.append(pairs)
-        self.groups.append(";".join(groups).encode())
+        return len(self.index) > CACHE_CHUNKS or self.chars > CACHE_CHARS
+
+    def split(self, text: str) -> list[str]:
+        if not self._b.newline_apart:
+            return self._cut_spaces.split(" " + text)
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n" or not text.replace("\n", "").isprintable():
+            return self._cut.split(" " + text)
+        return (" " + text).replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")[1:]
+
+    def learn(self, chunks: set[str]) -> None:
+        """Align chunks that aren't known."""
+        joined, new = [], {}
+        for c in chunks:
+            m = None if c[-1].isalnum() else self._marked.fullmatch(c)
+            if m:
+                joined.append((c, m[1], m[2]))
+                new.update({x: None for x in m.groups() if x not in self.index})
+            else:
+                new[c] = None
+        self._align(list(new))
+        for c, x, y in joined:
+            i, j = self.index[x], self.index[y]
+            pairs = self.pairs[self.stops[i]:self.stops[i + 1]] + self.pairs[self.stops[j]:self.stops[j + 1]]
+            self._keep(c, self.n_a[i] + self.n_a[j], self.n_b[i] + self.n_b[j], pairs, f"{self.groups[i]};{self.groups[j]}")
+
+    def _keep(self, chunk: str, n_a: int, n_b: int, pairs, groups: str) -> None:
+        self.index[chunk] = len(self.index)
+        self.chars += len(chunk)
+        self.n_a.append(n_a)
+        self.n_b.append(n_b)
+        self.pairs.extend(pairs)
+        self.stops.append(len(self.pairs))
+        self.groups.append(groups)
+
+    def _ids(self, chunk: str) -> list[int]:
+        if not self._plain.fullmatch(chunk):
+            return self._t.encode(chunk, add_special_tokens=False).ids
+        # one word to the pre-tokenizer: its model alone is asked
+        shown = chunk.replace(" ", self._map[32]) if chunk.isascii() else chunk.encode().decode("latin-1").translate(self._map)
+        return [t.id for t in self._tokenize(shown)]
+
+    def _align(self, chunks: list[str]) -> None:
+        """Align all chunks at once: places where tokens end, counted through all of them, that A and B have in common."""
+        if not chunks:
+            return
+        self._tokenize = self._t.model.tokenize
+        a = [self._ids(c) for c in chunks]
+        b, n_b = self._b.merged([c.replace(" ", SPACE) for c in chunks])
+        n_a = np.array([len(x) for x in a], dtype=np.int64)
+        a, b = np.array([i for x in a for i in x], dtype=np.int64), b.astype(np.int64)
+        starts_a, starts_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        good = np.ones(len(chunks), dtype=bool)
+        for k, c in enumerate(chunks):
+            if not self._plain.fullmatch(c):  # plain words are spelled by both
+                text = c.encode("utf-8", "surrogatepass")
+                x, y = a[starts_a[k]:starts_a[k] + n_a[k]].tolist(), b[starts_b[k]:starts_b[k] + n_b[k]].tolist()
+                good[k] = b"".join([self._bytes[i] for i in x]) == text == b"".join([self._b.surface[i] for i in y])
+        if not good.all():
+            for k in np.flatnonzero(~good):
+                self.bad.add(len(self.index))
+                self._keep(chunks[k], 0, 0, (), "")
+            a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+            chunks, n_a, n_b = [c for c, g in zip(chunks, good) if g], n_a[good], n_b[good]
+            if not chunks:
+                return
+        ends_a, ends_b = np.cumsum(self._len_a[a]), np.cumsum(self._len_b[b])
+        at = np.searchsorted(ends_b, ends_a)
+        meet_a = ends_b[at] == ends_a
+        meet_b = np.zeros(len(b), dtype=bool)
+        meet_b[at[meet_a]] = True
+        pairs = a[meet_a] << 32 | b[meet_b]
+        met = np.concatenate(([0], np.cumsum(meet_a)))
+        first = len(self.pairs)
+        # the text of all groups: tokens of A, then of B, group by group
+        last = np.zeros(len(b), dtype=np.int64)
+        last[np.cumsum(n_b) - 1] = 1
+        shown = np.concatenate((a * 4 + meet_a, b * 4 + np.where(meet_b, 2 + last, 0)))
+        order = np.argsort(np.concatenate((2 * (np.cumsum(meet_a) - meet_a), 2 * (np.cumsum(meet_b) - meet_b) + 1)), kind="stable")
+        groups = "".join(map(self._shown.__getitem__, shown[order].tolist())).split("\n")[:-1]
+        n = len(self.index)
+        self.index.update(zip(chunks, range(n, n + len(chunks))))
+        self.chars += sum(map(len, chunks))
+        self.n_a.frombytes(n_a.tobytes())
+        self.n_b.frombytes(n_b.astype(np.int64).tobytes())
+        self.pairs.frombytes(pairs.astype(np.uint64).tobytes())
+        self.stops.frombytes((first + met[np.cumsum(n_a)]).astype(np.int64).tobytes())
+        self.groups.extend(groups)
 
     def of(self, texts: list[str | None]) -> list[list[int]]:
         """Numbers of the stretches of each text; none for texts without tokens."""
-        cut = [self.split(" " + t) if t else [] for t in texts]
-        self.learn({c for chunks in cut for c in chunks})
-        get = self.index.__getitem__
+        cut = [self.split(t) if t else [] for t in texts]
+        known = self.index
+        self.learn(set(chain.from_iterable(cut)).difference(known))
+        get = known.__getitem__
         out = [list(map(get, chunks)) for chunks in cut]
         return [[] if self.bad and not self.bad.isdisjoint(x) else x for x in out]
 
+    def pairs_of(self, first: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of the stretches from ``first`` on, and the number of pairs of each."""
+        stops = np.array(self.stops[first:], dtype=np.int64)
+        return np.array(self.pairs[stops[0]:], dtype=np.uint64), np.diff(stops)
+
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * _A
@@ -173,13 +244,6 @@ class PairTable:
         return np.where(known, out, -1)
 
 
-def _per_chunk(known: Aligner, first: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of the chunks from ``first`` on, and the number of pairs of each."""
-    lists = known.pairs[first:]
-    counts = np.array([len(x) for x in lists], dtype=np.int64)
-    return np.array([p for x in lists for p in x], dtype=np.uint64), counts
-
-
 def _partial_counts(docs: DataFrame, vocabulary: str, model: str) -> DataFrame:
     """``part, pair, n``: pairs of each task's documents, counted there; ``part`` tells tasks apart."""
 
@@ -187,18 +251,15 @@ def _partial_counts(docs: DataFrame, vocabulary: str, model: str) -> DataFrame:
         from pyspark import TaskContext
 
         known, part = aligner(vocabulary, model), TaskContext.get().partitionId()
-        known.clear()
-        seen = np.zeros(0, dtype=np.int64)
+        seen = np.zeros(len(known.index), dtype=np.int64)
 
         def counted() -> pa.RecordBatch:
-            pairs, counts = _per_chunk(known, 0)
-            full = np.zeros(len(counts), dtype=np.int64)
-            full[:len(seen)] = seen
-            keys, at = np.unique(pairs, return_inverse=True)
+            pairs, counts = known.pairs_of(0)
+            times = np.repeat(seen, counts)
+            keys, at = np.unique(pairs[times > 0], return_inverse=True)
             sums = np.zeros(len(keys), dtype=np.int64)
-            np.add.at(sums, at, np.repeat(full, counts))
-            keep = sums > 0
-            return pa.RecordBatch.from_arrays([pa.array(np.full(keep.sum(), part, np.int32)), pa.array(keys[keep].view(np.int64)), pa.array(sums[keep])], names=["part", "pair", "n"])
+            np.add.at(sums, at, times[times > 0])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), part, np.int32)), pa.array(keys.view(np.int64)), pa.array(sums)], names=["part", "pair", "n"])
 
         for b in batches:
             for texts in blocks(b.column(0).to_pylist()):
@@ -311,7 +372,7 @@ def aligned(docs: DataFrame, vocabulary: str, model: str) -> DataFrame:
                 if known.full():
                     known.clear()
                 for row in known.of(texts):
-                    groups = [g.split("|") for k in row for g in known.groups[k].decode().split(";")]
+                    groups = [g.split("|") for k in row for g in known.groups[k].split(";")]
                     out.append([{"a": list(map(int, x.split(","))), "b": list(map(int, y.split(",")))} for x, y in groups])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.struct([("a", ints), ("b", ints)])))], names=["doc_id", "groups"])
 
@@ -324,45 +385,53 @@ _REPORT = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigin
 def _digests(d: DataFrame, vocabulary: str, model: str, lookup) -> DataFrame:
     """The report of each row; ``lookup`` is a broadcast table, or null for rows that carry their ``pairs`` and ``times`` instead of sums."""
     id_type = d.schema["doc_id"].dataType.simpleString()
+    token = uuid.uuid4().hex
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"] + ([] if lookup else ["pairs", "times"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = aligner(vocabulary, model)
-        known.clear()
         table = PairTable(*lookup.value) if lookup else None
         top = np.zeros(1, dtype=np.int64)
-        if table:
-            top = np.zeros(max(table.top, default=0) + 1, dtype=np.int64)
+        if table and table.top:
+            top = np.zeros(max(table.top) + 1, dtype=np.int64)
             top[list(table.top)] = list(table.top.values())
-        sums = np.zeros((5, 0), dtype=np.int64)
-
-        def more(sums: np.ndarray) -> np.ndarray:
-            first = sums.shape[1]
-            pairs, counts = _per_chunk(known, first)
+        if known.sums_of != token:  # what an earlier task of this query found for the stretches stays
+            known.sums = known.room = np.zeros((5, 0), dtype=np.int64)
+            known.sums_of = token
+
+        def more() -> None:
+            first = known.sums.shape[1]
+            pairs, counts = known.pairs_of(first)
+            if not len(counts):
+                return
             best = total = np.zeros(len(pairs), dtype=np.int64)
             if table:
                 at = table.slots(pairs)
-                if (at < 0).any():
-                    raise ValueError("the texts changed between the two passes")
-                total = table.values[at]
-                best = total == top[(pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-            add = lambda x: np.add.reduceat(np.append(x, 0), np.minimum(np.cumsum(counts) - counts, len(x))) * (counts > 0) if len(counts) else counts
-            return np.concatenate((sums, np.stack([np.array(known.n_a[first:], dtype=np.int64), np.array(known.n_b[first:], dtype=np.int64), counts, add(best.astype(np.int64)), add(total)])), axis=1)
+                total = np.where(at >= 0, table.values[at], 0) if len(table.values) else best  # stretches of other queries may hold other pairs
+                best = total == top[np.minimum(pairs & np.uint64(0xFFFFFFFF), np.uint64(len(top) - 1)).astype(np.int64)]
+            starts = np.minimum(np.cumsum(counts) - counts, len(pairs))
+            add = lambda x: np.add.reduceat(np.append(x.astype(np.int64), 0), starts) * (counts > 0)
+            new = [np.array(known.n_a[first:]), np.array(known.n_b[first:]), counts, add(best), add(total)]
+            n = first + len(counts)
+            if n > known.room.shape[1]:
+                known.room = np.concatenate((known.sums, np.zeros((5, n + 1000), dtype=np.int64)), axis=1)
+            known.room[:, first:n] = new
+            known.sums = known.room[:, :n]
 
         for b in batches:
             out: list[list] = [[] for _ in names[1:]]
             for texts in blocks(b.column(1).to_pylist()):
                 if known.full():
                     known.clear()
-                    sums = np.zeros((5, 0), dtype=np.int64)
+                    known.sums_of = token
                 rows = known.of(texts)
-                sums = more(sums)
+                more()
                 for row in rows:
-                    n_a, n_b, n, best, total = sums[:, row].sum(axis=1).tolist() if row else (0, 0, 0, 0, 0)
-                    digest = hashlib.sha256(b";".join([known.groups[k] for k in row])).hexdigest() if row else ""
+                    n_a, n_b, n, best, total = known.sums[:, row].sum(axis=1).tolist() if row else (0, 0, 0, 0, 0)
+                    digest = hashlib.sha256(";".join([known.groups[k] for k in row]).encode()).hexdigest() if row else ""
                     values = [n_a, n_b, n, n, best, total, digest]
                     if not lookup:
-                        pairs, times = np.unique(np.array([p for k in row for p in known.pairs[k]], dtype=np.int64), return_counts=True)
+                        pairs, times = np.unique(np.array([p for k in row for p in known.pairs[known.stops[k]:known.stops[k + 1]]], dtype=np.int64), return_counts=True)
                         values += [pairs, times]
                     for o, v in zip(out, values):
                         o.append(v)

@@ -93,6 +93,9 @@ class PieceModel:
         self._piece, self._rank = (np.array(x, dtype=np.int64) for x in zip(*found))
         beside = {p[k:k + 2] for p in normal for k in range(len(p) - 1)}
         self._beside = np.array(sorted(symbol[x[0]] << 32 | symbol[x[1]] for x in beside), dtype=np.int64)
+        self._before: dict[str, list[str]] = {}
+        for x in beside:
+            self._before.setdefault(x[1], []).append(x[0])
         apart = "" if any("\n" in x for x in beside) else "\n"
         run = f"{SPACE}+" if not any(x[1] == SPACE and x[0] != SPACE for x in beside) else None
         #: Cuts a text into words that are looked up in the cache; finer cuts follow inside ``merge``.
@@ -105,6 +108,10 @@ class PieceModel:
         if any(self.ids(t).tolist() != sp.encode(t) or self.decode(self.ids(t)) != sp.decode(sp.encode(t)) for t in probes):
             raise ValueError(f"{path}: only BPE models with byte fallback, a space in front and no normalisation are known")
 
+    def joins(self, letters: str, mark: str) -> bool:
+        """Whether a piece holds one of the ``letters`` (a regular expression's set) in front of the mark."""
+        return any(re.match(f"[{letters}]", x) for x in self._before.get(mark, ()))
+
     def _longest_run(self, normal: dict[str, int]) -> int:
         """Length at which runs of spaces fall apart into equal pieces from their start on; 0 where they don't."""
         most = max((len(p) for p in normal if set(p) == {SPACE}), default=0)
@@ -135,11 +142,17 @@ class PieceModel:
 
     def merge(self, words: list[str]) -> list[bytes]:
         """The ids of each word as unsigned little-endian 32-bit numbers; spaces are written as U+2581, nothing is put in front."""
+        ids, counts = self.merged(words)
+        flat, stops = ids.tobytes(), (np.cumsum(counts) * 4).tolist()
+        return [flat[a:b] for a, b in zip([0] + stops[:-1], stops)]
+
+    def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each has."""
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         raw = "".join(words).encode("utf-32-le", "surrogatepass")
         char = np.frombuffer(raw, dtype="<u4").astype(np.int64)
         if not len(char):
-            return [b""] * len(words)
+            return np.zeros(0, dtype="<u4"), np.zeros(len(words), dtype=np.int64)
         of_word = np.repeat(np.arange(len(words)), lengths)
         sym = self._of_char[char]
         final = sym.copy()  # the symbol that starts at each character; -2 inside of one
@@ -187,15 +200,17 @@ class PieceModel:
             p = i - np.arange(len(i))  # place of each merged symbol after compaction
             sym, at, seg, rank, into = (x[keep] for x in (sym, at, seg, rank, into))
             # pairs with a merged symbol are looked up again
-            q = np.unique(np.concatenate((p, p[p > 0] - 1)))
-            q = q[q < len(sym)]
+            touched = np.zeros(len(sym), dtype=bool)
+            touched[p] = True
+            touched[p[p > 0] - 1] = True
+            q = np.flatnonzero(touched)
             nxt = np.minimum(q + 1, len(sym) - 1)
             same = (q + 1 < len(sym)) & (seg[q] == seg[nxt])
             piece, found = self._look(sym[q], sym[nxt])
             into[q], rank[q] = np.where(same, piece, -1), np.where(same, found, _NEVER)
         return self._emit(final, char, lengths, of_word)
 
-    def _emit(self, final: np.ndarray, char: np.ndarray, lengths: np.ndarray, of_word: np.ndarray) -> list[bytes]:
+    def _emit(self, final: np.ndarray, char: np.ndarray, lengths: np.ndarray, of_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ends = np.flatnonzero(final != -2)
         sym, word, c = final[ends], of_word[ends], char[ends]
         plain = (sym >= 0) & (sym < self._size)
@@ -208,9 +223,7 @@ class PieceModel:
             ids = np.repeat(np.where(plain, sym, 0), size)
             ids[np.repeat(~plain, size)] = self.byte_ids[np.frombuffer(b"".join(each), dtype=np.uint8)]
             counts = np.bincount(np.repeat(word, size), minlength=len(lengths))
-        flat = ids.astype("<u4").tobytes()
-        stops = (np.cumsum(counts) * 4).tolist()
-        return [flat[a:b] for a, b in zip([0] + stops[:-1], stops)]
+        return ids.astype("<u4"), counts
 
     def learn(self, words: Iterable[str]) -> None:
         """Put the words that are not in the cache there, many at a time."""
