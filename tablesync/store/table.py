@@ -405,10 +405,18 @@ class KeyedTable:
 
     def compact(self, min_deltas: int = 0) -> None:
         """Merge deltas into the base and rewrite buckets with well-sized files: all buckets, or only those with at least
-        ``min_deltas`` deltas."""
+        ``min_deltas`` deltas. Without keys the loads since the last time become one, if there are at least ``min_deltas`` (0: all loads)."""
         m = self.manifest()
         spec = TableSpec.from_dict(m["spec"])
-        keys = list(spec.keys) if spec.model != "duplicate" else None
+        if spec.model == "duplicate":
+            loads = {c: e for c, e in m["live"].items() if not (min_deltas and e.get("merged"))}
+            if len(loads) < max(min_deltas, 2):
+                return
+            commit, _ = self._write(m, spec, self._read({**m, "live": loads}), None, "always", None, None)
+            live = {c: e for c, e in m["live"].items() if c not in loads} | {commit: {"buckets": None, "written": None, "merged": True}}
+            self._finish(m, live, commit, {"total": 0, "filtered": 0}, None, None)
+            return
+        keys = list(spec.keys)
         live, deltas, chosen = {}, {}, None
         if min_deltas:
             counts = Counter(b for e in m.get("deltas", {}).values() for b in e["buckets"])
@@ -417,8 +425,8 @@ class KeyedTable:
                 return
             live, deltas = _without(m["live"], chosen), _without(m["deltas"], chosen)
         commit, written = self._write(m, spec, self._read(m, chosen), keys, "always", None, None)
-        if keys is None or written:
-            live[commit] = {"buckets": written if keys else None, "written": len(written) if keys else None}
+        if written:
+            live[commit] = {"buckets": written, "written": len(written)}
         self._finish({**m, "deltas": deltas}, live, commit, {"total": 0, "filtered": 0}, None, None)
 
     def _write(self, m, spec, df, keys, rebalance, query_id, batch_id, parallelism=None) -> tuple[str, list[int]]:

@@ -307,3 +307,26 @@ def test_key_conditions_of_other_types_scan(spark, reg):
     n.load(spark.createDataFrame([(7, 1, 0), (8, 2, 0)], "k int, a int, _seq int"), "_seq")
     for where in ("k = 7", "k = '7'", "k = ' 7'", "k IN (7, 300)", "k = 99999999999999999999"):
         assert sorted(reg.read("db", "number_key", where=where).collect()) == sorted(n.read().where(where).collect()), where
+
+
+def test_loads_without_keys_become_one(spark, tmp_path):
+    t = ts.KeyedTable.create(spark, str(tmp_path / "dup"), ts.TableSpec("db", "dup", (ts.ColumnSpec("a", "INT"), ts.ColumnSpec("b", "STRING")), model="duplicate"))
+    load = lambda n: t.load(spark.createDataFrame([(n, "x"), (n, "x")], "a int, b string"), query_id="q", batch_id=n)
+    rows = lambda: sorted(r.a for r in t.read().collect())
+    for n in range(4):
+        load(n)
+    t.compact(5)
+    assert len(t.manifest()["live"]) == 4
+    t.compact(2)
+    assert len(t.manifest()["live"]) == 1 and rows() == [0, 0, 1, 1, 2, 2, 3, 3] and t.finished("q", 3)
+    t.evolve(add=[ts.ColumnSpec("c", "INT", True, "7")])
+    load(4)
+    t.compact(2)
+    assert len(t.manifest()["live"]) == 2  # one load since is too few
+    load(5)
+    t.compact(2)
+    assert len(t.manifest()["live"]) == 2 and rows() == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
+    t.compact()
+    assert len(t.manifest()["live"]) == 1 and t.read().where("c = 7").count() == 12
+    t.vacuum(keep=1)
+    assert len(rows()) == 12
