@@ -100,6 +100,11 @@ def array_scan(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.size("embedding").alias("dims"), C("embedding")[0].cast("double").alias("first"), "label")
 
 
+def array_elements(spark, d):
+    """Every element of an array column with its place."""
+    return table(spark, d, "embeddings", columns=["vec_id", "embedding"]).select("vec_id", F.posexplode("embedding").alias("at", "value")).select("vec_id", "at", C("value").cast("double").alias("value"))
+
+
 def lookup_join_inner(spark, d):
     dim = table(spark, d, "customer", columns=["c_custkey", "c_name", "c_nationkey"])
     orders = table(spark, d, "orders", columns=["o_orderkey", "o_custkey"]).withColumnRenamed("o_custkey", "c_custkey")
@@ -184,6 +189,7 @@ QUERIES = {
     "schema_on_read": (schema_on_read, "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_day, o_orderdate + INTERVAL 123456 MICROSECOND AS o_at, o_orderpriority FROM orders"),
     "nested_columns": (nested_columns, "SELECT o_orderkey, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS day, o_orderpriority AS priority, o_custkey AS custkey, o_custkey AS inner_custkey, CAST(1 AS INTEGER) AS n FROM orders"),
     "array_scan": (array_scan, "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims, CAST(embedding[1] AS DOUBLE) AS first, label FROM embeddings"),
+    "array_elements": (array_elements, "SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS at, CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings"),
     "lookup_join_inner": (lookup_join_inner, "SELECT c_custkey, o_orderkey, c_name, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey"),
     "lookup_join_left": (lookup_join_left, "SELECT o_custkey AS c_custkey, o_orderkey, c_mktsegment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 5000) ON o_custkey = c_custkey"),
     "lookup_join_multi_key": (lookup_join_multi_key, "SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_partkey, l_suppkey) AS pair_lines FROM lineitem"),
