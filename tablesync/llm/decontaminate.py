@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import measured_bytes
-from .common import MAX_BROADCAST, lower_ascii, once, repeat_rows, same, text_key
+from .common import MAX_BROADCAST, Stage, lower_ascii, once, repeat_rows, same, small, text_key
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same words before lower-casing, each with the separators before it, and the separators after the last one.
@@ -115,6 +115,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         raise ValueError("remove is 'documents' or 'spans'")
     h = hits(docs, benchmark, **options).where(F.size("spans") > 0)
     h = h.select(F.col("doc_id").alias("__hit_id"), F.col("_key").alias("__hit_key"), F.col("spans").alias("__hit_spans"))
+    h = small(Stage(docs.sparkSession, "hits").write(h))  # few documents have hits: then no text is shuffled to meet them
     on = F.col("doc_id").eqNullSafe(F.col("__hit_id")) & (text_key(F.col("text")) == F.col("__hit_key"))
     if remove == "documents":
         return docs.join(h, on, "left_anti")
