@@ -519,6 +519,21 @@ def test_similar_documents(spark, none, max_pairs):
     assert similar.drop_similar(none).count() == 0
 
 
+def test_pipeline_links_what_simhash_links(spark):
+    """Texts with one word changed in every forty: too little for a five-word similarity of 0.8, while their fingerprints are close."""
+    import corpus_pipeline
+
+    base = prose(400, 700).split()
+    copy = [w if k % 40 else "changed" for k, w in enumerate(base)]
+    far = [w if k % 5 else "other" for k, w in enumerate(base)]
+    texts = [" ".join(base), " ".join(copy), " ".join(far), prose(90, 701)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    assert similar_by_hand(texts)[1] == 0
+    linked = {r.doc_id for r in simhash.drop_near_duplicates(d).collect()}
+    assert linked == {0, 2, 3}
+    assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, d, SF).collect()} == linked
+
+
 # pipeline
 
 
