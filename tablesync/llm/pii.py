@@ -140,31 +140,57 @@ def _disclosure(total: int, n_te: Column, n_t: Column, n_e: Column) -> Column:
     return F.log2((n_te + PRIOR * p_e) / (n_t + PRIOR) / p_e) / -F.log2(p_e)
 
 
+def _documents_of_words(docs: DataFrame) -> DataFrame:
+    """``word, n_t``: in how many documents each word stands."""
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("n_t"))
+
+
+def document_terms(docs: DataFrame, total: int, held: DataFrame, entities: DataFrame, least: float = GENERALISE) -> DataFrame:
+    """``value, term, n_e, n_t`` as :func:`possible_terms`, with every word of an entity's documents as a term, near or not.
+
+    Entities of the same documents (equal numbers and sums of two hashes of them) give away the same; one stands for them, so a
+    document of many entities of its own doesn't pair all of them with all of its words.
+    """
+    mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), *KEYS).cast("decimal(20,0)"))
+    n_e = entities.groupBy("value").agg(F.count("*").alias("n_e"), mark(1).alias("x"), mark(2).alias("y"))
+    first = n_e.where(F.col("n_e") < total).groupBy("n_e", "x", "y").agg(F.min("value").alias("_v")).select("_v", "n_e")
+    e = entities.join(first, F.col("value") == F.col("_v")).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "value", "n_e")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k"))
+    h = held.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"))
+    d = docs.select("doc_id", text_key(F.col("text")).alias("_key"), "text").join(h, same, "left_semi")
+    t = d.select(*KEYS, F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))).alias("term"))
+    t = t.where(F.length("term") >= TERM_LETTERS).join(_documents_of_words(docs), F.col("term") == F.col("word"))
+    can = _disclosure(total, F.least("n_t", "n_e"), F.col("n_t"), F.col("n_e")) >= least
+    return t.join(e, same & can).select("value", "term", "n_e", "n_t").distinct()
+
+
 def possible_terms(docs: DataFrame, total: int, near: DataFrame, entities: DataFrame, least: float = GENERALISE) -> DataFrame:
     """``value, term, n_e, n_t``: terms beside an entity that could reach ``least`` if all their documents that can hold it do."""
     n_e = entities.groupBy("value").agg(F.count("*").alias("n_e")).withColumnRenamed("value", "_v")
     terms = near.select("term").distinct()
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))).alias("word"))
-    n_t = words.groupBy("word").agg(F.count("*").alias("n_t")).join(terms.withColumnRenamed("term", "_t"), F.col("word") == F.col("_t"))
+    n_t = _documents_of_words(docs).join(terms.withColumnRenamed("term", "_t"), F.col("word") == F.col("_t"))
     p = near.join(n_e, F.col("value") == F.col("_v")).join(n_t, F.col("term") == F.col("word")).where(F.col("n_e") < total)
     p = p.where(_disclosure(total, F.least("n_t", "n_e"), F.col("n_t"), F.col("n_e")) >= least)
     return p.select("value", "term", "n_e", "n_t")
 
 
-def personal_spans(docs: DataFrame, generalise: float = GENERALISE) -> DataFrame:
+def personal_spans(docs: DataFrame, generalise: float = GENERALISE, near: bool = True) -> DataFrame:
     """``doc_id, _key, base, terms`` for each row: pattern spans and revealing terms (start, end, disclosure).
 
     Only documents that hold an entity get terms, so documents without personal data have no spans. A term is judged if it stands
     beside the entity in any document; then its documents are counted by their whole texts, however few, and each of its places
-    in documents that hold the entity is marked. Null texts are empty. Repeated rows have equal spans.
+    in documents that hold the entity is marked. Without ``near`` every word of a document is judged with every entity of it. Null texts are empty. Repeated rows have equal spans.
     """
     stage = Stage(docs.sparkSession, "pii")
     total = docs.count()
     base = stage.write(base_spans(docs))
     held = base.where(F.size("spans") > 0)
-    near = stage.write(_neighbours(held).distinct())
     entities = stage.write(held.select(*KEYS, F.explode("spans.value").alias("value")).distinct())
-    maybe = stage.write(possible_terms(docs, total, near, entities, generalise))
+    if near:
+        maybe = stage.write(possible_terms(docs, total, stage.write(_neighbours(held).distinct()), entities, generalise))
+    else:
+        maybe = stage.write(document_terms(docs, total, held, entities, generalise))
     places = stage.write(_occurrences(docs, held, maybe.select("term").distinct()))
     both = places.select(*KEYS, "term").distinct().join(maybe.withColumnRenamed("term", "_t"), F.col("term") == F.col("_t")).drop("_t")
     e = entities.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), F.col("value").alias("_v"))

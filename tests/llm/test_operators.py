@@ -267,6 +267,35 @@ def test_rare_entities_and_all_places_of_a_term(spark):
     assert got[1] == places(1, "mail", "orm") and got[2] == places(2, "orm", "from", "all", "away") and not got[3] and not got[9]
 
 
+def test_every_word_of_a_document_is_judged(spark):
+    """Against plain Python; words far from an entity, several entities of one document, entities of several documents."""
+    far = " and so on" * 30
+    rows = [(0, f"Ada wrote a.q@corp.example and b@corp.example{far} until Quill came"), (1, f"Orm has o@corp.example{far} Frost"), (2, f"Orm: o@corp.example{far} Snow"), (3, "Snow and Rain")]
+    rows += [(i, f"plain text number {i} and so on until it came") for i in range(4, 300)]
+    held, words = {}, {}
+    for i, t in rows:
+        spans = pii_by_hand(t)
+        for a, _, _, b in spans:
+            held.setdefault(t[a:b], set()).add(i)
+        for m in re.finditer(r"[A-Za-z]{3,}", t):
+            words.setdefault(m[0].lower(), set()).add(i)
+    def told(i, w):
+        best = 0.0
+        for e in (e for e, at in held.items() if i in at):
+            p = len(held[e]) / len(rows)
+            best = max(best, np.log2((len(held[e] & words[w]) + p) / (len(words[w]) + 1) / p) / -np.log2(p))
+        return best >= pii.GENERALISE
+    want = {}
+    for i, t in rows[:4]:
+        inside = [(a, b) for a, _, _, b in pii_by_hand(t)]
+        want[i] = [f"term:{m.start()}:{m.end()}" for m in re.finditer("[A-Za-z]{3,}", t) if told(i, m[0].lower()) and not any(a <= m.start() < b or a < m.end() <= b for a, b in inside)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: [x for x in r.spans.split(",") if x.startswith("term")] for r in pii.personal_data(d, near=False).collect()}
+    assert {i: got[i] for i in want} == want and not any(got[i] for i in range(3, 300))
+    quill = rows[0][1].index("Quill")
+    assert f"term:{quill}:{quill + 5}" in got[0]
+
+
 # token files
 
 
