@@ -89,3 +89,9 @@ def test_start_inside_a_file(spark, reg, tmp_path):  # noqa: F811
     stream = spark.readStream.schema("value string").text(str(tmp_path / "in"))
     ts.sync_database(stream, reg, {("src", "kv"): SPEC}, str(tmp_path / "ck"), start={"file": "bin.000007", "pos": 2}).awaitTermination(120)
     assert [r[0] for r in read(reg)] == list(range(6, 12))
+
+
+def test_files_of_a_log_follow_its_rows():
+    from tablesync.queries.feed import log_files
+
+    assert log_files(150) == 4 and log_files(9_000_000) == 45 and log_files(54_000_000) == 270
