@@ -60,21 +60,32 @@ def hll_ndv(rollup: DataFrame, by: Iterable[str]) -> DataFrame:
     return rollup.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg(HLL)).alias("ndv"))
 
 
-def _mixed(positions: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``keys``, range and ``_p`` (a value's place in the range) or a bitmap, packed: a sorted list while there are few, else a bitmap.
+#: A place of a range as a word of 32 places and its bits there, whose hex digits are the bytes of Spark's bitmaps.
+_WORD = "struct(shiftright({0}, 5) AS _word, shiftleft(1L, ({0} & 31) ^ 24) AS _bits)"
 
-    Only ranges that become or are bitmaps get an aggregation buffer of 4 KB; the others are lists all the way.
+
+def _words(rollup: DataFrame, keys: list[str]) -> DataFrame:
+    """Lists and bitmaps as rows of ``_word`` and ``_bits``."""
+    listed = F.expr(f"transform({FEW}, p -> {_WORD.format('p')})")
+    dense = F.expr(f"transform(sequence(0, 1023), w -> struct(w AS _word, cast(conv(hex(substring({BITMAP}, 4 * w + 1, 4)), 16, 10) AS bigint) AS _bits))")
+    return rollup.select(*keys, BUCKET, F.inline(F.coalesce(listed, dense))).where("_bits <> 0")
+
+
+def _packed(words: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``keys``, range, ``_word`` and ``_bits``, packed: a sorted list while there are few values, else a bitmap.
+
+    Words are united first, in buffers of eight bytes. A range is then packed within its row, so no shuffle is read for lists and again for bitmaps.
     """
     by = [*keys, BUCKET]
-    sets = positions.groupBy(*by).agg(F.collect_set("_p").alias("_set"), F.count(BITMAP).alias("_n"))
-    short = (F.col("_n") == 0) & (F.size("_set") <= MOST_LISTED)
-    none = F.lit(None).cast("binary")
-    lists = sets.where(short).select(*by, F.sort_array("_set").alias(FEW), none.alias(BITMAP))
-    bits = sets.where(~short).select(*by, F.explode("_set").alias("_p"), none.alias(BITMAP))
-    old = positions.where(F.col(BITMAP).isNotNull()).select(*by, F.lit(None).cast("smallint").alias("_p"), BITMAP)
-    dense = bits.unionByName(old).groupBy(*by).agg(F.bitmap_construct_agg(F.col("_p").cast("bigint")).alias("_new"), F.bitmap_or_agg(BITMAP).alias("_old"))
-    dense = dense.select(*by, F.explode(F.array("_new", "_old")).alias("_b")).groupBy(*by).agg(F.bitmap_or_agg("_b").alias(BITMAP))
-    return lists.unionByName(dense.select(*by, F.lit(None).cast("array<smallint>").alias(FEW), BITMAP))
+    words = words.groupBy(*by, "_word").agg(F.bit_or("_bits").alias("_bits"))
+    sets = words.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_word", "_bits"))).alias("_set"), F.sum(F.bit_count("_bits")).alias("_n"))
+    one = "array(cast(32 * w._word + (bit_count(w._bits - 1) ^ 24) AS smallint))"
+    more = "transform(filter(sequence(0, 31), i -> getbit(w._bits, i ^ 24) = 1), i -> cast(32 * w._word + i AS smallint))"
+    listed = F.expr(f"flatten(transform(_set, w -> if(bit_count(w._bits) = 1, {one}, {more})))")
+    gap = "w._word - if(i = 0, 0, get(_set, i - 1)._word + 1)"
+    digits = F.expr(f"array_join(transform(_set, (w, i) -> concat(repeat('0', 8 * ({gap})), lpad(hex(w._bits), 8, '0'))), '')")
+    short = F.col("_n") <= MOST_LISTED
+    return sets.select(*by, F.when(short, listed).alias(FEW), F.when(~short, F.unhex(F.rpad(digits, 8192, "0"))).alias(BITMAP))
 
 
 def mixed_rollup(df: DataFrame, keys: Iterable[str], col: str) -> DataFrame:
@@ -88,20 +99,19 @@ def mixed_rollup(df: DataFrame, keys: Iterable[str], col: str) -> DataFrame:
     value = F.col(col).cast("bigint")
     checked = F.when(value < 0, F.raise_error(F.concat(F.lit("negative value for a bitmap: "), value.cast("string"))).cast("bigint")).otherwise(value)
     rows = df.where(F.col(col).isNotNull()).select(*keys, checked.alias("_v"))
-    place = F.bitmap_bit_position("_v").cast("smallint")
-    return _mixed(rows.select(*keys, F.bitmap_bucket_number("_v").alias(BUCKET), place.alias("_p"), F.lit(None).cast("binary").alias(BITMAP)), keys)
+    places = rows.select(*keys, F.bitmap_bucket_number("_v").alias(BUCKET), F.bitmap_bit_position("_v").cast("int").alias("_p"))
+    return _packed(places.select(*keys, BUCKET, F.expr(_WORD.format("_p")).alias("_w")).select(*keys, BUCKET, "_w.*"), keys)
 
 
 def mixed_merge(a: DataFrame, b: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Union of two rollups of :func:`mixed_rollup`; lists that grow beyond the bound become bitmaps."""
     keys = list(keys)
-    both = a.unionByName(b)
-    return _mixed(both.select(*keys, BUCKET, F.explode_outer(FEW).alias("_p"), BITMAP), keys)
+    return _packed(_words(a.unionByName(b), keys), keys)
 
 
 def mixed_ndv(rollup: DataFrame, by: Iterable[str], keys: Iterable[str] | None = None) -> DataFrame:
     """Exact distinct count per ``by``. Groups coarser than the rollup's ``keys`` are united first."""
     by = list(by)
     if keys is None or set(keys) != set(by):
-        rollup = _mixed(rollup.select(*by, BUCKET, F.explode_outer(FEW).alias("_p"), BITMAP), by)
+        rollup = _packed(_words(rollup, by), by)
     return rollup.groupBy(*by).agg(F.sum(F.coalesce(F.size(FEW), F.lit(0)) * F.col(FEW).isNotNull().cast("int") + F.coalesce(F.bitmap_count(BITMAP), F.lit(0))).alias("ndv"))

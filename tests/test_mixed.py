@@ -52,6 +52,23 @@ def test_lists_turn_into_bitmaps_at_the_bound(spark):
     assert merged.where("bitmap IS NOT NULL AND few IS NULL").count() == 1 and ts.mixed_ndv(merged, ["k"], ["k"]).first()["ndv"] == n + 1
 
 
+def test_loads_are_merged_in_one_read_of_each_shuffle(spark):
+    ids = spark.range(60000).selectExpr("'x' AS k", "if(id % 2 = 0, id, xxhash64(id) & 4611686018427387903) AS v", "id % 3 = 0 AS early")
+    merged = ts.mixed_merge(*[ts.mixed_rollup(ids.where(w), ["k"], "v") for w in ("early", "NOT early")], ["k"])
+    assert ts.mixed_ndv(merged, ["k"], ["k"]).first()["ndv"] == ids.select("v").distinct().count()
+    merged.collect()
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in plan and "ShuffleQueryStage" in plan and "ReusedExchange" not in plan
+
+
+def test_bitmaps_are_those_of_spark(spark):
+    ids = spark.range(70000).where("id % 7 < 3 OR id BETWEEN 32760 AND 32830 OR id > 69000").selectExpr("'x' AS k", "id + 1 AS v", "id % 2 = 0 AS even")
+    merged = ts.mixed_merge(*[ts.mixed_rollup(ids.where(w), ["k"], "v") for w in ("even", "NOT even")], ["k"])
+    bits = lambda df: {r.bitmap_bucket: bytes(r.bitmap) for r in df.collect()}
+    want = bits(ts.bitmap_rollup(ids, ["k"], "v"))
+    assert len(want) == 3 and bits(ts.mixed_rollup(ids, ["k"], "v")) == bits(merged) == want
+
+
 def test_scattered_ids_cost_about_their_size(spark, tmp_path):
     ids = spark.range(200000).selectExpr("'page' AS k", "xxhash64(id) & 4611686018427387903 AS v")
     ts.mixed_rollup(ids, ["k"], "v").coalesce(1).write.parquet(str(tmp_path / "m"))
